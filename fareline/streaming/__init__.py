@@ -1,0 +1 @@
+"""The engine is monthly batch; it has no streaming operators. Late rows are caught by the period rule."""
