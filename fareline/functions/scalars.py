@@ -19,6 +19,15 @@ def round2(value: Column) -> Column:
     return F.round(value * F.lit(100.0)) / F.lit(100.0)
 
 
+def settled2(aggregate: Column) -> Column:
+    """``round2`` for sums and averages of doubles, whose last bits depend on the order of addition.
+
+    Snapping to nine decimals first makes an exact half-cent round the same way however rows were
+    partitioned or tasks repeated.
+    """
+    return round2(F.round(aggregate * F.lit(1e9)) / F.lit(1e9))
+
+
 def percent(part: Column, whole: Column) -> Column:
     """``part`` as a percentage of ``whole`` with two decimals; null when ``whole`` is zero or null."""
     return round2(F.try_divide(part * F.lit(100.0), whole))

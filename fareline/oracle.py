@@ -154,15 +154,15 @@ ENRICHED = f"""{VALID}, enriched AS (
 
 HOURLY = """SELECT pickup_date, pickup_year, pickup_month, pickup_hour, day_of_week, time_of_day, service_type,
   pu_borough, pu_zone, count(*) AS trip_count, CAST(sum(passenger_count) AS BIGINT) AS total_passengers,
-  round(avg(trip_distance), 2) AS avg_trip_distance, round(avg(trip_duration_minutes), 2) AS avg_duration_minutes
+  round(round(avg(trip_distance), 9), 2) AS avg_trip_distance, round(round(avg(trip_duration_minutes), 9), 2) AS avg_duration_minutes
 FROM enriched WHERE pu_borough IS NOT NULL GROUP BY ALL"""
 
 REVENUE = """SELECT pickup_year, pickup_month, CAST(date_trunc('month', pickup_date) AS DATE) AS pickup_month_date,
   service_type, pu_borough, pu_zone, count(*) AS trip_count,
-  round(sum(total_amount), 2) AS total_revenue, round(avg(total_amount), 2) AS avg_revenue_per_trip,
-  round(avg(fare_amount), 2) AS avg_fare, round(sum(tip_amount), 2) AS total_tips,
-  round(avg(tip_percentage), 2) AS avg_tip_percentage, round(avg(revenue_per_mile), 2) AS avg_revenue_per_mile,
-  round(avg(trip_distance), 2) AS avg_trip_distance, round(avg(trip_duration_minutes), 2) AS avg_duration_minutes
+  round(round(sum(total_amount), 9), 2) AS total_revenue, round(round(avg(total_amount), 9), 2) AS avg_revenue_per_trip,
+  round(round(avg(fare_amount), 9), 2) AS avg_fare, round(round(sum(tip_amount), 9), 2) AS total_tips,
+  round(round(avg(tip_percentage), 9), 2) AS avg_tip_percentage, round(round(avg(revenue_per_mile), 9), 2) AS avg_revenue_per_mile,
+  round(round(avg(trip_distance), 9), 2) AS avg_trip_distance, round(round(avg(trip_duration_minutes), 9), 2) AS avg_duration_minutes
 FROM enriched WHERE pu_borough IS NOT NULL GROUP BY ALL"""
 
 INT_QUALITY = f"""{_rejected("reject")}, quality AS (

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareline.functions.scalars import day_part, month_start, percent, round2
+from fareline.functions.scalars import day_part, month_start, percent, settled2
 from fareline.plans.models import fact_trips, int_trips_enriched, stg_trips
 from fareline.schemas import HEALTH, HOURLY, QUALITY, REVENUE
 
@@ -20,11 +20,11 @@ def _names(schema) -> list[str]:
 
 
 def _mean(column: str) -> Column:
-    return round2(F.avg(column))
+    return settled2(F.avg(column))
 
 
 def _total(column: str) -> Column:
-    return round2(F.sum(column))
+    return settled2(F.sum(column))
 
 
 def agg_hourly_demand_by_zone(enriched: DataFrame) -> DataFrame:

@@ -69,7 +69,12 @@ class Lake:
         table = self.qualified(layout)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
                        f"PARTITIONED BY ({keys}) LOCATION '{self.location(layout)}'")
-        self.spark.sql(f"MSCK REPAIR TABLE {table}")
+        if self._has_files(layout):
+            self.spark.sql(f"MSCK REPAIR TABLE {table}")
+
+    def _has_files(self, layout: TableLayout) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.location(layout))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def read(self, layout: TableLayout, **period: str) -> DataFrame:
         """The table's columns, optionally of one period only (a partition filter)."""
