@@ -6,7 +6,7 @@ names are used on purpose, so that schema reconciliation has something to do.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareline.functions.rules import Thresholds
@@ -19,50 +19,58 @@ SOURCE_FILE = "events.parquet"
 YELLOW_EVENTS = ("click", "view", "purchase")
 
 
+# Known schemas, so that reading starts no schema inference job.
+TABLES = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return table(spark, sf_dir, "events")
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 zones: nations as zones, regions as boroughs."""
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        (F.col("n_nationkey") + 1).alias("LocationID"), F.col("r_name").alias("Borough"),
-        F.col("n_name").alias("Zone"), F.lit("all").alias("service_zone"))
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        "n_nationkey + 1 AS LocationID", "r_name AS Borough", "n_name AS Zone", "'all' AS service_zone")
 
 
 def _trips(source: DataFrame, *keep: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("long")
-    ts = F.col("ts")
-    based = source.withColumn("k", k).withColumn(
-        "pickup", F.when(F.col("k") == 50, None).when(F.col("k") == 51, F.timestamp_add("DAY", F.lit(-400), ts))
-        .otherwise(ts))
-    seconds = F.floor(F.col("value") * 360) - 1800
-    value, k = F.col("value"), F.col("k")
-    return based.select(
-        (F.col("event_id") % 2 + 1).cast("int").alias("VendorID"),
-        F.when(F.col("event_type").isin(*YELLOW_EVENTS), "yellow").otherwise("green").alias("service_type"),
-        F.col("pickup").alias("tpep_pickup_datetime"),
-        F.timestamp_add("SECOND", seconds, F.col("pickup")).alias("tpep_dropoff_datetime"),
-        F.when(k % 10 != 0, (k % 7).cast("int")).alias("passenger_count"),
-        F.when(k == 97, -value).when(k >= 98, value * 20).otherwise(value / 8).alias("trip_distance"),
-        (k % 6 + 1).cast("int").alias("RatecodeID"),
-        F.when(k % 40 == 0, "Y").otherwise("N").alias("store_and_fwd_flag"),
-        (F.col("user_id") % 27).cast("int").alias("PULocationID"),
-        (k % 26).cast("int").alias("DOLocationID"),
-        (k % 4 + 1).cast("int").alias("payment_type"),
-        F.when(k != 53, value).alias("fare_amount"),
-        F.lit(0.5).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        (k / 10.0).alias("tip_amount"),
-        F.when(k % 20 == 0, 6.55).otherwise(0.0).alias("tolls_amount"),
-        F.lit(1.0).alias("improvement_surcharge"),
-        (value + k / 10.0 + 2.5).alias("total_amount"),
-        F.lit(2.5).alias("congestion_surcharge"),
-        F.when(k % 25 == 0, 1.75).otherwise(0.0).alias("Airport_fee"),
-        *keep,
-    )
+    # Generated rather than projected, so that the key and the times are plain columns: a projection
+    # would be pushed into every later filter and the JSON parsed again for each rule that uses it.
+    keyed = source.selectExpr("*", "explode(array(CAST(get_json_object(props, '$.k') AS BIGINT))) AS k")
+    timed = keyed.selectExpr(
+        "*", "CASE k WHEN 50 THEN NULL WHEN 51 THEN timestampadd(DAY, -400, ts) ELSE ts END AS pickup")
+    yellow = ", ".join(f"'{kind}'" for kind in YELLOW_EVENTS)
+    return timed.selectExpr(
+        "CAST(event_id % 2 + 1 AS INT) AS VendorID",
+        f"IF(event_type IN ({yellow}), 'yellow', 'green') AS service_type",
+        "pickup AS tpep_pickup_datetime",
+        "timestampadd(SECOND, floor(value * 360) - 1800, pickup) AS tpep_dropoff_datetime",
+        "IF(k % 10 = 0, NULL, CAST(k % 7 AS INT)) AS passenger_count",
+        "CASE WHEN k = 97 THEN -value WHEN k >= 98 THEN value * 20 ELSE value / 8 END AS trip_distance",
+        "CAST(k % 6 + 1 AS INT) AS RatecodeID",
+        "IF(k % 40 = 0, 'Y', 'N') AS store_and_fwd_flag",
+        "CAST(user_id % 27 AS INT) AS PULocationID",
+        "CAST(k % 26 AS INT) AS DOLocationID",
+        "CAST(k % 4 + 1 AS INT) AS payment_type",
+        "IF(k = 53, NULL, value) AS fare_amount",
+        "0.5D AS extra",
+        "0.5D AS mta_tax",
+        "k / 10D AS tip_amount",
+        "IF(k % 20 = 0, 6.55D, 0D) AS tolls_amount",
+        "1D AS improvement_surcharge",
+        "value + k / 10D + 2.5D AS total_amount",
+        "2.5D AS congestion_surcharge",
+        "IF(k % 25 = 0, 1.75D, 0D) AS Airport_fee",
+        *keep)
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

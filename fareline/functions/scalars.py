@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,8 +41,12 @@ def month_start(day: Column) -> Column:
 
 
 def whole_minutes(start: Column, end: Column) -> Column:
-    """Exact difference in minutes, truncated toward zero."""
-    return F.timestamp_diff("MINUTE", start, end)
+    """Exact difference in minutes, truncated toward zero.
+
+    Dividing intervals is plain integer arithmetic on zone-free timestamps; ``timestamp_diff``
+    would take them through the session time zone.
+    """
+    return F.call_function("div", end - start, F.lit(timedelta(minutes=1)))
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:

@@ -47,9 +47,9 @@ def reconcile(df: DataFrame) -> DataFrame:
 
 def select_as(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the columns of ``schema`` in its order, cast to its types; other columns are dropped."""
-    types = {field.name: field.dataType for field in df.schema.fields}
+    types = dict(df.dtypes)
     return df.select(*(
-        F.col(f.name) if types.get(f.name) == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
+        f.name if types.get(f.name) == f.dataType.simpleString() else F.col(f.name).cast(f.dataType).alias(f.name)
         for f in schema.fields))
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,18 +20,33 @@ from fareline.operators.zones import join_zones
 
 @dataclass(frozen=True)
 class Conformed:
-    """The lazy outcome of conforming: two frames and a one-row count frame, each a scan of its own."""
+    """The lazy outcome of conforming. Each frame is one pruned scan of its own; nothing is cached."""
 
-    valid: DataFrame
-    rejected: DataFrame
-    counts: DataFrame
+    rows: DataFrame
+    zones: DataFrame
+    rules: Sequence[Rule]
+    limits: Thresholds
+    null_policy: str
+    service_type: str | Column
+    source_file: str | Column
+    ingestion_date: date | Column
 
+    @cached_property
+    def valid(self) -> DataFrame:
+        """Rows that pass every rule, with zones, in the conformed shape."""
+        passed = join_zones(keep_valid(self.rows, self.rules), self.zones, self.limits)
+        return conformed_columns(add_metadata(passed, self.service_type, self.source_file, self.ingestion_date))
 
-def _conform(rows: DataFrame, zones: DataFrame, rules: list[Rule], limits: Thresholds, null_policy: str,
-             service_type: str | Column, source_file: str | Column, ingestion_date: date | Column) -> Conformed:
-    valid = add_metadata(join_zones(keep_valid(rows, rules), zones, limits), service_type, source_file, ingestion_date)
-    rejected = add_load_columns(keep_rejected(rows, rules, null_policy), service_type, source_file, ingestion_date)
-    return Conformed(conformed_columns(valid), quarantine_columns(rejected), count_outcomes(rows, rules, null_policy))
+    @cached_property
+    def rejected(self) -> DataFrame:
+        """Rows that break a rule, with their reason, in the quarantine shape."""
+        failed = keep_rejected(self.rows, self.rules, self.null_policy)
+        return quarantine_columns(add_load_columns(failed, self.service_type, self.source_file, self.ingestion_date))
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        """Row counts of the outcome in one pass over the raw rows."""
+        return count_outcomes(self.rows, self.rules, self.null_policy)
 
 
 def conform_month(raw: DataFrame, zones: DataFrame, service_type: str | Column, year: int, month: int,
@@ -37,8 +54,8 @@ def conform_month(raw: DataFrame, zones: DataFrame, service_type: str | Column,
                   null_policy: str = REJECT) -> Conformed:
     """Conform one raw monthly file. Its ingestion date is the first day of the data month."""
     rules = trip_rules(year, month, limits, null_policy)
-    return _conform(reconcile(raw), zones, rules, limits, null_policy, service_type, source_file,
-                    date(year, month, 1))
+    return Conformed(reconcile(raw), zones, rules, limits, null_policy, service_type, source_file,
+                     date(year, month, 1))
 
 
 def conform_files(standardized: DataFrame, zones: DataFrame, limits: Thresholds = Thresholds(),
@@ -46,5 +63,5 @@ def conform_files(standardized: DataFrame, zones: DataFrame, limits: Thresholds
     """Conform the union of many files in one plan; each row is held to the month its file names."""
     year, month = F.col("file_year"), F.col("file_month")
     rules = trip_rules(year, month, limits, null_policy)
-    return _conform(standardized, zones, rules, limits, null_policy, F.col("service_type"), F.col("source_file"),
-                    F.make_date(year, month, F.lit(1)))
+    return Conformed(standardized, zones, rules, limits, null_policy, F.col("service_type"), F.col("source_file"),
+                     F.make_date(year, month, F.lit(1)))

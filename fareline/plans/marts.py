@@ -7,6 +7,9 @@ minimal keys; columns that depend on them are derived after the aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,23 +113,60 @@ def agg_monthly_pipeline_health(facts: DataFrame, quality: DataFrame) -> DataFra
     ).select(*_names(HEALTH))
 
 
-def build_marts(conformed: DataFrame, rejected: DataFrame) -> dict[str, DataFrame]:
-    """Every model and mart by name, lazily.
+class Models:
+    """Every model and mart over stored trips and rejects, each built on first use.
 
     Nothing is cached: each mart is its own column-pruned scan of the stored trips, which at
     scale is cheaper than materialising the enriched rows once more.
     """
-    staged = stg_trips(conformed)
-    enriched = int_trips_enriched(staged)
-    facts = fact_trips(enriched)
-    quality = int_data_quality(rejected)
-    return {
-        "stg_trips": staged,
-        "int_trips_enriched": enriched,
-        "fact_trips": facts,
-        "agg_hourly_demand_by_zone": agg_hourly_demand_by_zone(enriched),
-        "agg_monthly_zone_revenue": agg_monthly_zone_revenue(enriched),
-        "int_data_quality": quality,
-        "agg_monthly_data_quality": agg_monthly_data_quality(quality),
-        "agg_monthly_pipeline_health": agg_monthly_pipeline_health(facts, quality),
-    }
+
+    NAMES = ("stg_trips", "int_trips_enriched", "fact_trips", "agg_hourly_demand_by_zone",
+             "agg_monthly_zone_revenue", "int_data_quality", "agg_monthly_data_quality",
+             "agg_monthly_pipeline_health")
+
+    def __init__(self, conformed: Callable[[], DataFrame], rejected: Callable[[], DataFrame]):
+        self._conformed = conformed
+        self._rejected = rejected
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        return getattr(self, name)
+
+    @cached_property
+    def stg_trips(self) -> DataFrame:
+        return stg_trips(self._conformed())
+
+    @cached_property
+    def int_trips_enriched(self) -> DataFrame:
+        return int_trips_enriched(self.stg_trips)
+
+    @cached_property
+    def fact_trips(self) -> DataFrame:
+        return fact_trips(self.int_trips_enriched)
+
+    @cached_property
+    def agg_hourly_demand_by_zone(self) -> DataFrame:
+        return agg_hourly_demand_by_zone(self.int_trips_enriched)
+
+    @cached_property
+    def agg_monthly_zone_revenue(self) -> DataFrame:
+        return agg_monthly_zone_revenue(self.int_trips_enriched)
+
+    @cached_property
+    def int_data_quality(self) -> DataFrame:
+        return int_data_quality(self._rejected())
+
+    @cached_property
+    def agg_monthly_data_quality(self) -> DataFrame:
+        return agg_monthly_data_quality(self.int_data_quality)
+
+    @cached_property
+    def agg_monthly_pipeline_health(self) -> DataFrame:
+        return agg_monthly_pipeline_health(self.fact_trips, self.int_data_quality)
+
+
+def build_marts(conformed: DataFrame, rejected: DataFrame) -> dict[str, DataFrame]:
+    """Every model and mart by name."""
+    models = Models(lambda: conformed, lambda: rejected)
+    return {name: models[name] for name in Models.NAMES}

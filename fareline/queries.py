@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from fareline.functions import rules as R
 from fareline.operators import expectations, profile, quality, reconcile
 from fareline.operators.zones import join_zones, orphan_locations
 from fareline.plans.conform import Conformed, conform_files, conform_month
-from fareline.plans.marts import build_marts
+from fareline.plans.marts import Models
 from fareline.plans.monthly import backfill, load_month, rebuild_marts, run_month, trips_period
 from fareline.schemas import HOURLY_TABLE, REVENUE_TABLE, TRIPS_TABLE
 from fareline.sources.lake import Lake, write_checked
@@ -40,9 +41,9 @@ def conformed(spark: SparkSession, sf_dir: str, null_policy: str = R.REJECT) ->
                          fixtures.YEAR, fixtures.MONTH, fixtures.SOURCE_FILE, LIMITS, null_policy)
 
 
-def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def models(spark: SparkSession, sf_dir: str) -> Models:
     outcome = conformed(spark, sf_dir)
-    return build_marts(outcome.valid, outcome.rejected)
+    return Models(lambda: outcome.valid, lambda: outcome.rejected)
 
 
 def model(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +60,6 @@ def cast_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def add_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The added columns with the drop-off they belong to."""
-    from datetime import date
-
     df = reconcile.add_metadata(reconciled(spark, sf_dir), F.col("service_type"), fixtures.SOURCE_FILE,
                                 date(fixtures.YEAR, fixtures.MONTH, 1))
     return df.select("pickup_datetime", "dropoff_datetime", "pickup_date", "service_type", "ingestion_date",
@@ -95,7 +94,9 @@ def zone_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expect_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expectations.check_models(models(spark, sf_dir)).filter(F.col("test") == "not_null")
+    every = models(spark, sf_dir)
+    reports = expectations.check_models({name: every[name] for name in expectations.EXPECTATIONS})
+    return reports.filter(F.col("test") == "not_null")
 
 
 def expect_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
