@@ -1,0 +1,125 @@
+"""Raw schemas of different vintages end up the same."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from fareline.operators import reconcile as C
+from fareline.operators.profile import schema_diff
+from fareline.schemas import CONFORMED, QUARANTINE, STANDARD_RAW
+from fareline.sources.trips import file_name, read_months, read_raw, trip_path
+
+T0, T1 = datetime(2011, 1, 5, 8), datetime(2011, 1, 5, 8, 30)
+REST = ("store_and_fwd_flag string, fare_amount double, extra double, mta_tax double, tip_amount double, "
+        "tolls_amount double, improvement_surcharge double, total_amount double")
+REST_VALUES = ("N", 9.0, 0.5, 0.5, 1.0, 0.0, 0.3, 11.3)
+
+
+def old_file(spark):
+    return spark.createDataFrame(
+        [(1, T0, T1, 2, 3.5, 1, 100, 200, 1, *REST_VALUES, 0.0)],
+        "VendorID long, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+        "passenger_count long, trip_distance double, RatecodeID long, PULocationID long, DOLocationID long, "
+        f"payment_type long, {REST}, airport_fee double")
+
+
+def new_file(spark, prefix="tpep"):
+    return spark.createDataFrame(
+        [(2, T0, T1, 1.0, 3.5, 1.0, 101, 201, 1, *REST_VALUES, 2.5, 1.75, "x")],
+        f"VendorID int, {prefix}_pickup_datetime timestamp_ntz, {prefix}_dropoff_datetime timestamp_ntz, "
+        "passenger_count double, trip_distance double, RatecodeID double, PULocationID int, DOLocationID int, "
+        f"payment_type int, {REST}, congestion_surcharge double, Airport_fee double, surprise string")
+
+
+def test_names_are_lowered_and_renamed(spark):
+    df = spark.createDataFrame([(1, 2.5, "2024-01-01")],
+                               "VendorID long, Airport_fee double, tpep_pickup_datetime string")
+    assert C.normalize_columns(df).columns == ["vendor_id", "airport_fee", "pickup_datetime"]
+
+
+def test_clashing_names_merge_left_to_right(spark):
+    df = spark.createDataFrame([(1.0, None, T0, None), (None, 2.0, None, T1), (3.0, 4.0, T0, T1)],
+                               "airport_fee double, Airport_fee double, tpep_pickup_datetime timestamp_ntz, "
+                               "lpep_pickup_datetime timestamp_ntz")
+    merged = C.normalize_columns(df)
+    assert merged.columns == ["airport_fee", "pickup_datetime"]
+    assert [tuple(r) for r in merged.collect()] == [(1.0, T0), (2.0, T1), (3.0, T0)]
+
+
+def test_missing_surcharges_are_null_doubles(spark):
+    df = C.fill_optional(spark.createDataFrame([(1, 10.0)], "vendor_id long, fare_amount double"))
+    assert dict(df.dtypes)["cbd_congestion_fee"] == "double"
+    assert df.select("congestion_surcharge", "airport_fee", "cbd_congestion_fee").first() == (None, None, None)
+
+
+def test_present_surcharges_are_kept(spark):
+    df = C.fill_optional(spark.createDataFrame([(1.75,)], "airport_fee double"))
+    assert df.first()["airport_fee"] == 1.75
+
+
+def test_unreadable_integers_become_null(spark):
+    df = spark.createDataFrame([("7", float("nan")), ("x", 2.0)], "vendor_id string, passenger_count double")
+    assert [tuple(r) for r in C.cast_types(df).collect()] == [(7, None), (None, 2)]
+
+
+@pytest.mark.parametrize("make", [old_file, new_file, lambda s: new_file(s, "lpep")])
+def test_any_vintage_conforms_to_one_schema(spark, make):
+    df = C.standardize(make(spark))
+    assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in STANDARD_RAW.fields]
+
+
+def test_vintages_union(spark):
+    both = C.standardize(old_file(spark)).unionByName(C.standardize(new_file(spark, "lpep")))
+    assert [tuple(r) for r in both.select("vendor_id", "passenger_count", "airport_fee").orderBy("vendor_id").collect()
+            ] == [(1, 2, 0.0), (2, 1, 1.75)]
+
+
+def test_missing_required_column_fails_at_analysis(spark):
+    with pytest.raises(AnalysisException):
+        C.standardize(old_file(spark).drop("fare_amount"))
+
+
+def test_metadata_and_projections(spark):
+    df = C.add_metadata(C.reconcile(old_file(spark)), "yellow", "f.parquet", date(2011, 1, 1))
+    zoned = df.withColumns({n: F.lit("z") for n in ("pu_borough", "pu_zone", "do_borough", "do_zone")})
+    row = C.conformed_columns(zoned)
+    assert row.columns == CONFORMED.names
+    assert row.select("service_type", "pickup_date", "ingestion_date", "source_file").first() == (
+        "yellow", date(2011, 1, 5), date(2011, 1, 1), "f.parquet")
+    rejected = C.quarantine_columns(df.withColumn("reason_code", F.lit("r")))
+    assert rejected.columns == QUARANTINE.names
+
+
+def test_trip_path():
+    path = trip_path("/data/", "green", 2024, 3)
+    assert path == "/data/trip-data/green/2024/03/green_tripdata_2024-03.parquet"
+    assert file_name(path) == "green_tripdata_2024-03.parquet"
+    for bad in (("taxi", 2024, 1), ("green", 2008, 1), ("green", 2031, 1), ("green", 2024, 0), ("green", 2024, 13)):
+        with pytest.raises(ValueError):
+            trip_path("/data", *bad)
+
+
+def test_files_of_several_months_are_one_scan_per_schema(spark, tmp_path):
+    paths = [trip_path(str(tmp_path), "yellow", 2011, 1), trip_path(str(tmp_path), "yellow", 2011, 2),
+             trip_path(str(tmp_path), "green", 2024, 1)]
+    old_file(spark).write.parquet(paths[0])
+    old_file(spark).write.parquet(paths[1])
+    new_file(spark, "lpep").write.parquet(paths[2])
+    df = read_months(spark, paths)
+    assert sorted(tuple(r) for r in df.select("service_type", "file_year", "file_month", "source_file").collect()) == [
+        ("green", 2024, 1, "green_tripdata_2024-01.parquet"),
+        ("yellow", 2011, 1, "yellow_tripdata_2011-01.parquet"),
+        ("yellow", 2011, 2, "yellow_tripdata_2011-02.parquet")]
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    with pytest.raises(ValueError):
+        read_months(spark, [])
+
+
+def test_schema_diff(spark, tmp_path):
+    path = str(tmp_path / "old")
+    old_file(spark).write.parquet(path)
+    diff = schema_diff(read_raw(spark, path).schema, new_file(spark).schema)
+    assert ("VendorID", "bigint", "int") in diff and ("Airport_fee", None, "double") in diff
+    assert not any(name == "fare_amount" for name, _, _ in diff)
