@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from fareline.operators.zones import check_unique_zones
 from fareline.plans.conform import conform_month
 from fareline.plans.marts import build_marts
 from fareline.schemas import MART_TABLES, REJECTED_TABLE, TRIPS_TABLE
-from fareline.sources.lake import Lake
+from fareline.sources.lake import Lake, run_together
 from fareline.sources.trips import file_name, read_raw, trip_path
 
 MIN_ROWS_PER_MONTH = 100_000
@@ -63,8 +64,10 @@ def load_month(lake: Lake, raw: DataFrame, zones: DataFrame, service_type: str,
     outcome = conform_month(raw, zones, service_type, year, month, source_file, limits, null_policy)
     in_trips = trips_period(service_type, year, month)
     in_rejects = rejects_period(service_type, year, month)
-    lake.replace_period(TRIPS_TABLE, outcome.valid, in_trips)
-    lake.replace_period(REJECTED_TABLE, outcome.rejected, in_rejects)
+    run_together(
+        lake.spark,
+        lambda: lake.replace_period(TRIPS_TABLE, outcome.valid, in_trips),
+        lambda: lake.replace_period(REJECTED_TABLE, outcome.rejected, in_rejects))
     reasons = count_reasons(lake.read(REJECTED_TABLE, **in_rejects)).collect()
     return LoadCounts(
         service_type, in_trips["period"], raw.count(), lake.read(TRIPS_TABLE, **in_trips).count(),
@@ -81,12 +84,11 @@ def refresh_marts(lake: Lake, service_type: str, year: int, month: int) -> DataF
     in_rejects = rejects_period(service_type, year, month)
     models = build_marts(lake.read(TRIPS_TABLE, **in_trips), lake.read(REJECTED_TABLE, **in_rejects))
     keys = {"service_type": service_type, "period": in_trips["period"], "ingestion_month": str(date(year, month, 1))}
-    stored = {STAGED: models[STAGED]}
-    for layout in MART_TABLES:
-        mart_period = {key: keys[key] for key in layout.period_keys}
-        lake.replace_period(layout, models[layout.name], mart_period)
-        stored[layout.name] = lake.read(layout, **mart_period)
-    return check_models(stored)
+    periods = {layout: {key: keys[key] for key in layout.period_keys} for layout in MART_TABLES}
+    run_together(lake.spark, *(
+        partial(lake.replace_period, layout, models[layout.name], period) for layout, period in periods.items()))
+    stored = {layout.name: lake.read(layout, **period) for layout, period in periods.items()}
+    return check_models({STAGED: models[STAGED], **stored})
 
 
 def run_month(lake: Lake, raw_root: str, zones: DataFrame, service_type: str, year: int, month: int,

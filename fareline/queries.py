@@ -25,7 +25,7 @@ from fareline.sources.zones import read_zones
 Query = Callable[[SparkSession, str], DataFrame]
 
 LIMITS = fixtures.LIMITS
-MIN_ROWS = 100
+MIN_ROWS = 50
 
 
 def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -158,7 +158,7 @@ HEALTH = _struct(
 )
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class TableLayout:
     """How one stored table is laid out.
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
@@ -14,18 +15,9 @@ from pyspark.sql.types import StringType, StructField
 from fareline.operators.reconcile import select_as
 from fareline.schemas import TableLayout
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
-@contextmanager
-def _static_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Static mode clears the whole named period; dynamic mode would leave days the new load lacks."""
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "static")
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+# Static overwrite clears the whole named period; dynamic overwrite would leave days the new load lacks.
+# As a table option it holds for every writer, whatever the session says.
+TABLE_OPTIONS = "OPTIONS ('partitionOverwriteMode' 'static')"
 
 
 def _or_fail(name: str) -> Column:
@@ -67,7 +59,7 @@ class Lake:
             f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in fields)
         keys = ", ".join(f"`{key}`" for key in layout.partition_keys)
         table = self.qualified(layout)
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {TABLE_OPTIONS} "
                        f"PARTITIONED BY ({keys}) LOCATION '{self.location(layout)}'")
         if self._has_files(layout):
             self.spark.sql(f"MSCK REPAIR TABLE {table}")
@@ -111,9 +103,8 @@ class Lake:
         view = f"incoming_{uuid.uuid4().hex}"
         rows.createOrReplaceTempView(view)
         try:
-            with _static_overwrite(self.spark):
-                self.spark.sql(f"INSERT OVERWRITE TABLE {self.qualified(layout)} PARTITION ({spec}) "
-                               f"SELECT * FROM {view}")
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.qualified(layout)} PARTITION ({spec}) "
+                           f"SELECT * FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)
 
@@ -122,3 +113,14 @@ def write_checked(df: DataFrame, path: str) -> DataFrame:
     """Overwrite a plain Parquet folder and return it as read back, without a table."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def run_together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
+    """Run independent writes at the same time, so that a small one does not leave the cluster idle.
+
+    All are waited for; then the first failure, if any, is raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for done in running:
+        done.result()
