@@ -1,5 +1,7 @@
 """Models and marts on rows small enough to work out by hand."""
 
+import math
+import random
 from datetime import date, datetime
 
 import pytest
@@ -42,6 +44,15 @@ def test_rounding(spark):
     assert one(spark, percent(F.lit(1), F.lit(3))) == 33.33
 
 
+def test_round2_equals_scaled_round(spark):
+    rng = random.Random(3)
+    values = [rng.uniform(-1000, 1000) for _ in range(2000)] + [n / 200 for n in range(-400, 400)] + [
+        0.0049999999999999994, 1e15 + 0.3, -1e17, 4503599627370497.5, 0.0, None, math.inf]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    scaled = F.round(F.col("x") * 100.0) / 100.0
+    assert df.filter(~round2(F.col("x")).eqNullSafe(scaled)).count() == 0
+
+
 def test_ratio_needs_a_positive_base(spark):
     assert one(spark, ratio_when_positive(F.lit(5.0), F.lit(20.0), 100.0)) == 25.0
     assert one(spark, ratio_when_positive(F.lit(5.0), F.lit(0.0))) is None
