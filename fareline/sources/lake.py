@@ -55,8 +55,11 @@ class Lake:
         fields = [*layout.schema.fields]
         fields += [StructField(key, StringType(), False) for key in layout.partition_keys
                    if key not in layout.schema.names]
+        # NOT NULL on a partition key would make every insert check it after the sort and sort once more,
+        # by that key alone; ``replace_period`` does the check before.
         columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in fields)
+            f"`{f.name}` {f.dataType.simpleString()}"
+            f"{'' if f.nullable or f.name in layout.partition_keys else ' NOT NULL'}" for f in fields)
         keys = ", ".join(f"`{key}`" for key in layout.partition_keys)
         table = self.qualified(layout)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {TABLE_OPTIONS} "

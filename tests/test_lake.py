@@ -155,6 +155,22 @@ def test_a_hot_day_becomes_several_files(lake):
     assert lake.read(TRIPS_TABLE).count() == 200_000
 
 
+def test_files_are_sorted_for_row_group_skipping(lake):
+    """Days are gathered and boroughs ordered inside each file, with one sort in the insert."""
+    spark = lake.spark
+    boroughs = spark.range(3000).select(
+        F.expr("date_add(DATE'2024-01-01', CAST(id % 2 AS INT))").alias("pickup_date"),
+        F.element_at(F.array(*map(F.lit, ("Queens", "Bronx", "EWR"))), (F.col("id") % 3 + 1).cast("int"))
+        .alias("pu_borough"),
+        F.lit("yellow").alias("service_type"), F.lit(date(2024, 1, 1)).alias("ingestion_date"))
+    rows = boroughs.repartition(6).select(*(F.col(f.name) if f.name in boroughs.columns else
+                                            F.lit(None).cast(f.dataType).alias(f.name) for f in CONFORMED.fields))
+    lake.replace_period(TRIPS_TABLE, rows, trips_period("yellow", 2024, 1))
+    for path in lake.read(TRIPS_TABLE).inputFiles():
+        stored = [r[0] for r in spark.read.parquet(path).select("pu_borough").collect()]
+        assert stored == sorted(stored) and len(set(stored)) == 3
+
+
 def test_fact_layout_keeps_month_number_and_period_apart(lake):
     lake.create(FACT_TABLE)
     assert "pickup_month" in lake.read(FACT_TABLE).columns and "period" not in lake.read(FACT_TABLE).columns
