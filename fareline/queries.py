@@ -19,7 +19,7 @@ from fareline.plans.monthly import backfill, load_month, rebuild_marts, run_mont
 from fareline.schemas import HOURLY_TABLE, REVENUE_TABLE, TRIPS_TABLE
 from fareline.sources.lake import Lake, write_checked
 from fareline.sources.scratch import new_scratch_dir
-from fareline.sources.trips import read_months
+from fareline.sources.trips import file_name, read_months, read_raw, trip_path
 from fareline.sources.zones import read_zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,32 +154,40 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, "service_type string, period string, raw_rows long, valid_rows long, rejected_rows long, lost_rows long")
 
 
-def _filled_lake(spark: SparkSession, sf_dir: str, months) -> Lake:
+def _month_files(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Raw monthly files of both services below a new folder, and the zones read from a CSV there."""
     root = new_scratch_dir(spark, "raw")
     fixtures.write_month_files(spark, sf_dir, root)
-    zones = read_zones(spark, fixtures.write_zone_csv(spark, sf_dir, root))
-    lake = _new_lake(spark, "backfill")
-    for service_type in ("yellow", "green"):
-        if len(months) == 1:
-            run_month(lake, root, zones, service_type, *months[0], limits=LIMITS, min_rows=MIN_ROWS)
-        else:
-            backfill(lake, root, zones, service_type, months, limits=LIMITS, min_rows=MIN_ROWS)
-    return lake
+    return root, read_zones(spark, fixtures.write_zone_csv(spark, sf_dir, root))
 
 
 def monthly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full runs of January for both services from raw files; the stored hourly mart."""
-    return _filled_lake(spark, sf_dir, fixtures.MONTHS[:1]).read(HOURLY_TABLE)
+    root, zones = _month_files(spark, sf_dir)
+    lake = _new_lake(spark, "month")
+    for service_type in ("yellow", "green"):
+        run_month(lake, root, zones, service_type, *fixtures.MONTHS[0], limits=LIMITS, min_rows=MIN_ROWS)
+    return lake.read(HOURLY_TABLE)
 
 
 def backfill_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backfill of three months of both services from raw files; the stored revenue mart."""
-    return _filled_lake(spark, sf_dir, fixtures.MONTHS).read(REVENUE_TABLE)
+    root, zones = _month_files(spark, sf_dir)
+    lake = _new_lake(spark, "backfill")
+    for service_type in ("yellow", "green"):
+        backfill(lake, root, zones, service_type, fixtures.MONTHS, limits=LIMITS, min_rows=MIN_ROWS)
+    return lake.read(REVENUE_TABLE)
 
 
 def backfill_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The health mart rebuilt over the whole history of a backfilled lake."""
-    return rebuild_marts(_filled_lake(spark, sf_dir, fixtures.MONTHS))["agg_monthly_pipeline_health"]
+    """Load three months of both services, then build the health mart over the whole stored history."""
+    root, zones = _month_files(spark, sf_dir)
+    lake = _new_lake(spark, "history")
+    for service_type in ("yellow", "green"):
+        for year, month in fixtures.MONTHS:
+            path = trip_path(root, service_type, year, month)
+            load_month(lake, read_raw(spark, path), zones, service_type, year, month, file_name(path), LIMITS)
+    return rebuild_marts(lake)["agg_monthly_pipeline_health"]
 
 
 def local_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,6 +84,8 @@ class Lake:
         An empty ``df`` empties the period. Rows are rebalanced on the day partitions: AQE merges
         small ones and splits a hot day over several tasks, so files come out near the advisory
         size. Plain Parquet has no snapshots: readers may see the period incomplete during the write.
+        One write per table at a time: the file committer keeps its temporary files below the table's
+        folder and clears them when a write ends.
         """
         if set(period) != set(layout.period_keys):
             raise ValueError(f"{layout.name} is replaced by {layout.period_keys}, not {tuple(period)}")

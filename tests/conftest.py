@@ -13,7 +13,7 @@ from fareline.session import build_session  # noqa: E402
 def spark():
     session = build_session("fareline-tests", "local[4]", 4, **{
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "4g"})
+        "spark.sql.maxMetadataStringLength": "5000", "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -3,11 +3,12 @@
 import oracle_compare
 import pytest
 from helpers import plan_of
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from fareline import fixtures, queries
 from fareline.plans.conform import conform_month
-from fareline.sources.zones import ZONES  # noqa: F401  (the dimension's schema is part of the reader's surface)
+from fareline.plans.marts import build_marts
 
 SF = "/root/testdata/sf0.001"
 QUERIES = entry_point.queries()
@@ -51,6 +52,21 @@ def test_no_python_in_any_plan(spark, name):
     assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_marts_do_not_depend_on_partitioning(spark):
+    """Rounded averages come out equal however rows are spread over tasks."""
+    sf = "/root/testdata/sf0.01"
+    raw = fixtures.raw_trips(spark, sf)
+
+    def mart(trips):
+        outcome = conform_month(trips, fixtures.zones(spark, sf), F.col("service_type"), 2024, 1, "f", queries.LIMITS)
+        return sorted(map(tuple, build_marts(outcome.valid, outcome.rejected)["agg_monthly_zone_revenue"].collect()))
+
+    expected = mart(raw)
+    assert len(expected) == 50
+    for spread in (raw.repartition(7), raw.repartition(5, "fare_amount"), raw.orderBy(F.desc("total_amount"))):
+        assert mart(spread) == expected
+
+
 @pytest.fixture(scope="module")
 def month_file(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("file") / "yellow_tripdata_2024-01.parquet")

@@ -51,8 +51,8 @@ def test_orphans_ignore_nulls(spark):
 def test_zone_csv(spark, tmp_path):
     path = tmp_path / "zones.csv"
     path.write_text('"LocationID","Borough","Zone","service_zone"\n1,"EWR","Newark Airport","EWR"\n'
-                    '264,"Unknown","N/A","N/A"\n265,"N/A","Outside of NYC","N/A"\n')
+                    '264,"Unknown","N/A","N/A"\n265,"N/A","Outside","N/A"\n')
     rows = {r.LocationID: (r.Borough, r.Zone) for r in read_zones(spark, str(path)).collect()}
-    assert rows == {1: ("EWR", "Newark Airport"), 264: ("Unknown", None), 265: (None, "Outside of NYC")}
+    assert rows == {1: ("EWR", "Newark Airport"), 264: ("Unknown", None), 265: (None, "Outside")}
     as_text = {r.LocationID: r.Borough for r in read_zones(spark, str(path), missing=None).collect()}
     assert as_text[265] == "N/A"
