@@ -7,6 +7,7 @@ import pytest
 from helpers import plan_of
 from pyspark.sql import functions as F
 
+from fareline.operators.expectations import volume_gate
 from fareline.plans.monthly import rejects_period, trips_period
 from fareline.schemas import CONFORMED, FACT_TABLE, QUARANTINE, REJECTED_TABLE, TRIPS_TABLE
 from fareline.sources.lake import Lake, run_together, write_checked
@@ -133,6 +134,16 @@ def test_a_period_and_a_day_prune_partitions(lake):
     assert len(one.inputFiles()) >= 1
 
 
+def test_the_volume_gate_reads_one_month_of_partitions(lake):
+    load(lake, "yellow", 2024, 1, "2024-01-01", "2024-01-31")
+    load(lake, "yellow", 2024, 2, "2024-02-01")
+    gate = volume_gate(lake.read(TRIPS_TABLE), 2024, 1, 2)
+    filters = plan_of(gate).split("PartitionFilters: [")[1].split("]")[0]
+    assert "pickup_date" in filters and "2024-01-01" in filters and "2024-02-01" in filters
+    assert "ReadSchema: struct<>" in plan_of(gate)
+    assert gate.first() == ("2024-01", 2, 2, True)
+
+
 def test_a_hot_day_becomes_several_files(lake):
     """One day holds nearly all rows: its partition is split instead of landing in one task."""
     spark = lake.spark
