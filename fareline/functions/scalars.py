@@ -12,23 +12,24 @@ DAY_PARTS = (("morning", 6, 11), ("afternoon", 12, 16), ("evening", 17, 21))
 OTHER_DAY_PART = "night"
 
 
-def _half_away(value: Column) -> Column:
-    """Nearest integer as a double, halves away from zero.
-
-    Same result as ``round(value)``, without its detour through a decimal text for every row.
-    """
-    nearest = F.rint(value)
-    is_half = F.abs(value - nearest) == F.lit(0.5)
-    return F.when(is_half, value + F.signum(value) * F.lit(0.5)).otherwise(nearest)
-
-
 def round2(value: Column) -> Column:
     """Round a double to cents as ``round(x * 100) / 100``.
 
     Spark's own ``round(double, 2)`` goes through the decimal text of the number (1.005 -> 1.01),
     SQL engines scale and round the binary value (1.005 -> 1.0); the marts follow the latter.
     """
-    return _half_away(value * F.lit(100.0)) / F.lit(100.0)
+    return F.round(value * F.lit(100.0)) / F.lit(100.0)
+
+
+def hundredths(scaled: Column) -> Column:
+    """``round(scaled) / 100``, halves away from zero, for values worked out on every row.
+
+    Gives what ``round`` gives without its detour through a decimal text. ``scaled`` is used four
+    times, so pass a plain column and not the expression behind it.
+    """
+    nearest = F.rint(scaled)
+    is_half = F.abs(scaled - nearest) == F.lit(0.5)
+    return F.when(is_half, scaled + F.signum(scaled) * F.lit(0.5)).otherwise(nearest) / F.lit(100.0)
 
 
 def settled2(aggregate: Column) -> Column:
@@ -37,7 +38,7 @@ def settled2(aggregate: Column) -> Column:
     Snapping to nine decimals first makes an exact half-cent round the same way however rows were
     partitioned or tasks repeated.
     """
-    return round2(_half_away(aggregate * F.lit(1e9)) / F.lit(1e9))
+    return round2(F.round(aggregate * F.lit(1e9)) / F.lit(1e9))
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -73,7 +74,6 @@ def day_part(hour: Column) -> Column:
     return chain.otherwise(OTHER_DAY_PART)
 
 
-def ratio_when_positive(part: Column, base: Column, scale: float = 1.0) -> Column:
-    """``part / base * scale`` with two decimals where ``base`` is positive, else null."""
-    ratio = part / base
-    return F.when(base > 0, round2(ratio if scale == 1.0 else ratio * F.lit(scale)))
+def ratio_when_positive(part: Column, base: Column) -> Column:
+    """``part / base`` where ``base`` is positive, else null."""
+    return F.when(base > 0, part / base)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareline.functions.scalars import day_part, ratio_when_positive, whole_minutes
+from fareline.functions.scalars import day_part, hundredths, ratio_when_positive, whole_minutes
 from fareline.schemas import FACT_COLUMNS, STAGED_COLUMNS
 
 
@@ -17,16 +17,21 @@ def stg_trips(conformed: DataFrame) -> DataFrame:
 def int_trips_enriched(staged: DataFrame) -> DataFrame:
     """Staged trips plus duration, ratios and calendar parts."""
     hour = F.hour("pickup_datetime")
-    return staged.withColumns({
+    # The ratios stay a projection of their own: each is used several times by the rounding above it.
+    scaled = staged.withColumns({
+        "scaled_tip": ratio_when_positive(F.col("tip_amount"), F.col("fare_amount")) * F.lit(100.0) * F.lit(100.0),
+        "scaled_revenue": ratio_when_positive(F.col("total_amount"), F.col("trip_distance")) * F.lit(100.0),
+    })
+    return scaled.withColumns({
         "trip_duration_minutes": whole_minutes(F.col("pickup_datetime"), F.col("dropoff_datetime")),
-        "tip_percentage": ratio_when_positive(F.col("tip_amount"), F.col("fare_amount"), scale=100.0),
-        "revenue_per_mile": ratio_when_positive(F.col("total_amount"), F.col("trip_distance")),
+        "tip_percentage": hundredths(F.col("scaled_tip")),
+        "revenue_per_mile": hundredths(F.col("scaled_revenue")),
         "time_of_day": day_part(hour),
         "pickup_hour": hour,
         "day_of_week": F.dayofweek("pickup_date"),
         "pickup_month": F.month("pickup_date"),
         "pickup_year": F.year("pickup_date"),
-    })
+    }).drop("scaled_tip", "scaled_revenue")
 
 
 def fact_trips(enriched: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from helpers import plan_of
 from pyspark.sql import functions as F
 
-from fareline.functions.scalars import day_part, percent, ratio_when_positive, round2, settled2, whole_minutes
+from fareline.functions.scalars import day_part, hundredths, percent, ratio_when_positive, round2, settled2, whole_minutes
 from fareline.plans import marts, models
 from fareline.schemas import CONFORMED, FACT, HEALTH, HOURLY, QUALITY, REVENUE
 
@@ -51,10 +51,12 @@ def test_round2_equals_scaled_round(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     scaled = F.round(F.col("x") * 100.0) / 100.0
     assert df.filter(~round2(F.col("x")).eqNullSafe(scaled)).count() == 0
+    by_row = df.withColumn("s", F.col("x") * 100.0)
+    assert by_row.filter(~hundredths(F.col("s")).eqNullSafe(scaled)).count() == 0
 
 
 def test_ratio_needs_a_positive_base(spark):
-    assert one(spark, ratio_when_positive(F.lit(5.0), F.lit(20.0), 100.0)) == 25.0
+    assert one(spark, ratio_when_positive(F.lit(5.0), F.lit(20.0))) == 0.25
     assert one(spark, ratio_when_positive(F.lit(5.0), F.lit(0.0))) is None
     assert one(spark, ratio_when_positive(F.lit(5.0), F.lit(-1.0))) is None
 
