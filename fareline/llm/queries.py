@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm import dedup, packing, pieces, simhash, urls
+from fareline.llm import dedup, language, packing, pieces, quality, simhash, urls
 from fareline.llm.common import table
 
 URL_RULES = (
@@ -37,6 +37,29 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def remainder(parts: int) -> Column:
+    """The fold of a document: crc32 of its doc_id as text, modulo ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, usable=remainder(4) != 2)
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
+    return language.identify(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.QualityModel:
+    return quality.fit(docs, table(spark, sf_dir, "labels"), usable=remainder(3) != 1)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out")
+    return quality.score(docs, quality_model(spark, docs, sf_dir)).select(
+        "doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -54,7 +77,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_language": op3_language,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_quality": op6_quality,
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
 }
