@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm import dedup, language, packing, pieces, quality, simhash, urls
+from fareline.llm import dedup, language, packing, pieces, quality, secrets, simhash, topk, urls
 from fareline.llm.common import table
 
 URL_RULES = (
@@ -60,6 +60,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -74,12 +78,27 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("component")
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def joined(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *(count(kind) for kind in secrets.KINDS),
+                        F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_language": op3_language,
+    "op4_topk": op4_topk,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality": op6_quality,
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
+    "op10_secrets": op10_secrets,
 }
