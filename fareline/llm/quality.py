@@ -6,6 +6,7 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,8 +158,6 @@ def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
 
 def keep_good(docs: DataFrame, model: QualityModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows whose text scores at least ``least``, all columns kept, in the pass that reads them."""
-    import pandas as pd
-
     shared = docs.sparkSession.sparkContext.broadcast(model)
     key = id(model)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm import dedup, language, packing, pieces, quality, secrets, simhash, topk, urls
+from fareline.llm import dedup, language, packing, pieces, pii, quality, secrets, simhash, topk, urls
 from fareline.llm.common import table
 
 URL_RULES = (
@@ -17,6 +17,9 @@ URL_RULES = (
     urls.Rule("allow", "org", "/fr/"),
 )
 
+# A key of the test tables only; a user passes a secret one.
+PSEUDONYM_KEY = b"key of the test tables"
+
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_each=3, radius=3).select(
@@ -68,12 +71,22 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
-def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymize(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    return found.select("doc_id", "text", F.size("found").cast("long").alias("n_replaced"), F.array_join(F.transform(
+        "found", lambda v: F.concat_ws(":", v.kind, v.start, v.end)), ",").alias("spans"))
+
+
+def op8_pieces(docs: DataFrame) -> DataFrame:
+    packed = packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_pieces(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("component")
 
@@ -98,6 +111,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_topk": op4_topk,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality": op6_quality,
+    "op7_pseudonyms": op7_pseudonyms,
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_secrets": op10_secrets,

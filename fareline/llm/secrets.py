@@ -12,9 +12,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from fareline.llm.common import map_texts
 
@@ -276,9 +278,6 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None
 
     Texts without spans stay as they are, null stays null.
     """
-    import pandas as pd
-    from pyspark.sql.types import StringType
-
     @F.pandas_udf(StringType())
     def cleaned(texts: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else masked(t, s) if (s := all_spans(t)) else t for t in texts],

@@ -135,18 +135,19 @@ def near_links(fps: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame
     blocks that are compared two at a time, each pair of blocks in a group of its own, so no task holds
     more than about two blocks, whatever the bucket's size, and no pair within it is missed.
     """
-    masks = cover_masks(radius)
+    # A bucket is a hash of mask and masked bits. Two buckets that share it are only compared more than needed, as
+    # every link is checked by its bits.
     keyed = fps.select("fp", F.explode(F.array(*(
-        F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
-        for t, m in enumerate(masks)))).alias("k")).select("fp", "k.t", "k.key")
-    sizes = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = keyed.join(sizes, ["t", "key"]).withColumn("blocks", F.ceil(F.col("size") / block))
+        F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m))))
+        for t, m in enumerate(cover_masks(radius))))).alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = keyed.join(sizes, "key").withColumn("blocks", F.ceil(F.col("size") / block))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     placed = shared.withColumn("own", own).select(
-        "t", "key", "fp", "own", F.explode(F.when(F.col("blocks") <= 1, F.array(F.lit(0).cast("long"))).otherwise(
-            F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).alias("other"))
-    bucket = F.xxhash64("t", "key", F.least("own", "other"), F.greatest("own", "other"))
-    # Two buckets that share this hash are only compared more than needed: every link is checked by its bits.
+        "key", "fp", "own", "blocks",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    bucket = F.when(F.col("blocks") == 1, F.col("key")).otherwise(
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
     grouped = placed.select(bucket.alias("bucket"), "fp").repartition("bucket").sortWithinPartitions("bucket")
     return grouped.mapInArrow(_bucket_links(radius), "a long, b long").distinct()
 
@@ -175,7 +176,7 @@ def near_duplicates(docs: DataFrame, words_each: int = 3, radius: int = 3, id_co
         "text_hash")
 
 
-def drop_near_duplicates(docs: DataFrame, words_each: int = 5, radius: int = 3) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, words_each: int = 5, radius: int = 6) -> DataFrame:
     """One document of each component, all columns kept: the one with the smallest doc_id.
 
     Null doc_ids come last, equal ones are decided by the hash of their texts, and of rows that repeat
