@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import heapq
+import os
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,7 +20,9 @@ WINDOW = 2048
 PIECE = 512
 # Windows that are balanced together; bounds what a task holds, and the last window of a group is the one left short.
 GROUP_WINDOWS = 256
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 700_000
+# Punctuation that, after a letter, is a token run of its own whatever comes before the letter.
+_TRAILING = b".,;:!?%$&*#"
 
 PACKED = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
@@ -80,30 +84,46 @@ def balanced(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 class WordTokens:
-    """Token ids of texts by a tokenizer that never joins across ASCII white space, word by word.
+    """Token ids of texts by a lower-casing tokenizer that splits letters, punctuation and white space.
 
-    A word's ids are remembered, so the tokenizer sees each about once per task.
+    No token reaches across ASCII white space, so words are encoded by themselves and remembered; the tokenizer sees
+    each about once per task, and of those that differ in ASCII case or trailing punctuation only one.
     """
 
     def __init__(self, path: str):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
+    def _tokenized(self, words: list[bytes]) -> None:
+        for word, found in zip(words, self.tokenizer.encode_batch_fast(
+                [w.decode("utf-8") for w in words], add_special_tokens=False), strict=True):
+            self.known[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, bytes]:
+        """A form of the word with the same ids, in two parts that are encoded apart."""
+        if b"<" in word:  # the marks of special tokens are case-sensitive
+            return word, b""
+        if word.isascii():
+            word = word.lower()
+        head = word.rstrip(_TRAILING)
+        return (head, word[len(head):]) if head[-1:].isalpha() else (word, b"")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
         split = [text.encode("utf-8", "replace").split() for text in texts]
         if len(self.known) > _CACHED_WORDS:
             self.known.clear()
-        unknown = list(set().union(*split).difference(self.known)) if split else []
-        for word, found in zip(unknown, self.tokenizer.encode_batch(
-                [w.decode("utf-8") for w in unknown], add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-        ids = self.known.__getitem__
+        known = self.known
+        unknown = [(w, *self._parts(w)) for w in set().union(*split).difference(known)]
+        self._tokenized(list({p for _, *parts in unknown for p in parts if p and p not in known}))
+        for word, head, tail in unknown:
+            if tail or head != word:
+                known[word] = known[head] + known[tail] if tail else known[head]
+        ids = known.__getitem__
         return [b"".join(map(ids, words)) for words in split]
 
 
