@@ -77,7 +77,13 @@ def pickup_in_period(year: int | Column | None = None, month: int | Column | Non
     pickup = F.col("pickup_datetime")
     if isinstance(year, Column) or isinstance(month, Column):
         return (F.year(pickup) == year) & (F.month(pickup) == month)
-    begin, end = date(year, month, 1), next_month(year, month)
+    return between_months((year, month), (year, month))
+
+
+def between_months(first: tuple[int, int], last: tuple[int, int]) -> Column:
+    """Pickup from the begin of the first month to the end of the last one."""
+    pickup = F.col("pickup_datetime")
+    begin, end = date(*first, 1), next_month(*last)
     return (pickup >= F.lit(f"{begin} 00:00:00").cast("timestamp_ntz")) & (
         pickup < F.lit(f"{end} 00:00:00").cast("timestamp_ntz"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,13 +33,29 @@ def hundredths(scaled: Column) -> Column:
     return F.when(is_half, scaled + F.signum(scaled) * F.lit(0.5)).otherwise(nearest) / F.lit(100.0)
 
 
-def settled2(aggregate: Column) -> Column:
-    """``round2`` for sums and averages of doubles, whose last bits depend on the order of addition.
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles that does not depend on the order of addition, as a double; null without values.
 
-    Snapping to nine decimals first makes an exact half-cent round the same way however rows were
-    partitioned or tasks repeated.
+    Each value is split into its whole part and its billionths, and both are summed as integers. Values
+    of 1e15 and more, NaN and infinities have no such parts and are added to the result as doubles.
     """
-    return round2(F.round(aggregate * F.lit(1e9)) / F.lit(1e9))
+    value = value.cast("double")
+    plain = F.abs(value) < F.lit(1e15)
+    whole = F.sum(F.when(plain, F.floor(value))).cast("decimal(20,0)")
+    billionths = F.sum(F.when(plain, F.rint((value - F.floor(value)) * F.lit(1e9)).cast("long"))).cast("decimal(20,0)")
+    exact = (whole + billionths * F.lit(Decimal("0.000000001"))).cast("double")
+    rest = F.sum(F.when(~plain, value))
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+
+
+def total2(value: Column) -> Column:
+    """Sum with two decimals."""
+    return round2(exact_sum(value))
+
+
+def mean2(value: Column) -> Column:
+    """Average of the values that are not null, with two decimals."""
+    return round2(F.try_divide(exact_sum(value), F.count(value).cast("double")))
 
 
 def percent(part: Column, whole: Column) -> Column:

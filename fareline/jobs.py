@@ -10,7 +10,9 @@ import argparse
 import logging
 
 from fareline.functions.rules import NULL_POLICIES, REJECT
-from fareline.operators.profile import duration_percentiles, quality_profile, value_percentiles
+from fareline.operators.profile import (
+    compare_profiles, duration_percentiles, quality_profile, schema_diff, value_percentiles,
+)
 from fareline.operators.reconcile import reconcile
 from fareline.operators.zones import orphan_locations
 from fareline.plans.monthly import MIN_ROWS_PER_MONTH, backfill, load_month, run_month
@@ -34,11 +36,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         command.add_argument("--year", type=int, required=True)
         command.add_argument("--month", type=int, required=True)
         if name == "profile":
+            command.add_argument("--other-year", type=int, help="year of a second month to compare with")
+            command.add_argument("--other-month", type=int)
             continue
         command.add_argument("--lake", required=True)
         command.add_argument("--database", default="fareline")
         command.add_argument("--null-policy", choices=NULL_POLICIES, default=REJECT)
-        command.add_argument("--min-rows", type=int, default=MIN_ROWS_PER_MONTH)
+        if name != "conform":
+            command.add_argument("--min-rows", type=int, default=MIN_ROWS_PER_MONTH)
         if name == "backfill":
             command.add_argument("--months", type=int, required=True, help="number of months from the first")
     return parser.parse_args(argv)
@@ -51,7 +56,15 @@ def main(argv: list[str] | None = None) -> None:
     zones = read_zones(spark, args.zones)
     path = trip_path(args.raw_root, args.service_type, args.year, args.month)
     if args.command == "profile":
-        trips = reconcile(read_raw(spark, path))
+        raw = read_raw(spark, path)
+        trips = reconcile(raw)
+        if args.other_year and args.other_month:
+            other = read_raw(spark, trip_path(args.raw_root, args.service_type, args.other_year, args.other_month))
+            for difference in schema_diff(raw.schema, other.schema):
+                log.info("column %s: %s, %s", *difference)
+            for row in compare_profiles(trips, reconcile(other), zones).orderBy("measure").collect():
+                log.info("%s", row.asDict())
+            return
         for report in (quality_profile(trips), value_percentiles(trips), duration_percentiles(trips),
                        orphan_locations(trips, zones)):
             for row in report.collect():

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fareline.functions.rules import Thresholds
 from fareline.functions.scalars import elapsed_seconds, percent
+from fareline.operators.zones import orphan_locations
+from fareline.sources.scratch import new_scratch_dir
 
-# --- fixed values: probabilities reported ---
+# --- fixed values: probabilities reported, and the measures of the report below ---
 VALUE_PROBABILITIES = (0.01, 0.25, 0.5, 0.75, 0.99)
 DURATION_PROBABILITIES = (0.01, 0.25, 0.5, 0.75, 0.95, 0.99, 0.999)
-LONG_TRIP_SECONDS = 1440 * 60
 
 
 def quality_profile(trips: DataFrame) -> DataFrame:
@@ -26,7 +28,7 @@ def quality_profile(trips: DataFrame) -> DataFrame:
         "null_pickup_location": F.col("pu_location_id").isNull(),
         "null_dropoff_location": F.col("do_location_id").isNull(),
         "duration_lte_zero": seconds <= 0,
-        "duration_gt_24h": seconds > LONG_TRIP_SECONDS,
+        "duration_gt_24h": seconds > Thresholds().max_duration_minutes * 60,
     }
     measured = trips.agg(
         F.count(F.lit(1)).alias("total_rows"),
@@ -38,62 +40,42 @@ def quality_profile(trips: DataFrame) -> DataFrame:
         f"{name}_pct": percent(F.col(name), F.col("total_rows")) for name in suspicious})
 
 
-def _coarse_bucket(value: Column) -> Column:
-    """Order-preserving bucket of a double: even steps near zero, equal ratios further out, NaN last.
-
-    There are fewer than 1.5 million buckets over the whole double range.
-    """
-    scaled = F.signum(value) * F.least(F.log1p(F.abs(value)), F.lit(710.0))
-    return F.when(F.isnan(value), F.lit(1 << 20)).otherwise(F.floor(scaled * F.lit(1000.0)))
-
-
-def _holding_rank(sizes: DataFrame, within: Sequence[str], order: str) -> DataFrame:
-    """Of the buckets of each group, the one that contains the wanted ``rank``; rank becomes relative to it."""
-    reached = F.sum("size").over(Window.partitionBy(*within).orderBy(order))
-    return (
-        sizes.withColumn("before", reached - F.col("size"))
-        .filter((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("size")))
-        .withColumn("rank", F.col("rank") - F.col("before"))
-        .drop("size", "before"))
-
-
 def exact_percentiles(df: DataFrame, metrics: dict[str, Column], probabilities: Sequence[float]) -> DataFrame:
     """Discrete percentiles of several double expressions: rows (metric, probability, value).
 
     The value at probability p is the smallest one whose rank reaches ``ceil(p * n)``; nulls do
-    not count. ``percentile_approx`` answers the same question, but merges one sketch per input
+    not count, NaN comes last. ``percentile_approx`` answers the same question, but merges one sketch per input
     partition in a single task, which does not hold up over very many partitions. Here equal
-    values are counted on the map side first; then each wanted rank is narrowed down to one
-    coarse bucket, to one of 4096 cells of that bucket, and to a value of that cell. A task orders
-    a list of buckets, of cells, or the distinct values of one cell, never the values as a whole.
+    values are counted on the map side first. The distinct values are then stored in ranges of about equal size,
+    whatever their distribution; the sizes of the ranges tell in which one each rank lies, and only the ranges wanted are
+    ordered, each by a task of its own.
     """
     values = df.select(*(expression.cast("double").alias(name) for name, expression in metrics.items())).unpivot(
         [], list(metrics), "metric", "value").filter(F.col("value").isNotNull())
     counted = values.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("copies"))
-    bucketed = counted.withColumn("bucket", _coarse_bucket(F.col("value")))
-
+    ranged = counted.repartitionByRange("metric", "value").withColumn("range", F.spark_partition_id())
+    # Stored, so that the ranges are the same for their sizes and for what is read of them.
+    path = new_scratch_dir(df.sparkSession, "ranges")
+    ranged.write.parquet(path)
+    stored = df.sparkSession.read.schema("metric string, value double, copies long, range int").parquet(path)
+
+    # One row per metric and range from here on; with the probabilities, a broadcast of known size.
+    sizes = stored.groupBy("metric", "range").agg(F.sum("copies").alias("size"))
+    upto = F.sum("size").over(Window.partitionBy("metric").orderBy("range"))
     total = F.sum("size").over(Window.partitionBy("metric"))
     wanted = F.explode(F.array(*(F.lit(float(p)) for p in probabilities)))
-    buckets = (
-        bucketed.groupBy("metric", "bucket")
-        .agg(F.sum("copies").alias("size"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .withColumn("total", total)
-        .withColumn("probability", wanted)
-        .withColumn("rank", F.greatest(F.ceil(F.col("probability") * F.col("total")), F.lit(1)))
-        .drop("total"))
-    # One row per metric and probability from here on, so these broadcasts have a known size.
-    in_bucket = F.broadcast(_holding_rank(buckets, ["metric", "probability"], "bucket"))
-
-    position = F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low"))
-    candidates = bucketed.join(in_bucket, ["metric", "bucket"]).select(
-        "metric", "probability", "rank", "value", "copies",
-        F.coalesce(F.floor(position * F.lit(4096.0)), F.lit(0)).alias("cell"))
-    cells = candidates.groupBy("metric", "probability", "rank", "cell").agg(F.sum("copies").alias("size"))
-    in_cell = F.broadcast(_holding_rank(cells, ["metric", "probability"], "cell"))
-
-    finalists = candidates.drop("rank").join(in_cell, ["metric", "probability", "cell"]).select(
-        "metric", "probability", "rank", "value", F.col("copies").alias("size"))
-    return _holding_rank(finalists, ["metric", "probability"], "value").select("metric", "probability", "value")
+    ranks = sizes.withColumns({"before": upto - F.col("size"), "total": total}).withColumn(
+        "probability", wanted).withColumn("rank", F.greatest(F.ceil(F.col("probability") * F.col("total")), F.lit(1)))
+    holding = ranks.filter((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("size")))
+    wanted_in = F.broadcast(holding.select("metric", "range", "probability", "rank", "before"))
+
+    finalists = stored.join(F.broadcast(holding.select("metric", "range").distinct()), ["metric", "range"])
+    reached = F.sum("copies").over(Window.partitionBy("metric", "range").orderBy("value"))
+    placed = finalists.withColumn("reached", reached)
+    position = F.col("rank") - F.col("before")
+    return placed.join(wanted_in, ["metric", "range"]).filter(
+        (position > F.col("reached") - F.col("copies")) & (position <= F.col("reached"))).select(
+        "metric", "probability", "value")
 
 
 def value_percentiles(trips: DataFrame) -> DataFrame:
@@ -113,3 +95,24 @@ def schema_diff(left: StructType, right: StructType) -> list[tuple[str, str | No
     a = {f.name: f.dataType.simpleString() for f in left.fields}
     b = {f.name: f.dataType.simpleString() for f in right.fields}
     return [(name, a.get(name), b.get(name)) for name in dict.fromkeys([*a, *b]) if a.get(name) != b.get(name)]
+
+
+def profile_measures(trips: DataFrame, zones: DataFrame | None = None) -> DataFrame:
+    """Everything the profile tells as rows (measure, value): counts, ranges, percentiles, orphans if zones are given."""
+    profiled = quality_profile(trips)
+    measures = profiled.select(*(F.col(name).cast("double").alias(name) for name in profiled.columns)).unpivot(
+        [], profiled.columns, "measure", "value")
+    for ranked in (value_percentiles(trips), duration_percentiles(trips)):
+        measures = measures.unionByName(ranked.select(
+            F.concat("metric", F.lit("_p"), F.col("probability").cast("string")).alias("measure"), "value"))
+    if zones is not None:
+        measures = measures.unionByName(orphan_locations(trips, zones).select(
+            F.concat(F.lit("orphan_"), "role", F.lit("_pct")).alias("measure"), F.col("orphan_pct").alias("value")))
+    return measures
+
+
+def compare_profiles(left: DataFrame, right: DataFrame, zones: DataFrame | None = None) -> DataFrame:
+    """Two periods side by side: rows (measure, left_value, right_value, change), null where one has no value."""
+    a = profile_measures(left, zones).withColumnRenamed("value", "left_value")
+    b = profile_measures(right, zones).withColumnRenamed("value", "right_value")
+    return a.join(b, "measure", "full_outer").withColumn("change", F.col("right_value") - F.col("left_value"))

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructType
+from pyspark.sql.types import DoubleType, LongType, StructType, TimestampType
 
 from fareline.schemas import CONFORMED, LATER_COLUMNS, LONG_COLUMNS, QUARANTINE, RAW_NAMES, STANDARD_RAW
 
@@ -45,6 +45,19 @@ def reconcile(df: DataFrame) -> DataFrame:
     return fill_optional(cast_types(normalize_columns(df)))
 
 
+def zone_free(df: DataFrame, zone: str) -> DataFrame:
+    """Instants as wall clock times of a named zone, whatever the session's; other columns as they are."""
+    instants = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+    def wall_clock(name: str) -> Column:
+        micros = F.unix_micros(F.col(name))
+        utc = epoch + F.make_dt_interval(secs=(micros.cast("decimal(24,6)") / F.lit(1_000_000)).cast("decimal(18,6)"))
+        return utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+    return df.withColumns({name: wall_clock(name) for name in instants}) if instants else df
+
+
 def select_as(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the columns of ``schema`` in its order, cast to its types; other columns are dropped."""
     types = dict(df.dtypes)
@@ -53,13 +66,14 @@ def select_as(df: DataFrame, schema: StructType) -> DataFrame:
         for f in schema.fields))
 
 
-def standardize(df: DataFrame, *keep: str) -> DataFrame:
+def standardize(df: DataFrame, *keep: str, zone: str = "UTC") -> DataFrame:
     """Reconciled frame with exactly the standard raw columns and types, plus the columns named in ``keep``.
 
-    Frames of different vintages become union-compatible this way.
+    Frames of different vintages become union-compatible this way. Files whose times are instants are read as wall
+    clock times of ``zone``; times without a zone, the usual case, stay as they are.
     """
     extra = [df.schema[name] for name in keep]
-    return select_as(reconcile(df), StructType([*STANDARD_RAW.fields, *extra]))
+    return select_as(zone_free(reconcile(df), zone), StructType([*STANDARD_RAW.fields, *extra]))
 
 
 def add_metadata(df: DataFrame, service_type: str | Column, source_file: str | Column,

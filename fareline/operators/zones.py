@@ -2,50 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.functions.rules import Thresholds
 from fareline.functions.scalars import percent
 
-# A dimension with at most this many keys is broadcast; beyond it Spark chooses the join itself.
+# Up to this width of the valid id range, and so up to this many rows, the dimension is broadcast by default.
 BROADCAST_MAX_KEYS = 100_000
 
 
-class DuplicateZoneError(ValueError):
-    """The zone dimension has several rows for one location id."""
-
-
-def check_unique_zones(zones: DataFrame) -> None:
-    """Fail when a location id occurs twice: a left join would then multiply trips."""
-    repeated = (zones.groupBy("LocationID").count().filter(F.col("count") > 1)
-                .select("LocationID").limit(5).collect())
-    if repeated:
-        raise DuplicateZoneError(f"location ids with several zones, e.g. {[row[0] for row in repeated]}")
+def _failing(condition: Column, message: Column, value: Column) -> Column:
+    """``value``, or an error where the condition holds."""
+    return F.when(condition, F.raise_error(message)).otherwise(value)
 
 
 def zone_dimension(zones: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
     """One row per location id inside the valid id range.
 
     Valid trips only carry ids of that range, so the filter never changes their join result,
-    and it bounds the dimension: at most ``max_location_id - min_location_id + 1`` rows.
+    and it bounds the dimension: at most ``max_location_id - min_location_id + 1`` rows. An id
+    with several rows and a row without id end the job that uses the dimension: a join would
+    otherwise multiply trips, or one of the rows be taken for no reason.
     """
-    return (
-        zones.filter(F.col("LocationID").between(limits.min_location_id, limits.max_location_id))
-        .groupBy(F.col("LocationID").cast("long").alias("location_id"))
-        .agg(F.min(F.struct("Borough", "Zone")).alias("place"))
-        .select("location_id", F.col("place.Borough").alias("borough"), F.col("place.Zone").alias("zone"))
-    )
-
-
-def join_zones(trips: DataFrame, zones: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
+    zone_id = F.col("LocationID").cast("long")
+    inside = _failing(zone_id.isNull(), F.lit("zone without location id"),
+                      zone_id.between(limits.min_location_id, limits.max_location_id))
+    grouped = zones.filter(inside).groupBy(zone_id.alias("location_id")).agg(
+        F.count(F.lit(1)).alias("rows"), F.first("Borough").alias("borough"), F.first("Zone").alias("zone"))
+    several = F.concat(F.lit("several zones for location id "), F.col("location_id").cast("string"))
+    return grouped.select(
+        _failing(F.col("rows") > 1, several, F.col("location_id")).alias("location_id"), "borough", "zone")
+
+
+def join_zones(trips: DataFrame, zones: DataFrame, limits: Thresholds = Thresholds(),
+               broadcast_max_keys: int = BROADCAST_MAX_KEYS) -> DataFrame:
     """Add borough and zone of pickup and drop-off; a trip without a match keeps nulls.
 
     Expects trips that passed the location rule. The same small dimension is used in both
-    roles, so one broadcast serves both joins and the trips are not shuffled.
+    roles, so one broadcast serves both joins and the trips are not shuffled. An id range wider than
+    ``broadcast_max_keys`` gets no hint; Spark then chooses the join by the measured size, with the same result.
     """
     dimension = zone_dimension(zones, limits)
-    if limits.max_location_id - limits.min_location_id < BROADCAST_MAX_KEYS:
+    if limits.max_location_id - limits.min_location_id < broadcast_max_keys:
         dimension = F.broadcast(dimension)
     for role in ("pu", "do"):
         side = dimension.withColumnsRenamed({

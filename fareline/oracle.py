@@ -5,7 +5,7 @@ from __future__ import annotations
 from fareline.fixtures import LIMITS, MONTH, SOURCE_FILE, YEAR
 from fareline.functions.rules import Thresholds
 from fareline.operators.profile import DURATION_PROBABILITIES, VALUE_PROBABILITIES
-from fareline.queries import MIN_ROWS
+from fareline.queries import MIN_ROWS, UNREACHED_ROWS
 
 
 def _trips_cte(name: str, source: str, keep: str = "") -> str:
@@ -152,17 +152,32 @@ ENRICHED = f"""{VALID}, enriched AS (
   FROM valid
 )"""
 
-HOURLY = """SELECT pickup_date, pickup_year, pickup_month, pickup_hour, day_of_week, time_of_day, service_type,
+
+
+def _exact(column: str) -> str:
+    """The sum of the values' decimal texts, as a double: no order of addition can change it."""
+    return f"CAST(sum(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38, 9))) AS DOUBLE)"
+
+
+def _sum2(column: str) -> str:
+    return f"round({_exact(column)}, 2)"
+
+
+def _avg2(column: str) -> str:
+    return f"round({_exact(column)} / count({column}), 2)"
+
+
+HOURLY = f"""SELECT pickup_date, pickup_year, pickup_month, pickup_hour, day_of_week, time_of_day, service_type,
   pu_borough, pu_zone, count(*) AS trip_count, CAST(sum(passenger_count) AS BIGINT) AS total_passengers,
-  round(round(avg(trip_distance), 9), 2) AS avg_trip_distance, round(round(avg(trip_duration_minutes), 9), 2) AS avg_duration_minutes
+  {_avg2("trip_distance")} AS avg_trip_distance, {_avg2("trip_duration_minutes")} AS avg_duration_minutes
 FROM enriched WHERE pu_borough IS NOT NULL GROUP BY ALL"""
 
-REVENUE = """SELECT pickup_year, pickup_month, CAST(date_trunc('month', pickup_date) AS DATE) AS pickup_month_date,
+REVENUE = f"""SELECT pickup_year, pickup_month, CAST(date_trunc('month', pickup_date) AS DATE) AS pickup_month_date,
   service_type, pu_borough, pu_zone, count(*) AS trip_count,
-  round(round(sum(total_amount), 9), 2) AS total_revenue, round(round(avg(total_amount), 9), 2) AS avg_revenue_per_trip,
-  round(round(avg(fare_amount), 9), 2) AS avg_fare, round(round(sum(tip_amount), 9), 2) AS total_tips,
-  round(round(avg(tip_percentage), 9), 2) AS avg_tip_percentage, round(round(avg(revenue_per_mile), 9), 2) AS avg_revenue_per_mile,
-  round(round(avg(trip_distance), 9), 2) AS avg_trip_distance, round(round(avg(trip_duration_minutes), 9), 2) AS avg_duration_minutes
+  {_sum2("total_amount")} AS total_revenue, {_avg2("total_amount")} AS avg_revenue_per_trip,
+  {_avg2("fare_amount")} AS avg_fare, {_sum2("tip_amount")} AS total_tips,
+  {_avg2("tip_percentage")} AS avg_tip_percentage, {_avg2("revenue_per_mile")} AS avg_revenue_per_mile,
+  {_avg2("trip_distance")} AS avg_trip_distance, {_avg2("trip_duration_minutes")} AS avg_duration_minutes
 FROM enriched WHERE pu_borough IS NOT NULL GROUP BY ALL"""
 
 INT_QUALITY = f"""{_rejected("reject")}, quality AS (
@@ -266,6 +281,38 @@ def _rule(columns: str, holds: str) -> str:
     return f"WITH {RECONCILED} SELECT {columns}, {holds} AS holds FROM reconciled"
 
 
+def _gate(min_rows: int) -> str:
+    return f"""WITH {RECONCILED}, {VALID}, c AS (
+  SELECT count(*) AS row_count FROM valid WHERE pickup_date >= make_date({YEAR}, {MONTH}, 1)
+  AND pickup_date < make_date({YEAR}, {MONTH} + 1, 1))
+SELECT '{YEAR}-0{MONTH}' AS period, row_count, CAST({min_rows} AS BIGINT) AS min_rows,
+       row_count >= {min_rows} AS passed FROM c"""
+
+
+def _measures(month: int) -> str:
+    """Everything the profile of one month tells, as rows."""
+    counts = {"total_rows": "count(*)", "fare_min": "min(fare_amount)", "fare_max": "max(fare_amount)",
+              "distance_min": "min(trip_distance)", "distance_max": "max(trip_distance)"}
+    for name, test in SUSPICIOUS.items():
+        counts[name] = f"count(*) FILTER (WHERE {test})"
+        counts[f"{name}_pct"] = f"round({counts[name]} * CAST(100 AS DOUBLE) / nullif(count(*), 0), 2)"
+    for probabilities, metrics in (
+            (VALUE_PROBABILITIES, {"fare_amount": "fare_amount", "trip_distance": "trip_distance"}),
+            (DURATION_PROBABILITIES, {"duration_minutes": f"{SECONDS} / CAST(60 AS DOUBLE)"})):
+        for metric, expression in metrics.items():
+            for p in probabilities:
+                counts[f"{metric}_p{p}"] = f"quantile_disc(CAST({expression} AS DOUBLE), {p})"
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS measure, CAST({value} AS DOUBLE) AS value FROM reconciled WHERE file_month = {month}"
+        for name, value in counts.items())
+
+
+def _compared(left: int, right: int) -> str:
+    return f"""WITH {MONTHLY}, a AS ({_measures(left)}), b AS ({_measures(right)})
+SELECT measure, a.value AS left_value, b.value AS right_value, b.value - a.value AS change
+FROM a FULL OUTER JOIN b USING (measure)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "scan_raw": f"WITH {RAW} SELECT * FROM raw",
     "normalize_columns": f"WITH {RAW} SELECT {RENAMED} FROM raw",
@@ -286,7 +333,12 @@ ORACLE_SQL: dict[str, str] = {
     "split_rejected_sql_nulls": f"WITH {RECONCILED}, {_rejected('sql')} SELECT {REJECTED_COLUMNS} FROM rejected",
     "reason_codes": f"WITH {RECONCILED}, {_rejected('reject')} {REASON_COUNTS}",
     "reason_codes_sql_nulls": f"WITH {RECONCILED}, {_rejected('sql')} {REASON_COUNTS}",
-    "local_roundtrip": f"WITH {RECONCILED}, {_rejected('reject')} {REASON_COUNTS}",
+    "local_roundtrip": f"""WITH counted AS ({_counts("reject")})
+SELECT outcome, rows, rows AS expected, true AS passed FROM (
+  SELECT 'valid' AS outcome, valid_rows AS rows FROM counted
+  UNION ALL SELECT 'rejected', rejected_rows FROM counted)""",
+    "zone_csv": """SELECT CAST(n_nationkey + 1 AS INTEGER) AS "LocationID", r_name AS "Borough", n_name AS "Zone",
+  'all' AS service_zone FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "conform_counts": _counts("reject"),
     "conform_counts_sql_nulls": _counts("sql"),
     "zone_join": f"""WITH {RECONCILED}, {VALID} SELECT pickup_datetime, pu_location_id, pu_borough, pu_zone,
@@ -315,11 +367,13 @@ SELECT *, failing_rows = 0 AS passed FROM tests""",
          count(*) FILTER (WHERE service_type NOT IN ('yellow', 'green', 'fhv', 'fhvhv')) AS failing_rows
   FROM enriched)
 SELECT *, failing_rows = 0 AS passed FROM tests""",
-    "row_count_gate": f"""WITH {RECONCILED}, {VALID}, c AS (
-  SELECT count(*) AS row_count FROM valid WHERE pickup_date >= make_date({YEAR}, {MONTH}, 1)
-  AND pickup_date < make_date({YEAR}, {MONTH} + 1, 1))
-SELECT '{YEAR}-0{MONTH}' AS period, row_count, CAST({MIN_ROWS} AS BIGINT) AS min_rows,
-       row_count >= {MIN_ROWS} AS passed FROM c""",
+    "row_count_gate": _gate(MIN_ROWS),
+    "row_count_gate_failing": _gate(UNREACHED_ROWS),
+    "compare_profiles": _compared(1, 2),
+    "stored_views": f"""WITH {MONTHLY}, {ENRICHED}, {_rejected("reject")}, refused AS (
+  SELECT service_type, count(*) AS rejected FROM rejected GROUP BY ALL)
+SELECT service_type, time_of_day, count(*) AS trips, max(trip_duration_minutes) AS longest, max(rejected) AS rejected
+FROM enriched JOIN refused USING (service_type) GROUP BY ALL""",
     "multi_month_union": f"WITH {MONTHLY}, {VALID} SELECT {CONFORMED_COLUMNS} FROM valid",
     "replace_period": f"""WITH {RECONCILED}, {VALID}
 SELECT service_type, pickup_date, count(*) AS trips, min(fare_amount) AS lowest_fare, max(fare_amount) AS highest_fare

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
@@ -10,10 +10,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareline.functions.rules import REJECT, Rule, Thresholds, trip_rules
+from fareline.functions.rules import REJECT, WRONG_PERIOD, Rule, Thresholds, between_months, trip_rules
 from fareline.operators.quality import count_outcomes, keep_rejected, keep_valid
 from fareline.operators.reconcile import (
-    add_load_columns, add_metadata, conformed_columns, quarantine_columns, reconcile,
+    add_load_columns, add_metadata, conformed_columns, quarantine_columns, standardize,
 )
 from fareline.operators.zones import join_zones
 
@@ -52,16 +52,33 @@ class Conformed:
 def conform_month(raw: DataFrame, zones: DataFrame, service_type: str | Column, year: int, month: int,
                   source_file: str | Column, limits: Thresholds = Thresholds(),
                   null_policy: str = REJECT) -> Conformed:
-    """Conform one raw monthly file. Its ingestion date is the first day of the data month."""
+    """Conform one raw monthly file. Its ingestion date is the first day of the data month.
+
+    Rules judge the standard types, as they do for many files, so both give the same rows.
+    """
     rules = trip_rules(year, month, limits, null_policy)
-    return Conformed(reconcile(raw), zones, rules, limits, null_policy, service_type, source_file,
+    kept = [name for name in service_columns(service_type, source_file) if name in raw.columns]
+    return Conformed(standardize(raw, *kept), zones, rules, limits, null_policy, service_type, source_file,
                      date(year, month, 1))
 
 
+def service_columns(*values: str | Column) -> list[str]:
+    """Names of the raw columns that the given values may refer to."""
+    return ["service_type", "source_file"] if any(isinstance(value, Column) for value in values) else []
+
+
 def conform_files(standardized: DataFrame, zones: DataFrame, limits: Thresholds = Thresholds(),
-                  null_policy: str = REJECT) -> Conformed:
-    """Conform the union of many files in one plan; each row is held to the month its file names."""
+                  null_policy: str = REJECT, months: Iterable[tuple[int, int]] = ()) -> Conformed:
+    """Conform the union of many files in one plan; each row is held to the month its file names.
+
+    The ``months`` of the files, if given, bound the pickups of valid rows by a plain range, which
+    Parquet can check; it follows from the rule of the single file and changes no row.
+    """
     year, month = F.col("file_year"), F.col("file_month")
     rules = trip_rules(year, month, limits, null_policy)
+    months = sorted(months)
+    if months:
+        within = between_months(months[0], months[-1])
+        rules = [Rule(r.reason_code, within & r.holds) if r.reason_code == WRONG_PERIOD else r for r in rules]
     return Conformed(standardized, zones, rules, limits, null_policy, F.col("service_type"), F.col("source_file"),
                      F.make_date(year, month, F.lit(1)))

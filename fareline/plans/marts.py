@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareline.functions.scalars import day_part, month_start, percent, settled2
+from fareline.functions.scalars import day_part, mean2, month_start, percent, total2
 from fareline.plans.models import fact_trips, int_trips_enriched, stg_trips
 from fareline.schemas import HEALTH, HOURLY, QUALITY, REVENUE
 
@@ -23,11 +23,11 @@ def _names(schema) -> list[str]:
 
 
 def _mean(column: str) -> Column:
-    return settled2(F.avg(column))
+    return mean2(F.col(column))
 
 
 def _total(column: str) -> Column:
-    return settled2(F.sum(column))
+    return total2(F.col(column))
 
 
 def agg_hourly_demand_by_zone(enriched: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import partial
@@ -11,16 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareline.functions.rules import REJECT, Thresholds
-from fareline.operators.expectations import STAGED, check_models, require_passed, require_volume
+from fareline.operators.expectations import (
+    STAGED, ExpectationFailed, check_models, require_passed, require_volume,
+)
 from fareline.operators.quality import count_reasons
-from fareline.operators.zones import check_unique_zones
-from fareline.plans.conform import conform_month
-from fareline.plans.marts import build_marts
-from fareline.schemas import MART_TABLES, REJECTED_TABLE, TRIPS_TABLE
-from fareline.sources.lake import Lake, run_together
-from fareline.sources.trips import file_name, read_raw, trip_path
+from fareline.plans.conform import Conformed, conform_files, conform_month
+from fareline.plans.marts import Models, build_marts
+from fareline.schemas import MART_TABLES, REJECTED_TABLE, TRIPS_TABLE, TableLayout
+from fareline.sources.lake import Lake, run_together, write_checked
+from fareline.sources.trips import file_name, month_of, read_months, read_raw, trip_path
 
 MIN_ROWS_PER_MONTH = 100_000
+# Models that are views, not tables.
+VIEWS = ("stg_trips", "int_trips_enriched", "int_data_quality")
 
 
 @dataclass(frozen=True)
@@ -74,20 +77,55 @@ def load_month(lake: Lake, raw: DataFrame, zones: DataFrame, service_type: str,
         {row["reason_code"]: row["rejected_count"] for row in reasons})
 
 
-def refresh_marts(lake: Lake, service_type: str, year: int, month: int) -> DataFrame:
-    """Replace one period in every mart and report the data tests of that period.
+def load_months(lake: Lake, paths: Sequence[str], zones: DataFrame, limits: Thresholds = Thresholds(),
+                null_policy: str = REJECT) -> list[LoadCounts]:
+    """Conform many monthly files in one plan and replace all their months in one write for each table.
 
-    Every mart's grain includes the service and the month, so a period's mart rows depend on that
-    period's trips and rejects alone: refreshing costs one month, however long the history is.
+    Gives the rows that loading the files one by one gives. The number of jobs does not grow with the files.
     """
-    in_trips = trips_period(service_type, year, month)
-    in_rejects = rejects_period(service_type, year, month)
-    models = build_marts(lake.read(TRIPS_TABLE, **in_trips), lake.read(REJECTED_TABLE, **in_rejects))
-    keys = {"service_type": service_type, "period": in_trips["period"], "ingestion_month": str(date(year, month, 1))}
-    periods = {layout: {key: keys[key] for key in layout.period_keys} for layout in MART_TABLES}
+    spark = lake.spark
+    named = [month_of(path) for path in paths]
+    raw = read_months(spark, paths)
+    outcome = conform_files(raw, zones, limits, null_policy, [(year, month) for _, year, month in named])
+    in_trips = [trips_period(*one) for one in named]
+    in_rejects = [rejects_period(*one) for one in named]
+    run_together(
+        spark,
+        lambda: lake.replace_periods(TRIPS_TABLE, outcome.valid, in_trips),
+        lambda: lake.replace_periods(REJECTED_TABLE, outcome.rejected, in_rejects))
+    # One row per file, or per file and reason.
+    keys = ["service_type", "month"]
+    raw_rows = raw.groupBy("service_type", F.make_date("file_year", "file_month", F.lit(1)).alias("month")).count()
+    stored = lake.read(TRIPS_TABLE, *in_trips).groupBy("service_type", F.col("ingestion_date").alias("month")).count()
+    refused = lake.read(REJECTED_TABLE, *in_rejects).groupBy(
+        "service_type", F.col("ingestion_date").alias("month"), "reason_code").count()
+    n_raw, n_valid = ({tuple(r[k] for k in keys): r["count"] for r in df.collect()} for df in (raw_rows, stored))
+    reasons: dict[tuple, dict[str, int]] = {}
+    for r in refused.collect():
+        reasons.setdefault((r["service_type"], r["month"]), {})[r["reason_code"]] = r["count"]
+    return [LoadCounts(service, f"{year:04d}-{month:02d}", n_raw.get((service, date(year, month, 1)), 0),
+                       n_valid.get((service, date(year, month, 1)), 0),
+                       reasons.get((service, date(year, month, 1)), {})) for service, year, month in named]
+
+
+def refresh_marts(lake: Lake, months: Sequence[tuple[str, int, int]]) -> DataFrame:
+    """Replace these months (service, year, month) in every mart and report the data tests of them.
+
+    Every mart's grain includes the service and the month, so a month's mart rows depend on that
+    month's trips and rejects alone: refreshing costs these months, however long the history is.
+    """
+    keys = [{"service_type": service, "period": f"{year:04d}-{month:02d}",
+             "ingestion_date": str(date(year, month, 1)), "ingestion_month": str(date(year, month, 1))}
+            for service, year, month in months]
+
+    def periods(layout: TableLayout) -> list[dict[str, str]]:
+        return [{key: one[key] for key in layout.period_keys} for one in keys]
+
+    models = build_marts(lake.read(TRIPS_TABLE, *periods(TRIPS_TABLE)),
+                         lake.read(REJECTED_TABLE, *periods(REJECTED_TABLE)))
     run_together(lake.spark, *(
-        partial(lake.replace_period, layout, models[layout.name], period) for layout, period in periods.items()))
-    stored = {layout.name: lake.read(layout, **period) for layout, period in periods.items()}
+        partial(lake.replace_periods, layout, models[layout.name], periods(layout)) for layout in MART_TABLES))
+    stored = {layout.name: lake.read(layout, *periods(layout)) for layout in MART_TABLES}
     return check_models({STAGED: models[STAGED], **stored})
 
 
@@ -95,21 +133,30 @@ def run_month(lake: Lake, raw_root: str, zones: DataFrame, service_type: str, ye
               limits: Thresholds = Thresholds(), null_policy: str = REJECT,
               min_rows: int = MIN_ROWS_PER_MONTH) -> LoadCounts:
     """Load, volume gate, marts, data tests, in this order; the first failing gate raises."""
-    check_unique_zones(zones)
     path = trip_path(raw_root, service_type, year, month)
     counts = load_month(lake, read_raw(lake.spark, path), zones, service_type, year, month, file_name(path),
                         limits, null_policy)
     require_volume(lake.read(TRIPS_TABLE, **trips_period(service_type, year, month)), year, month, min_rows)
-    require_passed(refresh_marts(lake, service_type, year, month))
+    require_passed(refresh_marts(lake, [(service_type, year, month)]))
     return counts
 
 
-def backfill(lake: Lake, raw_root: str, zones: DataFrame, service_type: str, months: Iterable[tuple[int, int]],
-             limits: Thresholds = Thresholds(), null_policy: str = REJECT,
+def backfill(lake: Lake, raw_root: str, zones: DataFrame, services: str | Sequence[str],
+             months: Iterable[tuple[int, int]], limits: Thresholds = Thresholds(), null_policy: str = REJECT,
              min_rows: int = MIN_ROWS_PER_MONTH) -> list[LoadCounts]:
-    """One monthly run per month. Months are independent, so a failed one can be repeated alone."""
-    return [run_month(lake, raw_root, zones, service_type, year, month, limits, null_policy, min_rows)
-            for year, month in months]
+    """The monthly run of many months and services at once: one load, one gate, one refresh of each mart.
+
+    The stored rows are those of one monthly run after another. The gate names every month below
+    ``min_rows`` and stops before the marts.
+    """
+    services = [services] if isinstance(services, str) else services
+    wanted = [(service, *month) for month in sorted(months) for service in services]
+    loaded = load_months(lake, [trip_path(raw_root, *one) for one in wanted], zones, limits, null_policy)
+    short = [f"{c.service_type} {c.period}: {c.valid_rows} rows" for c in loaded if c.valid_rows < min_rows]
+    if short:
+        raise ExpectationFailed(f"{'; '.join(short)}; expected at least {min_rows}")
+    require_passed(refresh_marts(lake, wanted))
+    return loaded
 
 
 def rebuild_marts(lake: Lake) -> dict[str, DataFrame]:
@@ -117,6 +164,31 @@ def rebuild_marts(lake: Lake) -> dict[str, DataFrame]:
     return build_marts(lake.read(TRIPS_TABLE), lake.read(REJECTED_TABLE))
 
 
-def stored_counts(lake: Lake) -> DataFrame:
-    """Rows per service and ingestion date in the trips table, for before/after comparisons."""
-    return lake.read(TRIPS_TABLE).groupBy("service_type", "ingestion_date").agg(F.count(F.lit(1)).alias("trips"))
+def write_outcome(outcome: Conformed, root: str) -> DataFrame:
+    """Write valid and rejected rows to plain Parquet below ``root``, read them back and compare with the raw rows.
+
+    Rows (outcome, rows, expected, passed) for both; the expected counts come from one pass over the raw rows.
+    """
+    valid = write_checked(outcome.valid, f"{root}/valid")
+    rejected = write_checked(outcome.rejected, f"{root}/rejected")
+    count = F.count(F.lit(1)).alias("rows")
+    stored = valid.agg(count).withColumn("outcome", F.lit("valid")).unionByName(
+        rejected.agg(count).withColumn("outcome", F.lit("rejected")))
+    expected = outcome.counts.select(F.inline(F.array(
+        F.struct(F.lit("valid").alias("outcome"), F.col("valid_rows").alias("expected")),
+        F.struct(F.lit("rejected").alias("outcome"), F.col("rejected_rows").alias("expected")))))
+    return stored.join(F.broadcast(expected), "outcome").select(  # two rows
+        "outcome", "rows", "expected", (F.col("rows") == F.col("expected")).alias("passed"))
+
+
+def register_models(lake: Lake) -> None:
+    """Make the stored tables and marts known to SQL, and the models between them as views of the session.
+
+    Views show what was stored when they were made; register again after a load.
+    """
+    stored = [layout for layout in (TRIPS_TABLE, REJECTED_TABLE, *MART_TABLES) if lake.exists(layout)]
+    for layout in stored:
+        lake.register(layout)
+    models = Models(lambda: lake.read(TRIPS_TABLE), lambda: lake.read(REJECTED_TABLE))
+    for name in VIEWS:
+        models[name].createOrReplaceTempView(name)

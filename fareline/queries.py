@@ -15,17 +15,21 @@ from fareline.operators import expectations, profile, quality, reconcile
 from fareline.operators.zones import join_zones, orphan_locations
 from fareline.plans.conform import Conformed, conform_files, conform_month
 from fareline.plans.marts import Models
-from fareline.plans.monthly import backfill, load_month, rebuild_marts, run_month, trips_period
-from fareline.schemas import HOURLY_TABLE, REVENUE_TABLE, TRIPS_TABLE
-from fareline.sources.lake import Lake, write_checked
+from fareline.plans.monthly import (
+    backfill, load_month, load_months, rebuild_marts, register_models, run_month, trips_period, write_outcome,
+)
+from fareline.schemas import HOURLY_TABLE, REJECTED_TABLE, REVENUE_TABLE, TRIPS_TABLE
+from fareline.sources.lake import Lake
 from fareline.sources.scratch import new_scratch_dir
-from fareline.sources.trips import file_name, read_months, read_raw, trip_path
+from fareline.sources.trips import read_months, trip_path
 from fareline.sources.zones import read_zones
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LIMITS = fixtures.LIMITS
 MIN_ROWS = 50
+UNREACHED_ROWS = 1_000_000_000
+SERVICES = ("yellow", "green")
 
 
 def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,15 +109,30 @@ def expect_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expectations.check(expectations.STAGED, staged, tests)
 
 
-def row_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expectations.volume_gate(conformed(spark, sf_dir).valid, fixtures.YEAR, fixtures.MONTH, MIN_ROWS)
+def row_count_gate(min_rows: int, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return expectations.volume_gate(conformed(spark, sf_dir).valid, fixtures.YEAR, fixtures.MONTH, min_rows)
+
+
+def zone_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zones written as a CSV with its columns in another order, and read back by name."""
+    path = new_scratch_dir(spark, "zones")
+    fixtures.zones(spark, sf_dir).select("service_zone", "Zone", "LocationID", "Borough").write.csv(path, header=True)
+    return read_zones(spark, path)
+
+
+def compare_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of the first two months, side by side."""
+    trips = fixtures.raw_trips_by_month(spark, sf_dir)
+    left, right = (reconcile.reconcile(trips.filter(F.col("file_month") == month)) for _, month in fixtures.MONTHS[:2])
+    return profile.compare_profiles(left, right)
 
 
 def multi_month_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six raw files of three shapes, read as one frame and conformed in one plan."""
     root = new_scratch_dir(spark, "months")
     paths = fixtures.write_month_files(spark, sf_dir, root)
-    return conform_files(read_months(spark, paths), fixtures.zones(spark, sf_dir), LIMITS).valid
+    return conform_files(read_months(spark, paths), fixtures.zones(spark, sf_dir), LIMITS,
+                         months=fixtures.MONTHS).valid
 
 
 def _new_lake(spark: SparkSession, label: str) -> Lake:
@@ -154,18 +173,18 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, "service_type string, period string, raw_rows long, valid_rows long, rejected_rows long, lost_rows long")
 
 
-def _month_files(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+def _month_files(spark: SparkSession, sf_dir: str, months=fixtures.MONTHS) -> tuple[str, DataFrame]:
     """Raw monthly files of both services below a new folder, and the zones read from a CSV there."""
     root = new_scratch_dir(spark, "raw")
-    fixtures.write_month_files(spark, sf_dir, root)
+    fixtures.write_month_files(spark, sf_dir, root, months)
     return root, read_zones(spark, fixtures.write_zone_csv(spark, sf_dir, root))
 
 
 def monthly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full runs of January for both services from raw files; the stored hourly mart."""
-    root, zones = _month_files(spark, sf_dir)
+    root, zones = _month_files(spark, sf_dir, fixtures.MONTHS[:1])
     lake = _new_lake(spark, "month")
-    for service_type in ("yellow", "green"):
+    for service_type in SERVICES:
         run_month(lake, root, zones, service_type, *fixtures.MONTHS[0], limits=LIMITS, min_rows=MIN_ROWS)
     return lake.read(HOURLY_TABLE)
 
@@ -174,26 +193,39 @@ def backfill_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backfill of three months of both services from raw files; the stored revenue mart."""
     root, zones = _month_files(spark, sf_dir)
     lake = _new_lake(spark, "backfill")
-    for service_type in ("yellow", "green"):
-        backfill(lake, root, zones, service_type, fixtures.MONTHS, limits=LIMITS, min_rows=MIN_ROWS)
+    backfill(lake, root, zones, SERVICES, fixtures.MONTHS, limits=LIMITS, min_rows=MIN_ROWS)
     return lake.read(REVENUE_TABLE)
 
 
-def backfill_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load three months of both services, then build the health mart over the whole stored history."""
+def _loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
     root, zones = _month_files(spark, sf_dir)
     lake = _new_lake(spark, "history")
-    for service_type in ("yellow", "green"):
-        for year, month in fixtures.MONTHS:
-            path = trip_path(root, service_type, year, month)
-            load_month(lake, read_raw(spark, path), zones, service_type, year, month, file_name(path), LIMITS)
-    return rebuild_marts(lake)["agg_monthly_pipeline_health"]
+    load_months(lake, [trip_path(root, service, *month) for service in SERVICES for month in fixtures.MONTHS], zones,
+                LIMITS)
+    return lake
+
+
+def backfill_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load three months of both services, then build the health mart over the whole stored history."""
+    return rebuild_marts(_loaded_lake(spark, sf_dir))["agg_monthly_pipeline_health"]
+
+
+def stored_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips per part of the day out of the enriched view, next to the months' rejects, in SQL."""
+    lake = _loaded_lake(spark, sf_dir)
+    register_models(lake)
+    return spark.sql(f"""
+        SELECT service_type, time_of_day, count(*) AS trips, max(trip_duration_minutes) AS longest,
+               max(rejected) AS rejected
+        FROM int_trips_enriched JOIN (
+          SELECT service_type, count(*) AS rejected FROM {lake.qualified(REJECTED_TABLE)} GROUP BY service_type)
+        USING (service_type) GROUP BY service_type, time_of_day""")
 
 
 def local_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rejected rows written to plain Parquet and read back, counted by reason."""
-    path = new_scratch_dir(spark, "roundtrip")
-    return quality.count_reasons(write_checked(conformed(spark, sf_dir).rejected, path))
+    """Valid and rejected rows written to plain Parquet, read back and checked against the counts of the raw rows."""
+    root = new_scratch_dir(spark, "roundtrip")
+    return write_outcome(conformed(spark, sf_dir), root)
 
 
 QUERIES: dict[str, Query] = {
@@ -235,7 +267,10 @@ QUERIES: dict[str, Query] = {
                                                                fixtures.zones(spark, sf_dir)),
     "expect_not_null": expect_not_null,
     "expect_accepted_values": expect_accepted_values,
-    "row_count_gate": row_count_gate,
+    "row_count_gate": partial(row_count_gate, MIN_ROWS),
+    "row_count_gate_failing": partial(row_count_gate, UNREACHED_ROWS),
+    "zone_csv": zone_csv,
+    "compare_profiles": compare_profiles,
     "multi_month_union": multi_month_union,
     "replace_period": replace_period,
     "load_counts": load_counts,
@@ -243,4 +278,5 @@ QUERIES: dict[str, Query] = {
     "monthly_run": monthly_run,
     "backfill_revenue": backfill_revenue,
     "backfill_health": backfill_health,
+    "stored_views": stored_views,
 }

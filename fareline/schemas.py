@@ -165,7 +165,8 @@ class TableLayout:
     ``period_keys`` name one replaceable period and are always given as constants when
     writing; ``day_keys`` are the partitions found in the data itself; ``sort_keys`` order
     rows inside a file so Parquet min/max statistics can skip row groups.
-    A layout key that is not part of ``schema`` (``period``) exists only as a folder level.
+    A layout key that is not part of ``schema`` (``period``) exists only as a folder level and is the
+    month of the column ``period_of``.
     """
 
     name: str
@@ -173,17 +174,18 @@ class TableLayout:
     period_keys: tuple[str, ...]
     day_keys: tuple[str, ...] = ()
     sort_keys: tuple[str, ...] = ()
+    period_of: str | None = None
 
     @property
     def partition_keys(self) -> tuple[str, ...]:
         return self.period_keys + self.day_keys
 
 
-TRIPS_TABLE = TableLayout("trips", CONFORMED, ("service_type", "period"), ("pickup_date",), ("pu_borough",))
+TRIPS_TABLE = TableLayout("trips", CONFORMED, ("service_type", "period"), ("pickup_date",), ("pu_borough",), "pickup_date")
 REJECTED_TABLE = TableLayout("rejected_trips", QUARANTINE, ("service_type", "ingestion_date"))
-FACT_TABLE = TableLayout("fact_trips", FACT, ("service_type", "period"), ("pickup_date",), ("pu_borough",))
-HOURLY_TABLE = TableLayout("agg_hourly_demand_by_zone", HOURLY, ("service_type", "period"))
-REVENUE_TABLE = TableLayout("agg_monthly_zone_revenue", REVENUE, ("service_type", "period"))
+FACT_TABLE = TableLayout("fact_trips", FACT, ("service_type", "period"), ("pickup_date",), ("pu_borough",), "pickup_date")
+HOURLY_TABLE = TableLayout("agg_hourly_demand_by_zone", HOURLY, ("service_type", "period"), period_of="pickup_date")
+REVENUE_TABLE = TableLayout("agg_monthly_zone_revenue", REVENUE, ("service_type", "period"), period_of="pickup_month_date")
 QUALITY_TABLE = TableLayout("agg_monthly_data_quality", QUALITY, ("service_type", "ingestion_month"))
 HEALTH_TABLE = TableLayout("agg_monthly_pipeline_health", HEALTH, ("service_type", "ingestion_month"))
 MART_TABLES = (FACT_TABLE, HOURLY_TABLE, REVENUE_TABLE, QUALITY_TABLE, HEALTH_TABLE)

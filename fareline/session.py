@@ -11,6 +11,10 @@ CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Shuffles begin wide and are merged by size; an aggregation's shuffle could not be split later.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
+    # Independent writes share the cluster.
+    "spark.scheduler.mode": "FAIR",
     # Stored files come out of a rebalance, so this is their target size.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
@@ -30,6 +34,7 @@ def build_session(app_name: str = "fareline", master: str | None = None,
     settings = dict(CORE_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)

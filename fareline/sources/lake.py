@@ -1,38 +1,42 @@
-"""Stored tables: partitioned Parquet in the session catalog, replaced one period at a time."""
+"""Stored tables: partitioned Parquet below one folder, replaced whole periods at a time."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fareline.operators.reconcile import select_as
 from fareline.schemas import TableLayout
 
-# Static overwrite clears the whole named period; dynamic overwrite would leave days the new load lacks.
-# As a table option it holds for every writer, whatever the session says.
-TABLE_OPTIONS = "OPTIONS ('partitionOverwriteMode' 'static')"
-
 
 def _or_fail(name: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"null in required column {name}")))
 
 
-def _belongs(key: str, value: str) -> Column:
-    """True, or an error: rows of another period must not be stored under this one."""
-    same = F.col(key).cast("string") == F.lit(value)
-    return F.when(same, F.lit(True)).otherwise(F.raise_error(F.lit(f"{key} differs from {value}")).cast("boolean"))
+def _checked_key(keys: Sequence[str], periods: Sequence[Mapping[str, str]]) -> Column:
+    """The first period key, or an error: rows of other periods must not be stored with these.
+
+    As the value follows from a check of the row it is no constant, which would drop out of the sort order and make
+    the writer sort once more, without the sort keys.
+    """
+    told = F.concat_ws(", ", *(F.col(key).cast("string") for key in keys))
+    named = [", ".join(period[key] for key in keys) for period in periods]
+    refused = F.concat(F.lit(f"a row's {' and '.join(keys)} is not among those loaded: "), told)
+    return F.when(told.isin(named), F.col(keys[0])).otherwise(F.raise_error(refused).cast("string"))
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Tables of one database stored below ``root``."""
+    """Tables stored below ``root``. They are read from their files, so any session sees what any other stored;
+    ``database`` is where ``register`` puts them for SQL."""
 
     spark: SparkSession
     root: str
@@ -45,73 +49,82 @@ class Lake:
         return f"{self.root.rstrip('/')}/{layout.name}"
 
     def exists(self, layout: TableLayout) -> bool:
-        return self.spark.catalog.tableExists(f"{self.database}.{layout.name}")
-
-    def create(self, layout: TableLayout) -> None:
-        """Create the table if absent; files already at its location become its partitions."""
-        if self.exists(layout):
-            return
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
-        fields = [*layout.schema.fields]
-        fields += [StructField(key, StringType(), False) for key in layout.partition_keys
-                   if key not in layout.schema.names]
-        # NOT NULL on a partition key would make every insert check it after the sort and sort once more,
-        # by that key alone; ``replace_period`` does the check before.
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}"
-            f"{'' if f.nullable or f.name in layout.partition_keys else ' NOT NULL'}" for f in fields)
-        keys = ", ".join(f"`{key}`" for key in layout.partition_keys)
-        table = self.qualified(layout)
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {TABLE_OPTIONS} "
-                       f"PARTITIONED BY ({keys}) LOCATION '{self.location(layout)}'")
-        if self._has_files(layout):
-            self.spark.sql(f"MSCK REPAIR TABLE {table}")
-
-    def _has_files(self, layout: TableLayout) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.location(layout))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
-    def read(self, layout: TableLayout, **period: str) -> DataFrame:
-        """The table's columns, optionally of one period only (a partition filter)."""
-        df = self.spark.table(self.qualified(layout))
-        for key, value in period.items():
-            df = df.filter(F.col(key) == F.lit(value))
+        """Whether anything was stored."""
+        try:
+            return bool(self.spark.read.parquet(self.location(layout)).columns)
+        except AnalysisException:
+            return False
+
+    def _stored_schema(self, layout: TableLayout) -> StructType:
+        more = [StructField(key, StringType()) for key in layout.partition_keys if key not in layout.schema.names]
+        return StructType([*layout.schema.fields, *more])
+
+    def read(self, layout: TableLayout, *periods: Mapping[str, str], **period: str) -> DataFrame:
+        """The table's columns, optionally of some periods only (partition filters)."""
+        df = self.spark.read.schema(self._stored_schema(layout)).parquet(self.location(layout))
+        wanted = [*periods, *([period] if period else [])]
+        if wanted:
+            df = df.filter(reduce(Column.__or__, (
+                reduce(Column.__and__, (F.col(key) == F.lit(value) for key, value in one.items())) for one in wanted)))
         return df.select(*layout.schema.names)
 
+    def _files(self, layout: TableLayout, periods: Sequence[Mapping[str, str]]) -> set[str]:
+        """Files stored for the periods: a listing of their folders, no job."""
+        found: set[str] = set()
+        for period in periods:
+            folder = "/".join((self.location(layout), *(f"{key}={period[key]}" for key in layout.period_keys)))
+            try:
+                found.update(self.spark.read.schema(layout.schema).parquet(folder).inputFiles())
+            except AnalysisException:  # nothing stored for this period
+                continue
+        return found
+
     def replace_period(self, layout: TableLayout, df: DataFrame, period: Mapping[str, str]) -> None:
-        """Replace exactly the rows of one period with ``df``; other periods and services stay.
+        self.replace_periods(layout, df, [period])
+
+    def replace_periods(self, layout: TableLayout, df: DataFrame, periods: Sequence[Mapping[str, str]]) -> None:
+        """Replace exactly the rows of these periods with ``df`` in one write; all others stay.
 
-        An empty ``df`` empties the period. Rows are rebalanced on the day partitions: AQE merges
+        A period without rows in ``df`` becomes empty. Rows are rebalanced on the partitions: AQE merges
         small ones and splits a hot day over several tasks, so files come out near the advisory
-        size. Plain Parquet has no snapshots: readers may see the period incomplete during the write.
-        One write per table at a time: the file committer keeps its temporary files below the table's
-        folder and clears them when a write ends.
+        size. The write puts its files aside and swaps them in when all tasks are done, so a write
+        that fails leaves the old rows; days that the new rows lack are emptied after it. The number of jobs does
+        not grow with the periods, but for such days.
         """
-        if set(period) != set(layout.period_keys):
-            raise ValueError(f"{layout.name} is replaced by {layout.period_keys}, not {tuple(period)}")
-        self.create(layout)
-        required = {f.name for f in layout.schema.fields if not f.nullable}
-        stored = [name for name in layout.schema.names if name not in layout.partition_keys]
-        columns = [*stored, *layout.day_keys]
+        for period in periods:
+            if set(period) != set(layout.period_keys):
+                raise ValueError(f"{layout.name} is replaced by {layout.period_keys}, not {tuple(period)}")
+        if not periods:
+            return
         rows = select_as(df, layout.schema)
-        for key in layout.period_keys:
-            if key in layout.schema.names:
-                rows = rows.filter(_belongs(key, period[key]))
-        rows = rows.select(
-            *(_or_fail(name).alias(name) if name in required else F.col(name) for name in columns))
-        rows = rows.hint("rebalance", *layout.day_keys)
-        order = [*layout.day_keys, *layout.sort_keys]
-        if order:
-            rows = rows.sortWithinPartitions(*order)
-        constants = ", ".join(f"`{key}` = '{period[key]}'" for key in layout.period_keys)
-        spec = ", ".join([constants, *(f"`{key}`" for key in layout.day_keys)])
-        view = f"incoming_{uuid.uuid4().hex}"
-        rows.createOrReplaceTempView(view)
-        try:
-            self.spark.sql(f"INSERT OVERWRITE TABLE {self.qualified(layout)} PARTITION ({spec}) "
-                           f"SELECT * FROM {view}")
-        finally:
-            self.spark.catalog.dropTempView(view)
+        derived = [key for key in layout.period_keys if key not in layout.schema.names]
+        rows = rows.withColumns({key: F.date_format(layout.period_of, "yyyy-MM") for key in derived}) if derived else rows
+        rows = rows.withColumn(layout.period_keys[0], _checked_key(layout.period_keys, periods))
+        required = {f.name for f in layout.schema.fields if not f.nullable}
+        rows = rows.select(*(_or_fail(name).alias(name) if name in required else F.col(name) for name in rows.columns))
+        keys = layout.partition_keys
+        rows = rows.hint("rebalance", *keys).sortWithinPartitions(*keys, *layout.sort_keys)
+        before = self._files(layout, periods)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(
+            self.location(layout))
+        if before:
+            stale = {file.rsplit("/", 1)[0] for file in before & self._files(layout, periods)}
+            nothing = self.spark.createDataFrame([], StructType([f for f in layout.schema.fields if f.name not in keys]))
+            for folder in sorted(stale):
+                nothing.write.mode("overwrite").parquet(folder)
+
+    def register(self, layout: TableLayout) -> None:
+        """Make the stored table known to SQL, with its columns, constraints and partitions."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable or f.name in layout.partition_keys else ' NOT NULL'}"
+            for f in self._stored_schema(layout).fields)
+        keys = ", ".join(f"`{key}`" for key in layout.partition_keys)
+        table = self.qualified(layout)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+                       f"PARTITIONED BY ({keys}) LOCATION '{self.location(layout)}'")
+        self.spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(f"{self.database}.{layout.name}")
 
 
 def write_checked(df: DataFrame, path: str) -> DataFrame:

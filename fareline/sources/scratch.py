@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="fareline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared checkpoint folder of the session.
 
-    Only a local master without that setting gets a temporary folder of this machine.
+    Only a local master without that setting gets a temporary folder of this machine, which is removed when the
+    program ends.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="fareline-")
+        base = _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

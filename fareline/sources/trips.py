@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,17 +15,19 @@ from pyspark.sql import functions as F
 from fareline.operators.reconcile import standardize
 from fareline.schemas import SERVICE_TYPES
 
-# --- fixed values: file naming and the years that have data ---
-FIRST_YEAR, LAST_YEAR = 2009, 2030
+# --- fixed values: file naming and the first year that has data ---
+FIRST_YEAR = 2009
 FILE_PATTERN = r"([a-z]+)_tripdata_(\d{4})-(\d{2})\.parquet"
+# ------------------------------------------------------------------
+FOOTERS_AT_ONCE = 16
 
 
 def trip_path(root: str, service_type: str, year: int, month: int) -> str:
     """Path of one service's month below ``root``."""
     if service_type not in SERVICE_TYPES:
         raise ValueError(f"unknown service type {service_type!r}; one of {SERVICE_TYPES}")
-    if year < FIRST_YEAR or year > LAST_YEAR:
-        raise ValueError(f"year {year} outside {FIRST_YEAR}-{LAST_YEAR}")
+    if not FIRST_YEAR <= year <= 9999:
+        raise ValueError(f"year {year} is before {FIRST_YEAR} or no year of four digits")
     if month < 1 or month > 12:
         raise ValueError(f"month {month} outside 1-12")
     file_name = f"{service_type}_tripdata_{year}-{month:02d}.parquet"
@@ -39,27 +44,43 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def month_of(path: str) -> tuple[str, int, int]:
+    """Service, year and month that a file's name tells."""
+    match = re.fullmatch(FILE_PATTERN, file_name(path))
+    if not match:
+        raise ValueError(f"{path} is not named like a monthly file")
+    return match[1], int(match[2]), int(match[3])
+
+
 def read_months(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Raw files of several services and months as one standardised frame.
 
     Adds ``service_type``, ``file_year``, ``file_month`` and ``source_file``, all taken from the
     file name. Files are grouped by the schema in their footer and each group is one scan, so the
-    plan grows with the number of distinct schemas and not with the number of files.
+    plan grows with the number of distinct schemas and not with the number of files. Footers are read a few at a
+    time. What the names tell is a table of one row per file, broadcast to rows by the file they come from.
     """
-    by_schema = defaultdict(list)
-    for path in paths:
-        by_schema[spark.read.parquet(path).schema].append(path)
-    if not by_schema:
+    paths = list(paths)
+    if not paths:
         raise ValueError("no paths given")
+    with ThreadPoolExecutor(max_workers=FOOTERS_AT_ONCE) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+    by_schema = defaultdict(list)
+    for path, schema in zip(paths, schemas, strict=True):
+        by_schema[schema].append(path)
 
     def scan(schema, group: list[str]) -> DataFrame:
-        location = F.col("_metadata.file_path")
-        named = spark.read.schema(schema).parquet(*group).select(
-            "*",
-            F.regexp_extract(location, FILE_PATTERN, 1).alias("service_type"),
-            F.regexp_extract(location, FILE_PATTERN, 2).cast("int").alias("file_year"),
-            F.regexp_extract(location, FILE_PATTERN, 3).cast("int").alias("file_month"),
-            F.regexp_extract(location, FILE_PATTERN, 0).alias("source_file"))
-        return standardize(named, "service_type", "file_year", "file_month", "source_file")
+        raw = spark.read.schema(schema).parquet(*group)
+        told = []
+        for file in raw.inputFiles():
+            given = next(path for path in group if f"{unquote(file)}/".find(f"{path.rstrip('/')}/") >= 0)
+            # A local file is listed as file:///x and named file:/x by its rows.
+            told += [(name, *month_of(given), file_name(given)) for name in {file, file.replace(":///", ":/", 1)}]
+        files = spark.createDataFrame(told, "file string, service_type string, file_year int, file_month int, "
+                                            "source_file string")
+        named = raw.withColumn("file", F.col("_metadata.file_path")).join(F.broadcast(files), "file", "left")
+        known = F.coalesce("service_type", F.raise_error(F.concat(F.lit("file not listed: "), F.col("file"))))
+        return standardize(named.withColumn("service_type", known), "service_type", "file_year", "file_month",
+                           "source_file")
 
     return reduce(DataFrame.unionByName, (scan(schema, group) for schema, group in by_schema.items()))

@@ -25,7 +25,7 @@ def test_conform_and_backfill(spark, tmp_path, files):
     database = f"j{uuid.uuid4().hex}"
     target = ["--lake", str(tmp_path / "lake"), "--database", database, "--min-rows", "10"]
     lake = Lake(spark, str(tmp_path / "lake"), database)
-    jobs.main(["conform", *files, *target, "--service-type", "green"])
+    jobs.main(["conform", *files, *target[:-2], "--service-type", "green"])
     assert lake.read(TRIPS_TABLE).count() > 0 and not lake.exists(HOURLY_TABLE)
     jobs.main(["backfill", *files, *target, "--months", "2"])
     loaded = lake.read(TRIPS_TABLE).select("service_type", "ingestion_date").distinct().collect()
@@ -41,6 +41,13 @@ def test_profile(spark, files, caplog):
     assert "fare_negative" in text and "duration_minutes" in text and "orphan_trips" in text
 
 
+def test_profile_compares_two_months(spark, files, caplog):
+    with caplog.at_level(logging.INFO, logger="fareline"):
+        jobs.main(["profile", *files, "--other-year", "2024", "--other-month", "2"])
+    assert "column congestion_surcharge: double, None" in caplog.text
+    assert "fare_amount_p0.5" in caplog.text and "orphan_pickup_pct" in caplog.text
+
+
 @pytest.mark.parametrize("setting, value", [("spark.sql.session.timeZone", "America/New_York"),
                                             ("spark.sql.ansi.enabled", "false")])
 @pytest.mark.parametrize("name", ["rule_duration", "int_trips_enriched", "agg_hourly_demand_by_zone",

@@ -96,7 +96,7 @@ def test_trip_path():
     path = trip_path("/data/", "green", 2024, 3)
     assert path == "/data/trip-data/green/2024/03/green_tripdata_2024-03.parquet"
     assert file_name(path) == "green_tripdata_2024-03.parquet"
-    for bad in (("taxi", 2024, 1), ("green", 2008, 1), ("green", 2031, 1), ("green", 2024, 0), ("green", 2024, 13)):
+    for bad in (("taxi", 2024, 1), ("green", 2008, 1), ("green", 10000, 1), ("green", 2024, 0), ("green", 2024, 13)):
         with pytest.raises(ValueError):
             trip_path("/data", *bad)
 

@@ -2,7 +2,7 @@ import pytest
 from helpers import plan_of, trips, zone_rows
 
 from fareline.functions.rules import Thresholds
-from fareline.operators.zones import DuplicateZoneError, check_unique_zones, join_zones, orphan_locations
+from fareline.operators.zones import join_zones, orphan_locations
 from fareline.sources.zones import read_zones
 
 
@@ -13,12 +13,19 @@ def test_join_fills_both_roles_and_keeps_unmatched_trips(spark):
         ("Queens", "JFK", "-", "-"), ("Queens", "JFK", "Manhattan", "UES")]
 
 
-def test_duplicate_zones_are_reported_and_never_multiply_trips(spark):
-    zones = zone_rows(spark, (132, "Queens", "JFK", "a"), (132, "Bronx", "B", "b"))
-    with pytest.raises(DuplicateZoneError, match="132"):
-        check_unique_zones(zones)
+@pytest.mark.parametrize("rows, message", [
+    (((132, "Queens", "JFK", "a"), (132, "Bronx", "B", "b")), "several zones for location id 132"),
+    (((132, "Queens", "JFK", "a"), (132, None, "GHOST", None)), "several zones for location id 132"),
+    (((132, "Queens", "JFK", "a"), (None, "Bronx", "B", "b")), "zone without location id"),
+])
+def test_repeated_and_absent_ids_end_the_join(spark, rows, message):
+    with pytest.raises(Exception, match=message):
+        join_zones(trips(spark, {}), zone_rows(spark, *rows)).collect()
+
+
+def test_repeated_ids_outside_the_range_do_not_matter(spark):
+    zones = zone_rows(spark, (132, "Queens", "JFK", "a"), (999, "x", "y", "z"), (999, "x", "y", "z"))
     assert join_zones(trips(spark, {}), zones).count() == 1
-    check_unique_zones(zone_rows(spark, (1, "x", "y", "z")))
 
 
 def test_one_broadcast_serves_both_joins_without_shuffling_trips(spark, tmp_path):
@@ -56,3 +63,26 @@ def test_zone_csv(spark, tmp_path):
     assert rows == {1: ("EWR", "Newark Airport"), 264: ("Unknown", None), 265: (None, "Outside")}
     as_text = {r.LocationID: r.Borough for r in read_zones(spark, str(path), missing=None).collect()}
     assert as_text[265] == "N/A"
+
+
+def test_zone_csv_is_read_by_name(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text("locationid,Zone,Borough,service_zone\n1,Newark Airport,EWR,EWR\n")
+    assert [tuple(r) for r in read_zones(spark, str(path)).collect()] == [(1, "EWR", "Newark Airport", "EWR")]
+
+
+@pytest.mark.parametrize("text, message", [
+    ("LocationID,Borough,Zone,service_zone\nabc,Queens,JFK,x\n", "unreadable location id: abc"),
+    ("LocationID,Borough,Zone,service_zone\n,Queens,JFK,x\n", "unreadable location id"),
+    ("LocationID,Borough,Zone\n1,Queens,JFK\n", "lacks the columns"),
+])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_unreadable_zone_csv_fails(spark, tmp_path, text, message, ansi):
+    path = tmp_path / "zones.csv"
+    path.write_text(text)
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match=message):
+            read_zones(spark, str(path)).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
