@@ -1,0 +1,40 @@
+import random
+
+import pytest
+
+from fareline.llm.components import connected_components
+
+
+def brute(edges):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {x: find(x) for x in parent}
+
+
+@pytest.mark.parametrize("edges", [
+    [],
+    [(1, 1)],
+    [(1, 2), (2, 1), (1, 2), (5, 5), (2, 9)],
+    [(i, i + 1) for i in range(60)],
+    [(60 - i, 59 - i) for i in range(40)] + [(0, 100 + i) for i in range(50)],
+    [(random.Random(1).randrange(200), random.Random(i).randrange(200)) for i in range(150)],
+])
+def test_components(spark, edges):
+    df = spark.createDataFrame([*edges, (None, 3), (4, None)], "a long, b long")
+    found = [tuple(r) for r in connected_components(df).collect()]
+    assert sorted(found) == sorted(brute(edges).items())
+
+
+def test_text_nodes(spark):
+    df = spark.createDataFrame([("b", "c"), ("c", "a"), ("x", "y")], "a string, b string")
+    assert {tuple(r) for r in connected_components(df).collect()} == {
+        ("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}

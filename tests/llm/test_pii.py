@@ -1,0 +1,63 @@
+import pytest
+from frames import SF, awkward, documents, groups, read
+
+from fareline.llm import pii
+from fareline.llm.queries import LLM_QUERIES, PSEUDONYM_KEY
+
+KEY = b"test key"
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000, 1025])
+def test_every_domain_is_permuted(size):
+    turn = pii.Permutation(KEY, "t", size)
+    images = [turn(i) for i in range(size)]
+    assert sorted(images) == list(range(size))
+    assert [turn.inverse(i) for i in images] == list(range(size))
+
+
+@pytest.mark.parametrize("value, kind", [
+    ("und.34@mail7.example.com", "email"), ("+1 (017) 555-7713", "phone"), ("4845168114407329", "card"),
+    ("4111 1111 1111 1111", "card"), ("97.51.17.173", "ipv4"), ("123-45-6789", "ssn"), ("1984-02-29", "date_iso"),
+    ("29.02.1984", "date_dotted"), ("02/29/1984", "date_slashed"), ("DE89 3704 0044 0532 0130 00", "iban")])
+def test_values_keep_their_format_and_come_back(value, kind):
+    text = f"before {value}, after"
+    new, found = pii.Pseudonyms(KEY)(text)
+    assert found == [(kind, 7, 7 + len(value))] and value not in new
+    again, found_again = pii.Pseudonyms(KEY)(new)
+    assert [k for k, *_ in found_again] == [kind]  # the pseudonym is valid, too
+    if kind != "ipv4":
+        assert "".join("9" if c.isdigit() else c for c in new if not c.isalpha()) == "".join(
+            "9" if c.isdigit() else c for c in text if not c.isalpha())
+    assert pii.Pseudonyms(KEY, inverse=True)(new)[0] == text
+    assert pii.Pseudonyms(b"other key")(text)[0] != new
+
+
+@pytest.mark.parametrize("text", [
+    "1234567890123456", "300.1.1.1", "2023-02-30", "13/45/2020", "000-12-3456", "DE00 3704 0044 0532 0130 00", "01.2.3.4",
+    "version 1.2.3", "3.14159", "a@b", "", "no digits", "0000000000000000"])
+def test_what_is_not_valid_stays(text):
+    assert pii.Pseudonyms(KEY)(text) == (text, [])
+
+
+def test_equal_values_stay_linked_whatever_their_separators():
+    new, _ = pii.Pseudonyms(KEY)("4111111111111111 4111-1111-1111-1111 and 1984-02-29 29.02.1984")
+    a, b, _, c, d = new.split()
+    assert a == b.replace("-", "") and c == "-".join(reversed(d.split(".")))
+
+
+def test_query_against_brute_force(spark):
+    replace = pii.Pseudonyms(PSEUDONYM_KEY)
+    texts = {r.doc_id: r.text for r in read(spark, SF).collect()}
+    rows = LLM_QUERIES["op7_pseudonyms"](spark, SF).collect()
+    assert {r.doc_id: (r.text, r.n_replaced) for r in rows} == {
+        i: (lambda done: (done[0], len(done[1])))(replace(t)) for i, t in texts.items()}
+    assert any(r.n_replaced for r in rows)
+    back = pii.Pseudonyms(PSEUDONYM_KEY, inverse=True)
+    assert all(back(r.text)[0] == texts[r.doc_id] for r in rows)
+
+
+def test_awkward_rows(spark):
+    by_id = groups((r.doc_id, r) for r in pii.pseudonymize(awkward(spark), KEY).collect())
+    assert by_id[1][0].text is None and by_id[2][0].text == "" and len(by_id[4]) == len(by_id[None]) == 2
+    assert by_id[6][0].text == "Ünïcode 𝒳 text\x00with controls"
+    assert pii.pseudonymize(documents(spark, "a").filter("false"), KEY).count() == 0

@@ -1,0 +1,67 @@
+import numpy as np
+import pytest
+from frames import SF, read
+from pyspark.sql import functions as F
+
+from fareline.llm import topk
+from fareline.llm.queries import LLM_QUERIES
+
+
+def plain(rows, is_query, k=10):
+    """``{query: [(vec_id, score), ...]}`` of (vec_id, vector) rows with distinct ids."""
+    used = [(i, np.floor(np.array(v, np.float64) * 1024).astype(np.int64)) for i, v in rows
+            if i is not None and v is not None and None not in v and np.isfinite(np.array(v, float)).all()]
+    out = {}
+    for q, a in used:
+        if is_query(q):
+            scored = sorted((-int(sum(int(x) * int(y) for x, y in zip(a, b, strict=False))), i) for i, b in used if i != q)
+            if scored:
+                out[q] = [(i, -s) for s, i in scored[:k]]
+    return out
+
+
+def told(df):
+    out = {}
+    for r in sorted(df.collect()):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def test_query_against_brute_force(spark):
+    rows = [(r.vec_id, r.embedding) for r in read(spark, SF, "embeddings").collect()]
+    assert told(LLM_QUERIES["op4_topk"](spark, SF)) == plain(rows, lambda i: i % 100 == 0)
+
+
+@pytest.mark.parametrize("lists, block_bytes", [(1, 8 << 20), (3, 2048)])
+def test_ties_groups_of_equal_vectors_and_awkward_rows(spark, lists, block_bytes):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).round(1).tolist()) for i in range(300)]
+    rows += [(i, [0.5] * 8) for i in range(300, 600)]
+    rows += [(600, None), (601, [1.0, None] * 4), (602, [float("nan")] * 8), (603, [float("inf")] * 8), (None, [1.0] * 8),
+             (604, []), (605, [2.0, -3.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS rank", "2 AS V")
+    found = told(topk.nearest(frame, F.col("vec_id") % 20 == 0, lists=lists, block_bytes=block_bytes))
+    assert found == plain(rows, lambda i: i % 20 == 0)
+
+
+def test_repeated_rows_count_once(spark):
+    rows = [(0, [1.0, 1.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (1, [3.0, 3.0]), (2, [0.5, 0.0]), (0, [1.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert told(topk.nearest(frame, F.col("vec_id") == 0)) == {0: [(1, 6 * 1024 ** 2), (2, 1024 ** 2 // 2)]}
+
+
+def test_few_or_no_rows(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<double>")
+    assert topk.nearest(empty, F.lit(True)).count() == 0
+    one = spark.createDataFrame([(0, [1.0])], empty.schema)
+    assert topk.nearest(one, F.lit(True)).count() == 0
+    two = spark.createDataFrame([(0, [1.0]), (5, [-2.0])], empty.schema)
+    assert told(topk.nearest(two, F.lit(True))) == {0: [(5, -2 * 1024 ** 2)], 5: [(0, -2 * 1024 ** 2)]}
+    assert topk.nearest(two, F.lit(False)).count() == 0
+
+
+def test_large_components_stay_exact(spark):
+    rows = [(0, [1e6, 1e6 + 1]), (1, [1e6, 1e6 + 3]), (2, [1e6, 1e6 + 2])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert told(topk.nearest(frame, F.col("vec_id") == 0)) == plain(rows, lambda i: i == 0)
