@@ -2,4 +2,95 @@
 
 from __future__ import annotations
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+from fareline.llm.queries import URL_RULES
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _after_scheme(url: str) -> str:
+    return f"CASE WHEN strpos({url}, '://') > 0 THEN substr({url}, strpos({url}, '://') + 3) ELSE '' END"
+
+
+def _host(url: str) -> str:
+    return f"translate(regexp_extract({_after_scheme(url)}, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}')"
+
+
+def _path(url: str) -> str:
+    return f"regexp_extract({_after_scheme(url)}, '^[^/?#]*([^?#]*)', 1)"
+
+
+def _node(url: str) -> str:
+    rest = f"regexp_extract({_after_scheme(url)}, '^[^/?#]*([^#]*)', 1)"
+    return f"CASE WHEN {_host(url)} <> '' THEN {_host(url)} || CASE WHEN {rest} = '' THEN '/' ELSE {rest} END END"
+
+
+def _ruled(host: str, path: str, what: str) -> str:
+    """``what`` of the longest rule that fits."""
+    ordered = sorted(URL_RULES, key=lambda r: (-len(r.text), r.verdict != "allow", r.text))
+    cases = " ".join(
+        f"WHEN ({host} = '{r.host}' OR {host} LIKE '%.{r.host}') AND starts_with({path}, '{r.path}') "
+        f"THEN '{getattr(r, what)}'" for r in ordered)
+    return f"CASE {cases} END"
+
+
+_URLS = f"""WITH RECURSIVE parsed AS (
+  SELECT page_id, url, html, {_host("url")} AS host, {_path("url")} AS path, {_node("url")} AS node,
+         regexp_extract(url, '^(.*?)://', 1) AS scheme
+  FROM pages
+), tags AS (
+  SELECT *, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*>')) AS tag FROM parsed
+), links AS (
+  SELECT *, replace(CASE
+    WHEN regexp_matches(tag, '(?i)^<link') AND regexp_matches(tag, '(?i)\\brel\\s*=\\s*["'']?\\s*canonical\\b')
+      THEN regexp_extract(tag, '(?i)\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?i)^<meta') AND regexp_matches(tag, '(?i)\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b')
+      THEN regexp_extract(tag, '(?i);\\s*url\\s*=\\s*[''"]?\\s*([^"''\\s>]+)', 1)
+    ELSE '' END, '&amp;', '&') AS target
+  FROM tags
+), goals AS (
+  SELECT node, CASE
+    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+    WHEN starts_with(target, '//') THEN scheme || ':' || target
+    WHEN starts_with(target, '/') THEN scheme || '://' || host || target
+    ELSE scheme || '://' || host || CASE WHEN regexp_extract(path, '^(.*/)', 1) = '' THEN '/'
+      ELSE regexp_extract(path, '^(.*/)', 1) END || target END AS goal
+  FROM links WHERE target <> ''
+), edges AS (
+  SELECT node AS a, {_node("goal")} AS b FROM goals
+), both_ways AS (
+  SELECT a, b FROM edges WHERE a IS NOT NULL AND b IS NOT NULL
+  UNION SELECT b, a FROM edges WHERE a IS NOT NULL AND b IS NOT NULL
+), reached AS (
+  SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reached r JOIN both_ways e ON r.b = e.a
+), blocked AS (
+  SELECT DISTINCT a AS node FROM reached
+  WHERE {_ruled("regexp_extract(b, '^([^/?#]*)', 1)", "regexp_extract(b, '^[^/?#]*([^?]*)', 1)", "verdict")} = 'block'
+)
+SELECT page_id, host, path, {_ruled("host", "path", "text")} AS rule,
+       coalesce({_ruled("host", "path", "verdict")}, CASE WHEN blocked.node IS NOT NULL THEN 'block' END, 'allow') AS verdict
+FROM parsed LEFT JOIN blocked USING (node)"""
+
+_NEAREST = """WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+_EQUAL_TEXTS = """WITH normal AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM normal WINDOW same AS (PARTITION BY t)"""
+
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op4_topk": _NEAREST,
+    "op5_exact_dedup": _EQUAL_TEXTS,
+    "op9_url_filter": _URLS,
+}

@@ -1,0 +1,15 @@
+"""The text queries that SQL can express against their SQL."""
+
+import oracle_compare
+import pytest
+from frames import SF
+
+from fareline.llm.oracle import LLM_ORACLE_SQL
+from fareline.llm.queries import LLM_QUERIES
+
+
+@pytest.mark.parametrize("name", list(LLM_ORACLE_SQL))
+def test_matches_sql(spark, name):
+    problems, rows = oracle_compare.compare(spark, oracle_compare.connect(SF), LLM_QUERIES[name], LLM_ORACLE_SQL[name], SF)
+    assert not problems
+    assert rows > 0
