@@ -40,15 +40,11 @@ def quality_profile(trips: DataFrame) -> DataFrame:
         f"{name}_pct": percent(F.col(name), F.col("total_rows")) for name in suspicious})
 
 
-def exact_percentiles(df: DataFrame, metrics: dict[str, Column], probabilities: Sequence[float]) -> DataFrame:
-    """Discrete percentiles of several double expressions: rows (metric, probability, value).
+def ranged_values(df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+    """The distinct values of each metric with their ``copies``, stored in ranges of about equal size.
 
-    The value at probability p is the smallest one whose rank reaches ``ceil(p * n)``; nulls do
-    not count, NaN comes last. ``percentile_approx`` answers the same question, but merges one sketch per input
-    partition in a single task, which does not hold up over very many partitions. Here equal
-    values are counted on the map side first. The distinct values are then stored in ranges of about equal size,
-    whatever their distribution; the sizes of the ranges tell in which one each rank lies, and only the ranges wanted are
-    ordered, each by a task of its own.
+    Ranges are cut where a sample of the values says, so their sizes do not depend on how values are distributed; equal
+    values were counted before, so none weighs more than another.
     """
     values = df.select(*(expression.cast("double").alias(name) for name, expression in metrics.items())).unpivot(
         [], list(metrics), "metric", "value").filter(F.col("value").isNotNull())
@@ -57,7 +53,19 @@ def exact_percentiles(df: DataFrame, metrics: dict[str, Column], probabilities:
     # Stored, so that the ranges are the same for their sizes and for what is read of them.
     path = new_scratch_dir(df.sparkSession, "ranges")
     ranged.write.parquet(path)
-    stored = df.sparkSession.read.schema("metric string, value double, copies long, range int").parquet(path)
+    return df.sparkSession.read.schema("metric string, value double, copies long, range int").parquet(path)
+
+
+def exact_percentiles(df: DataFrame, metrics: dict[str, Column], probabilities: Sequence[float]) -> DataFrame:
+    """Discrete percentiles of several double expressions: rows (metric, probability, value).
+
+    The value at probability p is the smallest one whose rank reaches ``ceil(p * n)``; nulls do
+    not count, NaN comes last. ``percentile_approx`` answers the same question, but merges one sketch per input
+    partition in a single task, which does not hold up over very many partitions. Here equal
+    values are counted on the map side first and stored in ranges of about equal size; the sizes of the ranges tell
+    in which one each rank lies, and only the ranges wanted are ordered, each by a task of its own.
+    """
+    stored = ranged_values(df, metrics)
 
     # One row per metric and range from here on; with the probabilities, a broadcast of known size.
     sizes = stored.groupBy("metric", "range").agg(F.sum("copies").alias("size"))

@@ -5,7 +5,9 @@ import pytest
 from helpers import trips
 from pyspark.sql import functions as F
 
-from fareline.operators.profile import duration_percentiles, exact_percentiles, quality_profile, value_percentiles
+from fareline.operators.profile import (
+    duration_percentiles, exact_percentiles, quality_profile, ranged_values, value_percentiles,
+)
 
 PROBABILITIES = (0.0, 0.01, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0)
 
@@ -100,3 +102,20 @@ def test_percentiles_scan_the_rows_once(spark, tmp_path, metrics):
     reused = final.count("ReusedExchange")
     # three uses of the counted values, of which all but one reuse the first one's shuffle
     assert final.count("FileScan parquet") - reused <= 1
+
+
+@pytest.mark.parametrize("expression", [
+    "pow(10D, -12D + 9D * rand(3))",                              # log-uniform, all below a thousandth
+    "IF(id = 7, 1e12, 5D + rand(4) * 1e-9)",                      # a tight cluster and an outlier
+    "IF(id % 3 = 0, 1D, id + 0D)",                                # one value with a third of the rows
+])
+def test_no_range_holds_much_more_than_its_share(spark, expression):
+    """Ranges are as even for tiny, clustered and repeated values as for others."""
+    values = spark.range(200_000).selectExpr(f"{expression} AS v")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ranged_values(values, {"v": F.col("v")}).groupBy("range").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(sizes) == 4 and max(sizes) < 2 * sum(sizes) / len(sizes)
