@@ -13,7 +13,7 @@ from fareline.functions.scalars import elapsed_seconds, percent
 from fareline.operators.zones import orphan_locations
 from fareline.sources.scratch import new_scratch_dir
 
-# --- fixed values: probabilities reported, and the measures of the report below ---
+# --- fixed values: probabilities reported ---
 VALUE_PROBABILITIES = (0.01, 0.25, 0.5, 0.75, 0.99)
 DURATION_PROBABILITIES = (0.01, 0.25, 0.5, 0.75, 0.95, 0.99, 0.999)
 
@@ -21,6 +21,7 @@ DURATION_PROBABILITIES = (0.01, 0.25, 0.5, 0.75, 0.95, 0.99, 0.999)
 def quality_profile(trips: DataFrame) -> DataFrame:
     """One row: suspicious-value counts with their share of all rows, and value ranges; one pass."""
     seconds = elapsed_seconds(F.col("pickup_datetime"), F.col("dropoff_datetime"))
+    # --- fixed values: the report's measures ---
     suspicious = {
         "fare_negative": F.col("fare_amount") < 0,
         "fare_zero": F.col("fare_amount") == 0,

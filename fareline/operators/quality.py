@@ -21,11 +21,6 @@ def keep_rejected(df: DataFrame, rules: Sequence[Rule], null_policy: str = REJEC
     return df.filter(any_broken(rules, null_policy)).withColumn("reason_code", first_broken(rules, null_policy))
 
 
-def split(df: DataFrame, rules: Sequence[Rule], null_policy: str = REJECT) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected). The branches share no computed state: each is one pruned scan, nothing is cached."""
-    return keep_valid(df, rules), keep_rejected(df, rules, null_policy)
-
-
 def count_outcomes(df: DataFrame, rules: Sequence[Rule], null_policy: str = REJECT) -> DataFrame:
     """Raw, valid and rejected row counts and the reject rate, in one pass over the rows.
 

@@ -13,7 +13,7 @@ def _struct(*columns: tuple) -> StructType:
     return StructType([StructField(name, kind(), not required) for name, kind, required in columns])
 
 
-# --- fixed values -------------------------------------------------------------------------------
+# --- fixed values: names, types and order of all columns, down to the table layouts ------------------
 SERVICE_TYPES = ("yellow", "green", "fhv", "fhvhv")
 
 # lower-cased raw name -> conformed name
@@ -33,7 +33,6 @@ LONG_COLUMNS = ("vendor_id", "passenger_count", "pu_location_id", "do_location_i
 
 # surcharges introduced over the years; absent from older files
 LATER_COLUMNS = ("congestion_surcharge", "airport_fee", "cbd_congestion_fee")
-# ------------------------------------------------------------------------------------------------
 
 CONFORMED = _struct(
     ("vendor_id", LongType, False),
@@ -158,6 +157,9 @@ HEALTH = _struct(
 )
 
 
+# -----------------------------------------------------------------------------------------------------
+
+
 @dataclass(frozen=True, eq=False)
 class TableLayout:
     """How one stored table is laid out.

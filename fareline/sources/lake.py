@@ -136,9 +136,16 @@ def write_checked(df: DataFrame, path: str) -> DataFrame:
 def run_together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
     """Run independent writes at the same time, so that a small one does not leave the cluster idle.
 
-    All are waited for; then the first failure, if any, is raised.
+    Each has a scheduler pool of its own, which share the cluster evenly where the session's scheduler is fair. All are
+    waited for; then the first failure, if any, is raised.
     """
+
+    def in_own_pool(number: int, job: Callable[[], None]) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"write{number}")
+        job()
+
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        running = [pool.submit(inheritable_thread_target(spark)(in_own_pool), number, job)
+                   for number, job in enumerate(jobs)]
     for done in running:
         done.result()

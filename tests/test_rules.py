@@ -7,7 +7,7 @@ from helpers import trips
 from pyspark.sql import functions as F
 
 from fareline.functions import rules as R
-from fareline.operators.quality import count_outcomes, keep_rejected, keep_valid, split
+from fareline.operators.quality import count_outcomes, keep_rejected, keep_valid
 
 NAN = float("nan")
 
@@ -111,7 +111,7 @@ def test_reason_code(spark, change, under_reject, under_sql):
 def test_every_row_is_accounted_for(spark, policy, lost):
     df = trips(spark, {}, {}, *(change for change, _, _ in BROKEN))
     rules = R.trip_rules(2024, 1, null_policy=policy)
-    valid, rejected = split(df, rules, policy)
+    valid, rejected = keep_valid(df, rules), keep_rejected(df, rules, policy)
     counts = count_outcomes(df, rules, policy).first()
     assert counts["raw_rows"] == len(BROKEN) + 2
     assert counts["valid_rows"] == valid.count()
