@@ -1,11 +1,15 @@
 """The text queries that SQL can express against their SQL."""
 
+import random
+
+import duckdb
 import oracle_compare
 import pytest
 from frames import SF
 
+from fareline.llm import urls
 from fareline.llm.oracle import LLM_ORACLE_SQL
-from fareline.llm.queries import LLM_QUERIES
+from fareline.llm.queries import LLM_QUERIES, URL_RULES
 
 
 @pytest.mark.parametrize("name", list(LLM_ORACLE_SQL))
@@ -13,3 +17,27 @@ def test_matches_sql(spark, name):
     problems, rows = oracle_compare.compare(spark, oracle_compare.connect(SF), LLM_QUERIES[name], LLM_ORACLE_SQL[name], SF)
     assert not problems
     assert rows > 0
+
+
+def test_url_sql_on_pages_with_links(spark):
+    """The test tables hold no links; here most pages have one."""
+    rng = random.Random(4)
+    hosts = ["a.com", "x.net", "example.net", "b.org", "m.example.com", "c.io", "d.io", "e.io"]
+    paths = ["/", "/en/1", "/de/2", "/fr/3", "", "/q?x=1", "/z#f", "/k/l"]
+
+    def url():
+        return rng.choice(("http://", "https://")) + rng.choice(hosts) + rng.choice(paths)
+
+    rows = []
+    for i in range(120):
+        to = rng.choice([url(), "/en/1", "k2", "//" + rng.choice(hosts) + "/fr/3", "../up", "http://e.io/?a=1&amp;b=2"])
+        html = rng.choice([None, "<p>canonical</p>", f'<link rel="canonical" href="{to}">',
+                           f"<META http-equiv='refresh' content='0; url={to}'>"])
+        rows.append((i, rng.choice([url(), url(), url(), None, "bad"]), html))
+    found = urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), URL_RULES).drop("component")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    expected = con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({LLM_ORACLE_SQL['op9_url_filter']})").fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert sum(r[3] is None and r[4] == "block" for r in expected) > 10
