@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -99,16 +99,16 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     at = {name: [c.lower() for c in columns].index(name) if name not in columns else columns.index(name)
           for name in ("doc_id", "text")}
     plain = docs.toDF(*(f"c{i}" for i in range(n)))
-    keyed = plain.withColumns({
-        "row_id": F.col(f"c{at['doc_id']}").cast("long"),
-        "row_hash": text_hash(F.col(f"c{at['text']}"))})
-    wanted = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
-    matched = keyed.join(
-        wanted, F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_hash") == F.col("kept_hash")),
-        "left_semi")
-    from pyspark.sql import Window
-
-    nth = F.row_number().over(Window.partitionBy("row_id", "row_hash").orderBy("row_id"))
+
+    def keyed(df: DataFrame, doc_id: Column, hashed: Column) -> DataFrame:
+        # Without nulls, so that join and window ask for the same partitions and order, and the text moves once.
+        return df.withColumns({"row_id": F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")),
+                               "row_has_id": doc_id.isNotNull(), "row_hash": hashed})
+
+    keys = ["row_id", "row_has_id", "row_hash"]
+    wanted = keyed(kept, F.col("doc_id"), F.col("text_hash")).select(*keys)
+    matched = keyed(plain, F.col(f"c{at['doc_id']}"), text_hash(F.col(f"c{at['text']}"))).join(wanted, keys, "left_semi")
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("row_id"))
     once = matched.withColumn("nth", nth).filter(F.col("nth") == 1)
     return once.select(*(f"c{i}" for i in range(n))).toDF(*columns)
 
