@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,12 +45,18 @@ def cover_masks(radius: int) -> list[int]:
     Each bit position gets a non-zero vector of radius + 1 bits, and each non-zero vector v of that
     length gives the mask of the positions whose vector has odd product with v. At most ``radius``
     differing positions span less than the whole space, so some v is orthogonal to all of them, and
-    its mask leaves them all out.
+    its mask leaves them all out. The positions' vectors are spread so that every mask has about half of the bits
+    or more: all non-zero vectors in turn where there are no more than positions, else such that end in a one (for
+    radius 6 all of these: the first-order Reed-Muller code).
     """
     if not 0 <= radius < BITS:
         raise ValueError(f"radius {radius} outside 0-{BITS - 1}")
     kinds = 2 ** (radius + 1) - 1
-    return [sum(1 << i for i in range(BITS) if (1 + i % kinds & v).bit_count() % 2) for v in range(1, kinds + 1)]
+    if kinds <= BITS:
+        vectors = [1 + i % kinds for i in range(BITS)]
+    else:
+        vectors = random.Random(radius).sample(range(1 << radius, 2 << radius), BITS)
+    return [sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2) for v in range(1, kinds + 1)]
 
 
 def _signed(value: int) -> int:
@@ -70,20 +77,22 @@ def fingerprints(docs: DataFrame, words_each: int = 3, id_col: str = "doc_id", t
 
 
 def spanning_links(fps: np.ndarray, radius: int) -> tuple[list, list]:
-    """Links that connect what is connected within the radius; fewer than there are fingerprints.
+    """For all that is connected within the radius, links of its smallest fingerprint (as a signed number) to the others.
 
     A search from one fingerprint at a time compares it with those not reached yet, so a dense group
-    costs about its size and only a group of mutually distant ones its square.
+    costs about its size and only a group of mutually distant ones its square. The links are stars, which
+    the components that are formed of all buckets' links need few rounds for.
     """
-    a, b, rest = [], [], fps
+    a, b = [], []
+    rest = np.sort(fps.view(np.int64)).view(np.uint64)
     while len(rest) > 1:
-        frontier, rest = [rest[0]], rest[1:]
+        root, rest = rest[0], rest[1:]
+        frontier = [root]
         while frontier and len(rest):
-            at = frontier.pop()
-            near = np.bitwise_count(rest ^ at) <= radius
+            near = np.bitwise_count(rest ^ frontier.pop()) <= radius
             if near.any():
                 new = rest[near]
-                a.extend([at] * len(new))
+                a.extend([root] * len(new))
                 b.extend(new)
                 frontier.extend(new)
                 rest = rest[~near]
