@@ -20,9 +20,21 @@ WINDOW = 2048
 PIECE = 512
 # Windows that are balanced together; bounds what a task holds, and the last window of a group is the one left short.
 GROUP_WINDOWS = 256
-_CACHED_WORDS = 700_000
+_CACHED_WORDS = 550_000
 # Punctuation that, after a letter, is a token run of its own whatever comes before the letter.
 _TRAILING = b".,;:!?%$&*#"
+# Below this come letters only that lower-casing and composition treat one by one.
+_LATIN_END = "\u0250"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character a byte-level vocabulary has for each byte: itself if it can be seen, else one from 256 on."""
+    seen = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    rest = [b for b in range(256) if b not in seen]
+    return {**{b: chr(b) for b in seen}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+_LETTER_OF_BYTE = _byte_letters()
 
 PACKED = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
@@ -95,11 +107,22 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
 
     def _tokenized(self, words: list[bytes]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8") for w in words], add_special_tokens=False), strict=True):
+        """A word of Latin letters is one run for the model; all others take the way through the whole tokenizer."""
+        others = []
+        for word in words:
+            text = word.decode("utf-8")
+            if text.isalpha() and max(text) < _LATIN_END and len(lower := text.lower()) == len(text):
+                letters = lower.encode("utf-8").decode("latin-1").translate(_LETTER_OF_BYTE)
+                ids = [token.id for token in self.model.tokenize(letters)]
+                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                others.append((word, text))
+        coded = self.tokenizer.encode_batch_fast([text for _, text in others], add_special_tokens=False)
+        for (word, _), found in zip(others, coded, strict=True):
             self.known[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
 
     @staticmethod

@@ -103,7 +103,8 @@ def test_packing_query(spark, tokenizer):
 def test_words_are_encoded_as_whole_texts_are(tokenizer):
     words, rng = packing.WordTokens(WORDS), random.Random(5)
     parts = ["The", "ẖ", "H̱", "́", "École", "don't", "'S", "ing.", "a,b", "!!", "%%%", "<|endoftext|>",
-             "<|ENDOFTEXT|>", "12", " ", "  ", "\n", "\x0b", "\x1c", "\x85", " ", "中文", "İ", "Σ", "Z.", "z?!", "…", "ﬁ"]
+             "<|ENDOFTEXT|>", "12", " ", "  ", "\n", "\x0b", "\x1c", "\x85", " ", "中文", "İ", "Σ", "Z.", "z?!", "…", "ﬁ", "ª", "ŉ",
+             "ǅ", "Ǆ", "ß", "ẞ", "Straße", "ÀÉÎ", "ñandú", "Ƞ", "ɐ"]
     for _ in range(4000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
         assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == tokenizer.encode(
