@@ -139,25 +139,28 @@ def _bucket_links(radius: int):
 def near_links(fps: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame:
     """Links ``(a, b)`` whose components are those of all pairs of ``fps(fp)`` within the radius.
 
-    ``fps`` has one row per distinct fingerprint. Each goes to one bucket per mask; buckets are counted
-    first, and those of one leave before anything is compared. A bucket above ``block`` is cut into
-    blocks that are compared two at a time, each pair of blocks in a group of its own, so no task holds
-    more than about two blocks, whatever the bucket's size, and no pair within it is missed.
+    ``fps`` has one row per distinct fingerprint. Each goes to one bucket per mask, where it is compared with what else is
+    there. Buckets are counted first: one above ``block`` is cut into blocks that are compared two at a time, each pair of
+    blocks in a group of its own, so no task holds more than about two blocks, whatever the bucket's size, and no
+    pair within it is missed.
     """
     # A bucket is a hash of mask and masked bits. Two buckets that share it are only compared more than needed, as
-    # every link is checked by its bits.
+    # every comparison is by the bits.
     keyed = fps.select("fp", F.explode(F.array(*(
         F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m))))
-        for t, m in enumerate(cover_masks(radius))))).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = keyed.join(sizes, "key").withColumn("blocks", F.ceil(F.col("size") / block))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-    placed = shared.withColumn("own", own).select(
-        "key", "fp", "own", "blocks",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    bucket = F.when(F.col("blocks") == 1, F.col("key")).otherwise(
-        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
-    grouped = placed.select(bucket.alias("bucket"), "fp").repartition("bucket").sortWithinPartitions("bucket")
+        for t, m in enumerate(cover_masks(radius))))).alias("bucket"))
+    sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    large = Saved(fps.sparkSession, "buckets")(sizes.filter(F.col("size") > block), "large")
+    if not large.isEmpty():
+        blocks = F.coalesce(F.ceil(F.col("size") / block), F.lit(1).cast("long"))
+        sized = keyed.join(large, "bucket", "left").withColumn("blocks", blocks)
+        own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+        placed = sized.withColumn("own", own).select(
+            "bucket", "fp", "own", "blocks",
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+        keyed = placed.select("fp", F.when(F.col("blocks") == 1, F.col("bucket")).otherwise(
+            F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))).alias("bucket"))
+    grouped = keyed.select("bucket", "fp").repartition("bucket").sortWithinPartitions("bucket")
     return grouped.mapInArrow(_bucket_links(radius), "a long, b long").distinct()
 
 
