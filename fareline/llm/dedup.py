@@ -140,9 +140,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             break
     else:
         raise ValueError("every identifier stands for two different chunks")
-    told = Saved(spark, "recipes")(recipes(docs, identify, id_col, text_col), "recipes")
+    saved = Saved(spark, "recipes")
+    told = saved(recipes(docs, identify, id_col, text_col), "recipes")
     stays = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")).alias("stays")
-    groups = told.groupBy("recipe").agg(stays, F.count(F.lit(1)).alias("group_size"))
+    # Stored, so that the join has a shuffle on either side and can be split where a third of the rows are copies.
+    groups = saved(told.groupBy("recipe").agg(stays, F.count(F.lit(1)).alias("group_size")), "groups")
     return told.join(groups, "recipe").select(
         "doc_id", F.col("stays.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("stays.row")).alias("kept"), "text_sha256", "text_hash")
