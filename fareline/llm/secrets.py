@@ -5,6 +5,7 @@ from __future__ import annotations
 import binascii
 import bz2
 import hashlib
+import io
 import lzma
 import re
 import zlib
@@ -38,6 +39,12 @@ _ESCAPED_CHARS = re.compile(
     r"\\u\{([0-9A-Fa-f]{1,6})\}|((?:\\u[0-9A-Fa-f]{4})+)|\\U([0-9A-Fa-f]{8})|((?:\\x[0-9A-Fa-f]{2})+)"
     r"|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*(?:\r?\n[A-Za-z0-9+/_-]{1,15}(?=[=\s]|$))?={0,2}")
+# How compressed bytes begin, and stretches of UTF-8 without control characters that can hold a secret (12 bytes).
+_MAGIC = re.compile(rb"\x1f\x8b|\x78[\x01\x20\x3f\x5e\x7d\x9c\xbb\xda\xf9]|\x28\xb5\x2f\xfd|BZh|\xfd7zXZ\x00")
+_CLEAN = re.compile(
+    rb"(?:[\x09-\x0d\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}")
+_LINE, _PART = re.compile(r"[^\r\n]{16,}"), re.compile(r"[A-Za-z0-9+]{16,}")
 _FROM_URL_SAFE = str.maketrans("-_", "+/")
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -69,23 +76,32 @@ class Layer:
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
 
-def _opened(data: bytes) -> bytes | None:
-    """The content of compressed bytes, known by how they begin; None for others and for broken ones."""
+def _opened_part(data: bytes) -> tuple[bytes, int] | None:
+    """The content of compressed bytes, known by how they begin, and how many of them it took; None for others and
+    for broken ones."""
     try:
         if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, LARGEST_LAYER)
-        if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            return zlib.decompressobj().decompress(data, LARGEST_LAYER)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor(max_window_size=LARGEST_LAYER).stream_reader(data) as reader:
-                return reader.read(LARGEST_LAYER)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, LARGEST_LAYER)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data, LARGEST_LAYER)
+            unpack = zlib.decompressobj(31)
+        elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
+            unpack = zlib.decompressobj()
+        elif data[:4] == b"\x28\xb5\x2f\xfd":
+            source = io.BytesIO(data)
+            with zstandard.ZstdDecompressor(max_window_size=LARGEST_LAYER).stream_reader(source, read_size=1) as reader:
+                return reader.read(LARGEST_LAYER), source.tell()
+        elif data[:3] == b"BZh":
+            unpack = bz2.BZ2Decompressor()
+        elif data[:6] == b"\xfd7zXZ\x00":
+            unpack = lzma.LZMADecompressor()
+        else:
+            return None
+        return unpack.decompress(data, LARGEST_LAYER), len(data) - len(unpack.unused_data)
     except (zlib.error, zstandard.ZstdError, OSError, lzma.LZMAError, EOFError, ValueError):
         return None
-    return None
+
+
+def _opened(data: bytes) -> bytes | None:
+    part = _opened_part(data)
+    return None if part is None else part[0]
 
 
 def _as_text(data: bytes) -> str | None:
@@ -141,6 +157,16 @@ def _whole(layer: Layer, begin: int, end: int, n: int) -> tuple[np.ndarray, np.n
     return np.full(n, s), np.full(n, e)
 
 
+def _compressed_in(data: bytes, starts: np.ndarray, ends: np.ndarray) -> Iterator[Layer]:
+    """What compressed bytes hold that begin anywhere in ``data``."""
+    for m in _MAGIC.finditer(data):
+        at = m.start()
+        if (part := _opened_part(data[at:])) is not None:
+            stop = at + part[1]
+            if (inner := _bytes_layer(data[at:stop], starts[at:stop], ends[at:stop])):
+                yield inner
+
+
 def _url_layers(layer: Layer) -> Iterator[Layer]:
     """The text with its percent escapes decoded, and what compressed escapes hold."""
     if "%" not in layer.text:
@@ -192,25 +218,46 @@ def _unicode_layers(layer: Layer) -> Iterator[Layer]:
 
 
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
-    """What each run of base64 holds, compressed or not."""
+    """What each run of base64 holds, compressed or not.
+
+    A run may begin and end with neighbours that are no part of a payload: path names, other lines, words. Whatever
+    part of it is base64 of its own stands whole in the bytes of one of the four alignments, so each is decoded and
+    searched for text and compressed bytes. Lines and parts between ``/``, ``-`` and ``_`` are also taken by themselves,
+    which ends them where they end.
+    """
     for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        at = [i for i, c in enumerate(run) if c not in "\r\n"] if "\n" in run else None
-        digits = (re.sub(r"[\r\n]", "", run) if at else run).translate(_FROM_URL_SAFE)
-        usable = len(digits) - (len(digits) % 4 == 1)
-        try:
-            data = binascii.a2b_base64(digits[:usable] + "=" * (-usable % 4))
-        except binascii.Error:
-            continue
-        if not data or (_as_text(data) is None and _opened(data) is None):
-            continue
-        s, e = _ranges(layer, m.start(), m.start() + len(run))
-        if at:
-            s, e = s[at], e[at]
-        k = np.arange(len(data))
-        first, last = k * 4 // 3, np.minimum(((k + 1) * 4 + 2) // 3, len(digits)) - 1
-        if (inner := _bytes_layer(data, np.minimum(s[first], s[last]), np.maximum(e[first], e[last]))):
+        begin, run = m.start(), m[0].rstrip("=")
+        for skip in range(4):
+            yield from _decoded(layer, begin, run, skip)
+        for pattern in (_LINE, _PART):
+            for part in pattern.finditer(run):
+                if len(part[0]) < len(run):
+                    yield from _decoded(layer, begin + part.start(), part[0], 0)
+
+
+def _decoded(layer: Layer, begin: int, run: str, skip: int) -> Iterator[Layer]:
+    """Texts and contents of compressed bytes in the base64 run at ``begin`` without its first ``skip`` digits."""
+    at = [i for i, c in enumerate(run) if c not in "\r\n"][skip:] if "\n" in run else None
+    digits = (re.sub(r"[\r\n]", "", run) if at else run).translate(_FROM_URL_SAFE)[skip:]
+    usable = len(digits) - (len(digits) % 4 == 1)
+    try:
+        data = binascii.a2b_base64(digits[:usable] + "=" * (-usable % 4))
+    except binascii.Error:
+        return
+    texts, magic = list(_CLEAN.finditer(data)), _MAGIC.search(data)
+    if not texts and not magic:
+        return
+    s, e = _ranges(layer, begin, begin + len(run))
+    s, e = (s[at], e[at]) if at else (s[skip:], e[skip:])
+    k = np.arange(len(data))
+    first, last = k * 4 // 3, np.minimum(((k + 1) * 4 + 2) // 3, len(digits)) - 1
+    starts, ends = np.minimum(s[first], s[last]), np.maximum(e[first], e[last])
+    for part in texts:
+        span = slice(*part.span())
+        if (inner := _bytes_layer(data[span], starts[span], ends[span])):
             yield inner
+    if magic:
+        yield from _compressed_in(data, starts, ends)
 
 
 def all_spans(text: str, base: list[Span] | None = None) -> list[Span]:

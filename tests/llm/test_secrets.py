@@ -123,3 +123,22 @@ def test_awkward_rows(spark):
     assert secrets.mask_secrets(awkward(spark)).columns == awkward(spark).columns
     assert secrets.mask_secrets(awkward(spark)).count() == 10
     assert secrets.scan(docs.filter("false")).count() == 0
+
+
+PAYLOADS = {
+    "plain": b"token=abcdef", "longer": b"id 7, token=abcdefgh, more words follow here and go on for a line or two of text",
+    "gzip": gzip.compress(b"token=abcdef"), "zstandard": zstandard.compress(b"token=abcdef"), "xz": lzma.compress(b"token=abcdef")}
+AROUND = ["DATA={}\nPORT=8080", "{}\nend", "d41d8cd98f00b204e9800998ecf8427e\n{}\n", "https://example/x/{}", "a/{}/next-part_of/path",
+          "{}\nQmFzZTY0LW90aGVyLWxpbmU\n", "prefix-{}", "pre_fix_name-{}-suffix_word"]
+
+
+@pytest.mark.parametrize("name", list(PAYLOADS))
+@pytest.mark.parametrize("around", AROUND)
+@pytest.mark.parametrize("encode", [base64.b64encode, base64.urlsafe_b64encode, base64.encodebytes])
+def test_base64_next_to_other_lines_and_in_paths(name, around, encode):
+    payload = encode(PAYLOADS[name]).decode().strip()
+    text = around.format(payload)
+    begin = around.index("{")
+    hidden = [s for s in secrets.all_spans(text) if s[1] == 0]
+    assert any(begin <= start < stop <= begin + len(payload) for start, _, stop in hidden)
+    assert not [s for s in secrets.all_spans(secrets.masked(text, secrets.all_spans(text))) if s[1] == 0]
