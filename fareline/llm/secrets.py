@@ -35,12 +35,17 @@ MASK = "[SECRET]"
 _KEYWORD = re.compile(r"(?i)passw|secret|token|api_?key", re.ASCII)
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 _ESCAPED_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+# Raw ASCII with byte escapes in it, as URL quoting and the repr of bytes write them.
+_ASCII = re.compile(r"[ -~]+")
+_PERCENT_BYTE = re.compile(r"%([0-9A-Fa-f]{2})")
+_SLASH_BYTE = re.compile(r"""\\x([0-9A-Fa-f]{2})|\\u00([0-9A-Fa-f]{2})|\\([abfnrtv0\\'"])""")
+_SLASH_VALUES = dict(zip("abfnrtv0\\'\"", b"\a\b\f\n\r\t\v\0\\'\"", strict=True))
 _ESCAPED_CHARS = re.compile(
     r"\\u\{([0-9A-Fa-f]{1,6})\}|((?:\\u[0-9A-Fa-f]{4})+)|\\U([0-9A-Fa-f]{8})|((?:\\x[0-9A-Fa-f]{2})+)"
     r"|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*(?:\r?\n[A-Za-z0-9+/_-]{1,15}(?=[=\s]|$))?={0,2}")
 # How compressed bytes begin, and stretches of UTF-8 without control characters that can hold a secret (12 bytes).
-_MAGIC = re.compile(rb"\x1f\x8b|\x78[\x01\x20\x3f\x5e\x7d\x9c\xbb\xda\xf9]|\x28\xb5\x2f\xfd|BZh|\xfd7zXZ\x00")
+_MAGIC = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]|\x28\xb5\x2f\xfd|BZh|\xfd7zXZ\x00")
 _CLEAN = re.compile(
     rb"(?:[\x09-\x0d\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
     rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}")
@@ -76,7 +81,7 @@ class Layer:
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
 
-def _opened_part(data: bytes) -> tuple[bytes, int] | None:
+def _opened_part(data: bytes | memoryview) -> tuple[bytes, int] | None:
     """The content of compressed bytes, known by how they begin, and how many of them it took; None for others and
     for broken ones."""
     try:
@@ -161,16 +166,43 @@ def _compressed_in(data: bytes, starts: np.ndarray, ends: np.ndarray) -> Iterato
     """What compressed bytes hold that begin anywhere in ``data``."""
     for m in _MAGIC.finditer(data):
         at = m.start()
-        if (part := _opened_part(data[at:])) is not None:
+        if (part := _opened_part(memoryview(data)[at:])) is not None:
             stop = at + part[1]
             if (inner := _bytes_layer(data[at:stop], starts[at:stop], ends[at:stop])):
                 yield inner
 
 
+def _quoted_layers(layer: Layer, escape: re.Pattern) -> Iterator[Layer]:
+    """What compressed bytes hold of which some are escaped and others stand as they are."""
+    for m in _ASCII.finditer(layer.text):
+        escapes = list(escape.finditer(m[0]))
+        if not escapes:
+            continue
+        data = np.frombuffer(m[0].encode("ascii"), np.uint8).copy()
+        kept = np.ones(len(data), bool)
+        last = np.arange(len(data))
+        for x in escapes:
+            digits = next(filter(None, x.groups()))
+            data[x.start()] = int(digits, 16) if len(digits) == 2 else _SLASH_VALUES[digits]
+            kept[x.start() + 1:x.end()] = False
+            last[x.start()] = x.end() - 1
+        plain = data[kept].tobytes()
+        forms = [plain]
+        if escape is _PERCENT_BYTE and "+" in m[0]:  # in forms, a plus sign that is not escaped is a space
+            data[np.frombuffer(m[0].encode("ascii"), np.uint8) == ord("+")] = ord(" ")
+            forms.append(data[kept].tobytes())
+        for held in forms:
+            if not _MAGIC.search(held):
+                continue
+            s, e = _ranges(layer, m.start(), m.end())
+            yield from _compressed_in(held, s[kept], e[last[kept]])
+
+
 def _url_layers(layer: Layer) -> Iterator[Layer]:
     """The text with its percent escapes decoded, and what compressed escapes hold."""
     if "%" not in layer.text:
         return
+    yield from _quoted_layers(layer, _PERCENT_BYTE)
     found = []
     for m in _ESCAPED_BYTES.finditer(layer.text):
         data = binascii.unhexlify(m[0].replace("%", ""))
@@ -186,9 +218,10 @@ def _url_layers(layer: Layer) -> Iterator[Layer]:
 
 
 def _unicode_layers(layer: Layer) -> Iterator[Layer]:
-    """The text with ``\\u``, ``\\x`` and numeric character references decoded."""
+    """The text with ``\\u``, ``\\x`` and numeric character references decoded, and what compressed escapes hold."""
     if "\\" not in layer.text and "&#" not in layer.text:
         return
+    yield from _quoted_layers(layer, _SLASH_BYTE)
     found = []
     for m in _ESCAPED_CHARS.finditer(layer.text):
         if m[2]:

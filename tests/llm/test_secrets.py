@@ -142,3 +142,16 @@ def test_base64_next_to_other_lines_and_in_paths(name, around, encode):
     hidden = [s for s in secrets.all_spans(text) if s[1] == 0]
     assert any(begin <= start < stop <= begin + len(payload) for start, _, stop in hidden)
     assert not [s for s in secrets.all_spans(secrets.masked(text, secrets.all_spans(text))) if s[1] == 0]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, zstandard.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("write", [urllib.parse.quote, urllib.parse.quote_plus, repr,
+                                   lambda data: "".join(f"\\x{b:02x}" for b in data),
+                                   lambda data: "".join(f"\\u{b:04x}" for b in data)])
+@pytest.mark.parametrize("data", [SECRET.encode(), b"one line\nand +token+ = more of it " * 9 + SECRET.encode()])
+def test_compressed_bytes_as_urls_and_programs_write_them(pack, write, data):
+    payload = write(pack(data))
+    text = f"say {payload} and more words"
+    hidden = [s for s in secrets.all_spans(text) if s[1] == 0]
+    assert hidden and all(4 <= start < stop <= 4 + len(payload) for start, stop in {(a, b) for a, _, b in hidden})
+    assert secrets.masked(text, secrets.all_spans(text)).endswith(" and more words")
