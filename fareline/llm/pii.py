@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import pairwise
 
 from pyspark.sql import DataFrame
 
@@ -161,6 +164,28 @@ def _dated(order: str, separator: str):
     return replaced
 
 
+@lru_cache(maxsize=1)
+def _late_days() -> list[datetime.date]:
+    """The dates that only the order day, month, year can mean when slashed."""
+    days = (_FIRST + datetime.timedelta(i) for i in range((_LAST - _FIRST).days + 1))
+    return [day for day in days if day.day > 12]
+
+
+def _slashed(found: str, turn) -> str | None:
+    """Month first; day first where the first number is no month, replaced by another of these."""
+    if (new := _dated("mdy", "/")(found, turn)) is not None:
+        return new
+    d, m, y = map(int, found.split("/"))
+    try:
+        day = datetime.date(y, m, d)
+    except ValueError:
+        return None
+    if not _FIRST <= day <= _LAST or d <= 12:
+        return None
+    late = _late_days()
+    return late[turn("date_dmy", len(late), bisect.bisect_left(late, day))].strftime("%d/%m/%Y")
+
+
 @dataclass(frozen=True)
 class Kind:
     """How values look, and what replaces one that is valid; None leaves it alone."""
@@ -180,10 +205,15 @@ KINDS = (
     Kind("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _address),
     Kind("date_iso", r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])", _dated("ymd", "-")),
     Kind("date_dotted", r"(?<![\w.])\d{2}\.\d{2}\.\d{4}(?!\w|\.\d)", _dated("dmy", ".")),
-    Kind("date_slashed", r"(?<![\w/])\d{2}/\d{2}/\d{4}(?![\w/])", _dated("mdy", "/")),
+    Kind("date_slashed", r"(?<![\w/])\d{2}/\d{2}/\d{4}(?![\w/])", _slashed),
 )
 _ANY = re.compile("|".join(f"(?P<{k.name}>{k.pattern})" for k in KINDS), re.ASCII)
+# Each pattern whole, and its body and closing look-ahead apart, for matches shorter than the longest.
+_PARTS = [(k, re.compile(k.pattern, re.ASCII), re.compile(k.pattern[:at], re.ASCII), re.compile(k.pattern[at:], re.ASCII))
+          for k in KINDS for at in [k.pattern.rindex("(?!")]]
 _REPLACED = {k.name: k.replaced for k in KINDS}
+# What a value and its neighbours can be matched across.
+_JOINING = re.compile(r"[A-Za-z0-9 ._%+@()/-]*")
 _TRIGGER = re.compile(r"[0-9@]")
 
 
@@ -206,19 +236,58 @@ class Pseudonyms:
         """The new text and ``kind, start, end`` of each value in the old one."""
         if not _TRIGGER.search(text):
             return text, []
-        out, found, at, search = [], [], 0, 0
+        values = self._values(text)
+        if not values:
+            return text, []
+        runs = [0]
+        for (_, _, end, _), (_, start, _, _) in pairwise(values):
+            runs.append(runs[-1] + (_JOINING.fullmatch(text, end, start) is None))
+        new = [v[3] for v in values]
+        # The new text must be read like the old one. Where it is not, as neighbouring digits happen to complete a
+        # check digit, the values of that stretch are replaced again until it is; the inverse comes back the same way.
+        while True:
+            out, at = [], 0
+            for (_, start, end, _), value in zip(values, new, strict=True):
+                out += [text[at:start], value]
+                at = end
+            result = "".join([*out, text[at:]])
+            wanted = [(v[0], value) for v, value in zip(values, new, strict=True)]
+            read = self._values(result)
+            told = [(kind, result[start:end]) for kind, start, end, _ in read]
+            if told == wanted:
+                return result, [v[:3] for v in values]
+            first = next((i for i, (x, y) in enumerate(zip(told, wanted)) if x != y), min(len(told), len(wanted) - 1))
+            again = runs[first]
+            new = [_REPLACED[v[0]](value, self._turn) if run == again else value
+                   for v, value, run in zip(values, new, runs, strict=True)]
+
+    def _values(self, text: str) -> list[tuple[str, int, int, str]]:
+        """``kind, start, end, replacement`` of each valid value."""
+        found, search = [], 0
         while (m := _ANY.search(text, search)):
-            new = _REPLACED[m.lastgroup](m[0], self._turn)
-            if new is None:
-                # A run that is no value of this kind may still begin one of another further on.
-                search = m.start() + 1
-                while search < len(text) and text[search].isalnum() and text[search - 1].isalnum():
-                    search += 1
+            value = self._at(text, m.start())
+            if value:
+                found.append(value)
+                search = value[2]
                 continue
-            out += [text[at:m.start()], new]
-            found.append((m.lastgroup, m.start(), m.end()))
-            at = search = m.end()
-        return ("".join([*out, text[at:]]), found) if found else (text, [])
+            # A run that is no value may still be followed by one further on.
+            search = m.start() + 1
+            while search < len(text) and text[search].isalnum() and text[search - 1].isalnum():
+                search += 1
+        return found
+
+    def _at(self, text: str, start: int) -> tuple[str, int, int, str] | None:
+        """The first kind that has a valid value at a position, the longest of them."""
+        for kind, whole, body, tail in _PARTS:
+            m = whole.match(text, start)
+            if not m:
+                continue
+            for end in range(m.end(), start, -1):
+                if end < m.end() and not (tail.match(text, end) and body.fullmatch(text, start, end)):
+                    continue
+                if (new := kind.replaced(text[start:end], self._turn)) is not None:
+                    return kind.name, start, end, new
+        return None
 
 
 def pseudonymize(docs: DataFrame, key: bytes, inverse: bool = False, id_col: str = "doc_id",
@@ -227,8 +296,10 @@ def pseudonymize(docs: DataFrame, key: bytes, inverse: bool = False, id_col: str
 
     Emails (their local part), IBANs, phone numbers with country code, card numbers, US social security numbers, IPv4
     addresses and dates are taken if they are valid: check digits, ranges and calendar hold; the like that is
-    not valid stays. A replacement is valid in the same format, and the same value has the same replacement in every
-    document under the same key, whatever its separators; with ``inverse`` the old values come back.
+    not valid stays. Where the longest value of a kind is not valid, shorter ones and the other kinds are tried at the
+    same place. Slashed dates are read month first, or day first if only that is a date. A replacement is valid in the same format, and the same value has the same replacement in every
+    document under the same key, whatever its separators (slashed dates that only day first can mean are apart from the others, and so are the rare
+    values next to digits that they would complete a check digit with); with ``inverse`` the old values come back.
     ``found`` lists ``kind, start, end`` in the old text.
 
     Whole texts are read; null stays null, an empty text empty; repeated rows come out alike; an empty table gives
