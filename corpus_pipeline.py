@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareline.llm import dedup, nearcopies, packing, quality, secrets
+from fareline.llm import dedup, packing, quality, secrets, simhash
 from fareline.llm.common import Saved
 from fareline.llm.queries import quality_model, tokenizer_file
 
@@ -20,8 +20,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies, by a Jaccard similarity of 0.8 or more of the five-word shingles, the document with the smallest doc_id."""
-    return nearcopies.drop_near_copies(docs, words_each=5, least=0.8)
+    """Of documents whose SimHashes of three-word shingles are linked by at most three differing bits, the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs, words_each=3, radius=3)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
