@@ -173,7 +173,8 @@ def near_duplicates(docs: DataFrame, words_each: int = 3, radius: int = 3, id_co
     Documents whose fingerprints differ in at most ``radius`` bits are linked; the component is the
     smallest doc_id reachable. Equal fingerprints count as one node, so copies cost nothing beyond
     their own row. Repeated rows are kept and share a component; a null doc_id never becomes a
-    component unless nothing else is reachable (then null). An empty table gives an empty result.
+    component unless nothing else is reachable (then null). A very long text is fingerprinted whole, its hashes in
+    parts of bounded size. An empty table gives an empty result.
     """
     saved = Saved(docs.sparkSession, "simhash")
     marked = saved(fingerprints(docs, words_each, id_col, text_col), "fingerprints")
@@ -188,11 +189,12 @@ def near_duplicates(docs: DataFrame, words_each: int = 3, radius: int = 3, id_co
         "text_hash")
 
 
-def drop_near_duplicates(docs: DataFrame, words_each: int = 5, radius: int = 6) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, words_each: int = 3, radius: int = 3) -> DataFrame:
     """One document of each component, all columns kept: the one with the smallest doc_id.
 
     Null doc_ids come last, equal ones are decided by the hash of their texts, and of rows that repeat
-    both id and text one stays.
+    both id and text one stays. Null and empty texts form one component, as their fingerprints are zero; a very long
+    text is fingerprinted whole, its hashes in parts. An empty table gives an empty result.
     """
     marked = near_duplicates(docs, words_each, radius)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("first")

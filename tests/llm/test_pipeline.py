@@ -34,14 +34,14 @@ def test_stages_over_a_table(spark, tmp_path):
     for i in sorted(good):
         first.setdefault(" ".join((texts[i] or "").split()), i)
     assert kept["exact_dedup"] == set(first.values())
-    fps = {i: simhash.fingerprint(texts[i], 5) for i in sorted(first.values())}
+    fps = {i: simhash.fingerprint(texts[i], 3) for i in sorted(first.values())}
     left, groups = set(fps), []
     while left:
         group, frontier = set(), [min(left)]
         while frontier:
             at = frontier.pop()
             group.add(at)
-            frontier += [i for i in left - group if (fps[i] ^ fps[at]).bit_count() <= 6]
+            frontier += [i for i in left - group if (fps[i] ^ fps[at]).bit_count() <= 3]
         groups.append(min(group))
         left -= group
     assert kept["simhash_near_dedup"] == set(groups) == kept["secret_scan"] == kept["packing"]
