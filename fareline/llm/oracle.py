@@ -89,8 +89,89 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
 FROM normal WINDOW same AS (PARTITION BY t)"""
 
+_SPACES = r"[\x20\x09-\x0D]"
+
+
+def _edit(state: str, edit: str, cost: str, role: str, text: str) -> str:
+    """The state reached by an edit that leaves a row, as a struct of cost, edits and repaired lines."""
+    return f"{{'c': {state}.c + {cost}, 'e': {state}.e || '{edit}', 'l': list_append({state}.l, {role} || ':' || {text})}}"
+
+
+def _deleted(state: str) -> str:
+    return f"{{'c': {state}.c + 3, 'e': {state}.e || 'D', 'l': {state}.l}}"
+
+
+def _kept(state: str, initial: str) -> str:
+    """Keeping the row, out of reach where it must go or has another initial."""
+    dear = f"CASE WHEN must_go OR left(role, 1) <> '{initial}' THEN 1000000000000 ELSE open END"
+    return _edit(state, "K", dear, "role", "text")
+
+
+def _reroled(state: str, role: str) -> str:
+    return _edit(state, "R", "CASE WHEN must_go THEN 1000000000000 ELSE 2 + open END", f"'{role}'", "text")
+
+
+def _least(*states: str) -> str:
+    return f"list_min([{', '.join(states)}])"
+
+
+def _inserted(state: str, role: str) -> str:
+    return _edit(state, "I", "2", f"'{role}'", "''")
+
+
+# Forwards: the least (cost, edits) with which the rows so far lead to each state; s0 start, s1 after s, s2 after u, s3 after a.
+_REPAIRED = f"""WITH RECURSIVE bytes AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)
+    ORDER BY i) AS remainders FROM (SELECT unnest(range(256)) AS i)
+), filled AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ')
+    || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations
+), faulty AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(string_split(place, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda x, b: xor(x // 256, remainders[xor(x, b) % 256 + 1])), 4294967295) % 20 AS fault FROM filled, bytes
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM faulty
+), placed AS (
+  SELECT *, row_number() OVER conv AS i, lag(left(role, 1)) OVER conv || left(role, 1) AS pair, regexp_extract(text, '([^\x20\x09-\x0D]){_SPACES}*$', 1) AS final
+  FROM damaged WINDOW conv AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text))
+), marked AS (
+  SELECT *, final = '' AS blank, final <> '' AND nth > 1 AS duplicate, final NOT IN ('', '.', '!', '?') AND nth = 1 AS truncated
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM placed)
+), rows_of AS (
+  SELECT *, blank OR duplicate AS must_go, CAST(truncated AS BIGINT) AS open FROM marked
+), paths AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'e': '', 'l': CAST([] AS VARCHAR[])}} AS s0,
+    {{'c': CAST(1000000000000 AS BIGINT), 'e': '', 'l': CAST([] AS VARCHAR[])}} AS s1,
+    {{'c': CAST(1000000000000 AS BIGINT), 'e': '', 'l': CAST([] AS VARCHAR[])}} AS s2,
+    {{'c': CAST(1000000000000 AS BIGINT), 'e': '', 'l': CAST([] AS VARCHAR[])}} AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {_deleted("s0")}, {_least(_deleted("s1"), _kept("s0", "s"))},
+    {_least(_deleted("t2"), *(f(x, v) for x in ("s0", "s1", "t3") for f, v in ((_kept, "u"), (_reroled, "user"))))},
+    {_least(_deleted("t3"), _kept("t2", "a"), _reroled("t2", "assistant"))}
+  FROM (
+    SELECT *, {_least("s3", _inserted("t2", "assistant"))} AS t3 FROM (
+      SELECT p.conv_id, p.s0, p.s1, p.s3, r.i, r.role, r.text, r.must_go, r.open,
+        {_least("p.s2", *(_inserted(f"p.{x}", "user") for x in ("s0", "s1", "s3")))} AS t2
+      FROM paths p JOIN rows_of r ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = p.i + 1))
+), ends AS (
+  SELECT conv_id, {_least("s0", "s3", _inserted("s2", "assistant"), _inserted(_inserted("s1", "user"), "assistant"))} AS best
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS back FROM paths) WHERE back = 1
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.e AS audit,
+  sha256(array_to_string(best.l, chr(10))) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 LLM_ORACLE_SQL: dict[str, str] = {
     "op4_topk": _NEAREST,
     "op5_exact_dedup": _EQUAL_TEXTS,
     "op9_url_filter": _URLS,
+    "op13_conversation_repair": _REPAIRED,
 }

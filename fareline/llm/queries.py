@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm import dedup, language, packing, pieces, pii, quality, secrets, simhash, topk, urls
+from fareline.llm import conversations, dedup, language, packing, pieces, pii, quality, secrets, simhash, topk, urls
 from fareline.llm.common import table
 
 URL_RULES = (
@@ -104,6 +104,25 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text, n`` of conversations with faults made by a checksum of conv_id and turn; null is a space."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    fault = F.crc32(key.cast("binary")) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    return conversations.select(
+        "conv_id", "turn", F.when(fault == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(fault == 1, F.lit("")).when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).cast("long").alias("n"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    repaired = conversations.repair(damaged(table(spark, sf_dir, "conversations")))
+    reports, digests = repaired.reports.alias("r"), repaired.digests().alias("d")
+    return reports.join(digests, F.col("r.conv_id").eqNullSafe(F.col("d.conv_id")), "left").select(
+        "r.*", F.coalesce("d.sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
@@ -115,4 +134,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_secrets": op10_secrets,
+    "op13_conversation_repair": op13_conversation_repair,
 }

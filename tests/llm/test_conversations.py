@@ -1,0 +1,161 @@
+"""Conversation repair against a plain search over all edits, in blocks of any size."""
+
+import hashlib
+import heapq
+import random
+from collections import defaultdict
+
+import duckdb
+import pytest
+
+from fareline.llm import conversations
+from fareline.llm.oracle import LLM_ORACLE_SQL
+from fareline.llm.queries import damaged, op13_conversation_repair
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+NEXT = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+WHITE = " \t\n\v\f\r"
+
+
+def cheapest(rows):
+    """(cost, audit, lines) by least-cost search over (row, last initial), the least string first; rows are (role, text, fault)."""
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, i, state, lines = heapq.heappop(heap)
+        if i == len(rows) and state in ("", "a"):
+            return cost, audit, lines
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        options = [(2, "I", i, name, "") for name in ("user", "assistant")]
+        if i < len(rows):
+            role, text, fault = rows[i]
+            heapq.heappush(heap, (cost + 3, audit + "D", i + 1, state, lines))
+            if fault not in ("blank", "duplicate"):
+                extra = int(fault == "truncated")
+                options += [(extra, "K", i + 1, role, text)]
+                options += [(2 + extra, "R", i + 1, name, text) for name in ("user", "assistant")]
+        for price, edit, at, role, text in options:
+            if role and (to := NEXT.get((state, role[0]))):
+                heapq.heappush(heap, (cost + price, audit + edit, at, to, (*lines, f"{role}:{text}")))
+    raise AssertionError("no way")
+
+
+def expected(table):
+    """Reports and repaired lines by conversation of (conv_id, turn, role, text, n) rows."""
+    by_id = defaultdict(list)
+    for conv, turn, role, text, n in table:
+        role, text = (" " if v is None else v for v in (role, text))
+        by_id[conv] += [(turn, role, text)] * n
+    out = {}
+    for conv, rows in by_id.items():
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).hexdigest()))
+        seen, marked = set(), []
+        for _, role, text in rows:
+            bare = text.rstrip(WHITE)
+            fault = ("blank" if not bare else "duplicate" if (role, text) in seen else
+                     "truncated" if bare[-1] not in ".!?" else None)
+            seen.add((role, text))
+            marked.append((role, text, fault))
+        turns = [r[0] for r in rows if r[0] is not None]
+        pairs = [a[0][:1] + b[0][:1] for a, b in zip(marked, marked[1:], strict=False)]
+        cost, audit, lines = cheapest(marked)
+        faults = [m[2] for m in marked]
+        out[conv] = (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, faults.count("blank"),
+                     faults.count("duplicate"), faults.count("truncated"),
+                     sum(p not in ("su", "ua", "au") for p in pairs), cost, audit,
+                     hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
+
+
+def found(spark, table, block=conversations.BLOCK):
+    rows = spark.createDataFrame(table, SCHEMA + ", n long")
+    done = conversations.repair(rows, block)
+    shas = dict(done.digests().collect())
+    empty = hashlib.sha256().hexdigest()
+    names = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit")
+    return {r.conv_id: (*(r[n] for n in names), shas.get(r.conv_id, empty)) for r in done.reports.collect()}
+
+
+def random_table(rng, conversations_, longest):
+    texts = ["One.", "Two?", "Three", "", " \n", "Four! ", "Five", None, "Six.\t", "ü…", "x" * 50_000 + "."]
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", None, "u"]
+    table = []
+    for conv in [None, *range(conversations_)]:
+        for turn in range(rng.randrange(1, longest)):
+            table.append((conv, rng.choice([turn, turn, turn + 1, None, 7 * turn]), rng.choice(roles),
+                          rng.choice(texts) if rng.random() < 0.5 else f"Text {rng.random()}.", rng.choice([1, 1, 1, 0, 2])))
+    return table
+
+
+@pytest.mark.parametrize(("block", "longest"), [(conversations.BLOCK, 9), (3, 30)])
+def test_against_a_search_over_all_edits(spark, block, longest):
+    table = random_table(random.Random(block), 40, longest)
+    assert found(spark, table, block) == expected(table)
+
+
+def test_one_long_conversation_in_many_tasks(spark, monkeypatch):
+    """Half of all rows are one conversation, many of them equal; its blocks are spread over tasks."""
+    monkeypatch.setattr(conversations, "COPIES", 50)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    rng = random.Random(5)
+    table = [(1, i // 2, rng.choice(["user", "assistant"]), f"Text {rng.randrange(400)}" + rng.choice([".", ""]), 1)
+             for i in range(1500)] + [(1, 20, "user", "Again.", 700)] + [(2 + i, 0, "user", "Hi.", 1) for i in range(500)]
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")  # the table is small enough for one task else
+    try:
+        assert found(spark, table, 64) == expected(table)
+        rows = spark.createDataFrame(table, SCHEMA + ", n long")
+        blocks = conversations.repair(rows, 64).edits.filter("conv_id = 1").selectExpr(
+            "count(*) AS n", "count(DISTINCT part) AS parts", "max(length(edits)) AS longest").first()
+    finally:
+        spark.conf.set(coalesce, before)
+    assert blocks.n > 20 and blocks.parts > 1 and blocks.longest < 64 * 4
+
+
+def test_walk_keeps_square_root_checkpoints(monkeypatch):
+    """A block of n rows is computed twice at most, stretch by stretch, and a block cut in two gives the same edits."""
+    rng = random.Random(9)
+    codes = bytes(rng.choice([0, 1, 2, 3, 4, 5, 6, 8, 9]) for _ in range(5000))
+    end = conversations.closed(list(conversations._ROW_END))
+    calls = []
+    real = conversations.row_costs
+    monkeypatch.setattr(conversations, "row_costs", lambda code, after: calls.append(1) or real(code, after))
+    edits, cost, state = conversations.walk(codes, end, 0, True)
+    assert len(calls) == 2 * len(codes) and state in (0, 3)
+    middle = conversations.before(codes[2000:], end)
+    first, cost1, at = conversations.walk(codes[:2000], middle, 0, False)
+    second, cost2, _ = conversations.walk(codes[2000:], end, at, True)
+    assert first + second == edits and cost1 + cost2 == cost == conversations.before(codes, end)[0]
+
+
+def test_awkward_rows(spark):
+    """Null ids, turns, roles and texts, repeated rows, columns whose names clash, a table without rows."""
+    table = [(None, None, None, None), (1, None, "user", "A."), (1, None, "user", "A."), (1, 2, "assistant", None), (2, 5, "", "x."),
+             (3, 1, "assistant", "y" * 300_000)]
+    rows = spark.createDataFrame(table, SCHEMA)
+    for name in ("part", "nth", "edits", "same_id", "Role_", "text_sha"):
+        rows = rows.selectExpr("*", f"1 AS `{name}`")
+    done = conversations.repair(rows)
+    want = expected([(*r, 1) for r in table])
+    shas = dict(done.digests().collect())
+    empty = hashlib.sha256().hexdigest()
+    assert {r.conv_id: (*r[1:], shas.get(r.conv_id, empty)) for r in done.reports.collect()} == want
+    assert done.turns().columns == ["conv_id", "part", "nth", "place", "edit", "role", "text"]
+    none = conversations.repair(rows.filter("false"))
+    assert none.reports.collect() == none.turns().collect() == none.digests().collect() == []
+
+
+def test_query_on_rows_with_nulls_against_its_sql(spark, tmp_path):
+    rng = random.Random(3)
+    table = [r[:4] for r in random_table(rng, 150, 8)]
+    spark.createDataFrame(table, SCHEMA).write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    relation = con.execute(LLM_ORACLE_SQL["op13_conversation_repair"])
+    names = [d[0] for d in relation.description]
+    wanted = {r[0]: r for r in relation.fetchall()}
+    got = {r.conv_id: r for r in op13_conversation_repair(spark, str(tmp_path)).select(*names).collect()}
+    assert got == wanted
+    rows = [tuple(r) for r in damaged(spark.createDataFrame(table, SCHEMA)).collect()]
+    assert expected(rows) == {i: tuple(r[1:]) for i, r in got.items()}
