@@ -169,9 +169,53 @@ SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
   sha256(array_to_string(best.l, chr(10))) AS repaired_sha256
 FROM ends e LEFT JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
 
+
+
+def _nearest(name: str, books: str) -> str:
+    """Each part's nearest entry, by comparing it with all."""
+    apart = "list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"""{name} AS (
+  SELECT rid, part, v, min({{'far': far, 'entry': entry}}) AS best FROM (
+    SELECT p.rid, p.part, p.v, b.entry, CAST({apart} AS BIGINT) AS far FROM parts p JOIN {books} b USING (part))
+  GROUP BY rid, part, v
+)"""
+
+
+def _means(name: str, near: str, books: str) -> str:
+    """Entries as the floor of the mean of their parts."""
+    return f"""{name}_sums AS (
+  SELECT part, best.entry AS entry, i, sum(v[i])::BIGINT AS total, count(*) AS n
+  FROM {near}, (SELECT unnest(range(1, 5)) AS i) GROUP BY part, best.entry, i
+), {name}_moved AS (
+  SELECT part, entry, list(CASE WHEN total >= 0 OR total % n = 0 THEN total // n ELSE total // n - 1 END ORDER BY i) AS v
+  FROM {name}_sums GROUP BY part, entry
+), {name} AS (
+  SELECT part, entry, coalesce(m.v, b.v) AS v FROM {books} b LEFT JOIN {name}_moved m USING (part, entry)
+)"""
+
+
+_CODES = f"""WITH whole AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), parts AS (
+  SELECT rid, part, v[4 * part + 1 : 4 * part + 4] AS v FROM whole, (SELECT unnest(range(16)) AS part)
+), books0 AS (
+  SELECT part, rid - 1 AS entry, v FROM parts WHERE rid <= 64
+), {_nearest("near0", "books0")}, {_means("books1", "near0", "books0")}, {_nearest("near1", "books1")},
+{_means("books2", "near1", "books1")}, {_nearest("near2", "books2")}, coded AS (
+  SELECT rid, string_agg(lpad(lower(to_hex(best.entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(best.far) AS BIGINT) AS error
+  FROM near2 GROUP BY rid
+), told AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM books2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM whole JOIN coded USING (rid), told"""
+
 LLM_ORACLE_SQL: dict[str, str] = {
     "op4_topk": _NEAREST,
     "op5_exact_dedup": _EQUAL_TEXTS,
     "op9_url_filter": _URLS,
+    "op12_vector_codes": _CODES,
     "op13_conversation_repair": _REPAIRED,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm import conversations, dedup, language, packing, pieces, pii, quality, secrets, simhash, topk, urls
-from fareline.llm.common import table
+from fareline.llm import conversations, dedup, language, packing, pieces, pii, quality, secrets, simhash, topk, urls, vectorcodes
+from fareline.llm.common import Saved, table
 
 URL_RULES = (
     urls.Rule("block", "net", "/"),
@@ -104,6 +104,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+    rows = Saved(spark, "vector-codes")(coded.rows, "codes")
+    total = rows.groupBy(F.col("label").alias("same")).agg(F.sum("error").alias("label_error"))
+    return rows.join(total, F.col("label").eqNullSafe(F.col("same"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(coded.books.sha256).alias("codebooks_sha256"))
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """``conv_id, turn, role, text, n`` of conversations with faults made by a checksum of conv_id and turn; null is a space."""
     space = F.lit(" ")
@@ -134,5 +142,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_secrets": op10_secrets,
+    "op12_vector_codes": op12_vector_codes,
     "op13_conversation_repair": op13_conversation_repair,
 }
