@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm import conversations, dedup, language, packing, pieces, pii, quality, secrets, simhash, topk, urls, vectorcodes
+from fareline.llm import conversations, dedup, htmltext, language, packing, pieces, pii, quality, secrets, simhash, topk, urls, vectorcodes
 from fareline.llm.common import Saved, table
 
 URL_RULES = (
@@ -104,6 +104,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return htmltext.extract(pages, htmltext.fit(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = vectorcodes.compress(table(spark, sf_dir, "embeddings"))
     rows = Saved(spark, "vector-codes")(coded.rows, "codes")
@@ -142,6 +147,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_secrets": op10_secrets,
+    "op11_html_text": op11_html_text,
     "op12_vector_codes": op12_vector_codes,
     "op13_conversation_repair": op13_conversation_repair,
 }

@@ -63,7 +63,7 @@ def test_stages_over_awkward_rows_and_an_empty_table(spark):
 
 def test_registration():
     queries = entry_point.queries()
-    assert {name.split("_")[0] for name in LLM_QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in LLM_QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(LLM_QUERIES) | {"pipeline"} <= set(queries)
     assert set(entry_point.oracle_sql()) <= set(queries)
 
