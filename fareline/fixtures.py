@@ -101,11 +101,12 @@ def _as_of_month(trips: DataFrame, service_type: str, month: int) -> DataFrame:
     return trips
 
 
-def write_month_files(spark: SparkSession, sf_dir: str, root: str, months=MONTHS) -> list[str]:
-    """Write the raw trips of these months as monthly files below ``root`` and return their paths."""
-    trips = raw_trips_by_month(spark, sf_dir)
+def write_month_files(spark: SparkSession, sf_dir: str, root: str, months=MONTHS, services=("yellow", "green"),
+                      only: str = "true") -> list[str]:
+    """Write the raw trips of these months (those that hold ``only``) as monthly files below ``root`` and return their paths."""
+    trips = raw_trips_by_month(spark, sf_dir).filter(only)
     paths = []
-    for service_type in ("yellow", "green"):
+    for service_type in services:
         for year, month in months:
             path = trip_path(root, service_type, year, month)
             one_file = trips.filter((F.col("service_type") == service_type) & (F.col("file_month") == month)).drop(

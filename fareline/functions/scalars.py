@@ -33,19 +33,56 @@ def hundredths(scaled: Column) -> Column:
     return F.when(is_half, scaled + F.signum(scaled) * F.lit(0.5)).otherwise(nearest) / F.lit(100.0)
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum of doubles that does not depend on the order of addition, as a double; null without values.
+# Values from 1e-6 to 1e15 are added as whole numbers and billionths.
+_LEAST, _MOST = 1e-6, 1e15
+
+
+def _fixed(value: Column) -> Column:
+    """Whether a value is added in whole numbers and billionths; NaN, infinities and others are not."""
+    size = F.abs(value)
+    return (size < F.lit(_MOST)) & ((size >= F.lit(_LEAST)) | (size == F.lit(0.0)))
+
+
+def halved_sum(part: Column, bits: int) -> Column:
+    """Sum of whole numbers that may exceed 64 bits: the halves above and below ``bits`` are added apart."""
+    high = F.sum(F.shiftright(part, bits)).cast("decimal(20,0)") * F.lit(Decimal(1 << bits))
+    return high + F.sum(part.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))).cast("decimal(20,0)")
 
-    Each value is split into its whole part and its billionths, and both are summed as integers. Values
-    of 1e15 and more, NaN and infinities have no such parts and are added to the result as doubles.
+
+def fixed_sum(value: Column) -> Column:
+    """The sum of the values from 1e-6 to 1e15 (either sign) and zeros as ``decimal(38,9)``; null if there are none.
+
+    Each value counts as its whole part and its billionths, rounded, so the resolution is 5e-10 a value. Both parts are added in two
+    halves of 15 to 26 bits, which leaves room for more than 1e11 rows a group however large their values, and
+    no order of addition, partitioning or repeated task can change the sum.
     """
     value = value.cast("double")
-    plain = F.abs(value) < F.lit(1e15)
-    whole = F.sum(F.when(plain, F.floor(value))).cast("decimal(20,0)")
-    billionths = F.sum(F.when(plain, F.rint((value - F.floor(value)) * F.lit(1e9)).cast("long"))).cast("decimal(20,0)")
-    exact = (whole + billionths * F.lit(Decimal("0.000000001"))).cast("double")
-    rest = F.sum(F.when(~plain, value))
-    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+    kept = F.when(_fixed(value), value)
+    whole = F.floor(kept)
+    billionths = F.rint((kept - whole) * F.lit(1e9)).cast("long")
+
+    small = halved_sum(billionths, 15).cast("decimal(25,0)") * F.lit(Decimal("0.000000001"))
+    return (halved_sum(whole, 24).cast("decimal(28,0)") + small.cast("decimal(25,9)")).cast("decimal(38,9)")
+
+
+def other_sum(value: Column) -> Column:
+    """The sum of the values ``fixed_sum`` leaves out, as a double; null if there are none."""
+    value = value.cast("double")
+    return F.sum(F.when(~_fixed(value), value))
+
+
+def joined_sum(fixed: Column, other: Column) -> Column:
+    """A total as a double out of both sums; each is used twice."""
+    return F.when(other.isNull(), fixed.cast("double")).otherwise(F.coalesce(fixed.cast("double"), F.lit(0.0)) + other)
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles as a double that does not depend on the order of addition; null without values.
+
+    Exact to 5e-10 a value for sizes from 1e-6 to 1e15. Smaller and larger values, NaN and infinities are added
+    to the result as doubles.
+    """
+    return joined_sum(fixed_sum(value), other_sum(value))
 
 
 def total2(value: Column) -> Column:
@@ -58,6 +95,11 @@ def mean2(value: Column) -> Column:
     return round2(F.try_divide(exact_sum(value), F.count(value).cast("double")))
 
 
+def whole_mean2(value: Column) -> Column:
+    """Average of the whole numbers that are not null, with two decimals; their plain sum is exact."""
+    return round2(F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double")))
+
+
 def percent(part: Column, whole: Column) -> Column:
     """``part`` as a percentage of ``whole`` with two decimals; null when ``whole`` is zero or null."""
     return round2(F.try_divide(part * F.lit(100.0), whole))

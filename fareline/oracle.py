@@ -313,6 +313,56 @@ SELECT measure, a.value AS left_value, b.value AS right_value, b.value - a.value
 FROM a FULL OUTER JOIN b USING (measure)"""
 
 
+def _curve(code: str, value: str, rule: str, fails: str, before: tuple[str, ...], after: tuple[str, ...]) -> str:
+    """Counting again for every distinct value of a column as its rule's threshold ``t``."""
+    first = " AND ".join(before)
+    others = " AND ".join((*before, *after))
+    return f"""SELECT '{code}' AS reason_code, t AS threshold,
+  (SELECT count(*) FILTER (WHERE ({first}) IS TRUE AND ({fails}) IS NOT FALSE) FROM measured) AS first_failures,
+  (SELECT count(*) FILTER (WHERE ({others}) IS NOT TRUE OR ({fails}) IS NOT FALSE) FROM measured) AS rejected
+FROM (SELECT DISTINCT CAST({value} AS DOUBLE) AS t FROM measured WHERE {value} IS NOT NULL)"""
+
+
+_RULES_BEFORE_FARE = ("has_times", "in_period")
+CURVE = f"""WITH {RECONCILED}, measured AS MATERIALIZED (
+  SELECT fare_amount, {SECONDS} AS seconds, trip_distance, {DATETIMES} AS has_times, {PERIOD} AS in_period, {FARE} AS fare_ok,
+         {DURATION} AS duration_ok, {DISTANCE} AS distance_ok, {LOCATIONS} AS locations_ok FROM reconciled
+), curve AS (
+{_curve("invalid_fare", "fare_amount", "fare", "fare_amount < t", _RULES_BEFORE_FARE,
+        ("duration_ok", "distance_ok", "locations_ok"))}
+UNION ALL {_curve("invalid_duration", "seconds", "duration", "seconds > t OR seconds <= 0", (*_RULES_BEFORE_FARE, "fare_ok"),
+                  ("distance_ok", "locations_ok"))}
+UNION ALL {_curve("suspicious_distance", "trip_distance", "distance", "trip_distance > t OR trip_distance < 0",
+                  (*_RULES_BEFORE_FARE, "fare_ok", "duration_ok"), ("locations_ok",))}
+)
+SELECT *, (SELECT count(*) FROM measured) AS total_rows,
+       round(rejected * CAST(100 AS DOUBLE) / nullif((SELECT count(*) FROM measured), 0), 2) AS reject_pct FROM curve"""
+
+MEASURED = {"fare_amount": "fare_amount", "trip_distance": "trip_distance", "duration_minutes": f"{SECONDS} / CAST(60 AS DOUBLE)"}
+
+
+def _drift(left: int, right: int) -> str:
+    values = " UNION ALL ".join(f"SELECT '{name}' AS metric, CAST({value} AS DOUBLE) AS value, file_month FROM reconciled"
+                                for name, value in MEASURED.items())
+    return f"""WITH {MONTHLY}, listed AS ({values}), counted AS (
+  SELECT metric, value, count(*) FILTER (WHERE file_month = {left}) AS l, count(*) FILTER (WHERE file_month = {right}) AS r
+  FROM listed WHERE value IS NOT NULL AND file_month IN ({left}, {right}) GROUP BY ALL
+), run AS (
+  SELECT metric, value, CAST(sum(l) OVER upto AS BIGINT) AS lc, CAST(sum(r) OVER upto AS BIGINT) AS rc,
+         CAST(sum(l) OVER (PARTITION BY metric) AS BIGINT) AS ln, CAST(sum(r) OVER (PARTITION BY metric) AS BIGINT) AS rn
+  FROM counted WINDOW upto AS (PARTITION BY metric ORDER BY value)
+), apart AS (
+  SELECT *, abs(CAST(lc AS DOUBLE) / CAST(ln AS DOUBLE) - CAST(rc AS DOUBLE) / CAST(rn AS DOUBLE)) AS distance FROM run
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY metric ORDER BY distance DESC, value) AS nth FROM apart
+)
+SELECT metric, ln AS left_rows, rn AS right_rows, distance, value AS at_value FROM ranked WHERE nth = 1"""
+
+
+QUARTERLY = f"""WITH {MONTHLY}, {ENRICHED} SELECT CAST(date_trunc('quarter', pickup_date) AS DATE) AS period_start,
+  {REVENUE[REVENUE.index("service_type"):]}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "scan_raw": f"WITH {RAW} SELECT * FROM raw",
     "normalize_columns": f"WITH {RAW} SELECT {RENAMED} FROM raw",
@@ -386,5 +436,17 @@ SELECT service_type, '{YEAR}-0{MONTH}' AS period, raw_rows, valid_rows, rejected
     "monthly_run": f"""WITH {MONTHLY}, {ENRICHED} {HOURLY.replace('WHERE', f'WHERE ingestion_date = DATE '
                    f"'{YEAR}-0{MONTH}-01' AND")}""",
     "backfill_revenue": f"WITH {MONTHLY}, {ENRICHED} {REVENUE}",
+    "agg_quarterly_zone_revenue": QUARTERLY,
+    "threshold_curve": CURVE,
+    "period_drift": _drift(1, 2),
+    "sketch_percentiles": f"WITH {MONTHLY}, {VALID}, valid_rows AS (SELECT *, {SECONDS} AS seconds FROM valid)" + " UNION ALL ".join(
+        f" SELECT '{name}' AS metric, CAST({p} AS DOUBLE) AS probability, count({value}) AS n, true AS within_bound FROM valid_rows"
+        for name, value in (("fare_amount", "fare_amount"), ("trip_distance", "trip_distance"), ("duration_minutes", "seconds"))
+        for p in DURATION_PROBABILITIES),
+    "load_ledger": f"""WITH {MONTHLY}, {VALID}, listed AS (
+  SELECT service_type, strftime(ingestion_date, '%Y-%m') AS period, fare_amount FROM valid)
+SELECT service_type, period, CAST(CASE WHEN service_type = 'yellow' AND period = '{YEAR}-02' THEN 2 ELSE 1 END AS BIGINT) AS runs,
+       true AS done, count(*) FILTER (WHERE service_type <> 'yellow' OR period <> '{YEAR}-02' OR fare_amount >= 20) AS trips
+FROM listed GROUP BY ALL""",
     "backfill_health": f"WITH {MONTHLY}, {HEALTH} SELECT * FROM health",
 }

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareline.functions.scalars import day_part, mean2, month_start, percent, total2
+from fareline.functions.scalars import day_part, mean2, month_start, percent, total2, whole_mean2
 from fareline.plans.models import fact_trips, int_trips_enriched, stg_trips
 from fareline.schemas import HEALTH, HOURLY, QUALITY, REVENUE
 
@@ -38,7 +38,7 @@ def agg_hourly_demand_by_zone(enriched: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("trip_count"),
         F.sum("passenger_count").alias("total_passengers"),
         _mean("trip_distance").alias("avg_trip_distance"),
-        _mean("trip_duration_minutes").alias("avg_duration_minutes"),
+        whole_mean2(F.col("trip_duration_minutes")).alias("avg_duration_minutes"),
     )
     return grouped.withColumns({
         "pickup_year": F.year("pickup_date"),
@@ -65,7 +65,7 @@ def agg_monthly_zone_revenue(enriched: DataFrame) -> DataFrame:
         _mean("tip_percentage").alias("avg_tip_percentage"),
         _mean("revenue_per_mile").alias("avg_revenue_per_mile"),
         _mean("trip_distance").alias("avg_trip_distance"),
-        _mean("trip_duration_minutes").alias("avg_duration_minutes"),
+        whole_mean2(F.col("trip_duration_minutes")).alias("avg_duration_minutes"),
     )
     return grouped.withColumns({
         "pickup_year": F.year("pickup_month_date"),

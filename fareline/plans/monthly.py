@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import partial
@@ -11,13 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareline.functions.rules import REJECT, Thresholds
+from fareline.functions.scalars import month_start
 from fareline.operators.expectations import (
     STAGED, ExpectationFailed, check_models, require_passed, require_volume,
 )
 from fareline.operators.quality import count_reasons
+from fareline.operators.sketches import trip_metrics, value_sketches
 from fareline.plans.conform import Conformed, conform_files, conform_month
+from fareline.plans.ledger import MARTS, REJECTS, TRIPS, Ledger, Run, input_prints, settings_print
 from fareline.plans.marts import Models, build_marts
-from fareline.schemas import MART_TABLES, REJECTED_TABLE, TRIPS_TABLE, TableLayout
+from fareline.plans.states import hourly_state, hourly_view, revenue_state, revenue_view
+from fareline.schemas import (
+    FACT_TABLE, HEALTH_TABLE, HOURLY_STATE_TABLE, HOURLY_TABLE, MART_TABLES, QUALITY_TABLE, REJECTED_TABLE, REVENUE_STATE_TABLE,
+    REVENUE_TABLE, SKETCH_TABLE, TRIPS_TABLE, TableLayout,
+)
 from fareline.sources.lake import Lake, run_together, write_checked
 from fareline.sources.trips import file_name, month_of, read_months, read_raw, trip_path
 
@@ -78,10 +85,11 @@ def load_month(lake: Lake, raw: DataFrame, zones: DataFrame, service_type: str,
 
 
 def load_months(lake: Lake, paths: Sequence[str], zones: DataFrame, limits: Thresholds = Thresholds(),
-                null_policy: str = REJECT) -> list[LoadCounts]:
+                null_policy: str = REJECT, run: Run | None = None) -> list[LoadCounts]:
     """Conform many monthly files in one plan and replace all their months in one write for each table.
 
     Gives the rows that loading the files one by one gives. The number of jobs does not grow with the files.
+    A ``run`` of the ledger gets a note when either table is stored.
     """
     spark = lake.spark
     named = [month_of(path) for path in paths]
@@ -91,8 +99,8 @@ def load_months(lake: Lake, paths: Sequence[str], zones: DataFrame, limits: Thre
     in_rejects = [rejects_period(*one) for one in named]
     run_together(
         spark,
-        lambda: lake.replace_periods(TRIPS_TABLE, outcome.valid, in_trips),
-        lambda: lake.replace_periods(REJECTED_TABLE, outcome.rejected, in_rejects))
+        lambda: _noted(run, TRIPS, lake.replace_periods, TRIPS_TABLE, outcome.valid, in_trips),
+        lambda: _noted(run, REJECTS, lake.replace_periods, REJECTED_TABLE, outcome.rejected, in_rejects))
     # One row per file, or per file and reason.
     keys = ["service_type", "month"]
     raw_rows = raw.groupBy("service_type", F.make_date("file_year", "file_month", F.lit(1)).alias("month")).count()
@@ -108,27 +116,58 @@ def load_months(lake: Lake, paths: Sequence[str], zones: DataFrame, limits: Thre
                        reasons.get((service, date(year, month, 1)), {})) for service, year, month in named]
 
 
+def _noted(run: Run | None, step: str, write: Callable, *what) -> None:
+    write(*what)
+    if run is not None:
+        run.note(step)
+
+
+def _month_keys(months: Sequence[tuple[str, int, int]]) -> list[dict[str, str]]:
+    return [{"service_type": service, "period": f"{year:04d}-{month:02d}",
+             "ingestion_date": str(date(year, month, 1)), "ingestion_month": str(date(year, month, 1))}
+            for service, year, month in months]
+
+
+def _periods(layout: TableLayout, months: Sequence[tuple[str, int, int]]) -> list[dict[str, str]]:
+    return [{key: one[key] for key in layout.period_keys} for one in _month_keys(months)]
+
+
 def refresh_marts(lake: Lake, months: Sequence[tuple[str, int, int]]) -> DataFrame:
     """Replace these months (service, year, month) in every mart and report the data tests of them.
 
     Every mart's grain includes the service and the month, so a month's mart rows depend on that
-    month's trips and rejects alone: refreshing costs these months, however long the history is.
+    month's trips and rejects alone: refreshing costs these months, however long the history is. The hourly and
+    the revenue mart are stored as sums and counts first and rounded from those.
     """
-    keys = [{"service_type": service, "period": f"{year:04d}-{month:02d}",
-             "ingestion_date": str(date(year, month, 1)), "ingestion_month": str(date(year, month, 1))}
-            for service, year, month in months]
-
     def periods(layout: TableLayout) -> list[dict[str, str]]:
-        return [{key: one[key] for key in layout.period_keys} for one in keys]
+        return _periods(layout, months)
 
     models = build_marts(lake.read(TRIPS_TABLE, *periods(TRIPS_TABLE)),
                          lake.read(REJECTED_TABLE, *periods(REJECTED_TABLE)))
-    run_together(lake.spark, *(
-        partial(lake.replace_periods, layout, models[layout.name], periods(layout)) for layout in MART_TABLES))
+    enriched = models["int_trips_enriched"]
+
+    def from_state(kept: TableLayout, state: DataFrame, mart: TableLayout, view: Callable[[DataFrame], DataFrame]) -> None:
+        lake.replace_periods(kept, state, periods(kept))
+        lake.replace_periods(mart, view(lake.read(kept, *periods(kept))), periods(mart))
+
+    run_together(
+        lake.spark,
+        *(partial(lake.replace_periods, layout, models[layout.name], periods(layout)) for layout in (
+            FACT_TABLE, QUALITY_TABLE, HEALTH_TABLE)),
+        partial(from_state, HOURLY_STATE_TABLE, hourly_state(enriched), HOURLY_TABLE, hourly_view),
+        partial(from_state, REVENUE_STATE_TABLE, revenue_state(enriched), REVENUE_TABLE, revenue_view))
     stored = {layout.name: lake.read(layout, *periods(layout)) for layout in MART_TABLES}
     return check_models({STAGED: models[STAGED], **stored})
 
 
+def store_sketches(lake: Lake, months: Sequence[tuple[str, int, int]]) -> None:
+    """Replace these months' quantile sketches of the stored trips: one pass over the months."""
+    trips = lake.read(TRIPS_TABLE, *_periods(TRIPS_TABLE, months)).withColumn(
+        "pickup_month_date", month_start(F.col("pickup_date")))
+    sketches = value_sketches(trips, trip_metrics(), ["service_type", "pickup_month_date"])
+    lake.replace_periods(SKETCH_TABLE, sketches, _periods(SKETCH_TABLE, months))
+
+
 def run_month(lake: Lake, raw_root: str, zones: DataFrame, service_type: str, year: int, month: int,
               limits: Thresholds = Thresholds(), null_policy: str = REJECT,
               min_rows: int = MIN_ROWS_PER_MONTH) -> LoadCounts:
@@ -143,19 +182,32 @@ def run_month(lake: Lake, raw_root: str, zones: DataFrame, service_type: str, ye
 
 def backfill(lake: Lake, raw_root: str, zones: DataFrame, services: str | Sequence[str],
              months: Iterable[tuple[int, int]], limits: Thresholds = Thresholds(), null_policy: str = REJECT,
-             min_rows: int = MIN_ROWS_PER_MONTH) -> list[LoadCounts]:
+             min_rows: int = MIN_ROWS_PER_MONTH, ledger: Ledger | None = None) -> list[LoadCounts]:
     """The monthly run of many months and services at once: one load, one gate, one refresh of each mart.
 
     The stored rows are those of one monthly run after another. The gate names every month below
     ``min_rows`` and stops before the marts.
+
+    With a ``ledger`` only those months are loaded whose input or settings changed since they were last loaded, or whose last run
+    did not come to its end; the counts are of these months.
     """
     services = [services] if isinstance(services, str) else services
     wanted = [(service, *month) for month in sorted(months) for service in services]
-    loaded = load_months(lake, [trip_path(raw_root, *one) for one in wanted], zones, limits, null_policy)
+    run = None
+    if ledger is not None:
+        prints = input_prints(lake.spark, [trip_path(raw_root, *one) for one in wanted])
+        settings = settings_print(zones, limits, null_policy)
+        wanted = ledger.pending(wanted, prints, settings)
+        if not wanted:
+            return []
+        run = ledger.begin(wanted, prints, settings)
+    loaded = load_months(lake, [trip_path(raw_root, *one) for one in wanted], zones, limits, null_policy, run)
     short = [f"{c.service_type} {c.period}: {c.valid_rows} rows" for c in loaded if c.valid_rows < min_rows]
     if short:
         raise ExpectationFailed(f"{'; '.join(short)}; expected at least {min_rows}")
     require_passed(refresh_marts(lake, wanted))
+    if run is not None:
+        run.note(MARTS)
     return loaded
 
 

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 
 from fareline import fixtures
 from fareline.functions import rules as R
-from fareline.operators import expectations, profile, quality, reconcile
+from fareline.operators import expectations, profile, quality, ranked, reconcile, sketches
 from fareline.operators.zones import join_zones, orphan_locations
 from fareline.plans.conform import Conformed, conform_files, conform_month
+from fareline.plans.ledger import Ledger
 from fareline.plans.marts import Models
 from fareline.plans.monthly import (
-    backfill, load_month, load_months, rebuild_marts, register_models, run_month, trips_period, write_outcome,
+    backfill, load_month, load_months, rebuild_marts, refresh_marts, register_models, run_month, store_sketches, trips_period,
+    write_outcome,
 )
-from fareline.schemas import HOURLY_TABLE, REJECTED_TABLE, REVENUE_TABLE, TRIPS_TABLE
+from fareline.plans.states import revenue_by_period
+from fareline.schemas import HOURLY_TABLE, REJECTED_TABLE, REVENUE_STATE_TABLE, REVENUE_TABLE, SKETCH_TABLE, TRIPS_TABLE
 from fareline.sources.lake import Lake
 from fareline.sources.scratch import new_scratch_dir
 from fareline.sources.trips import read_months, trip_path
@@ -228,6 +231,60 @@ def local_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_outcome(conformed(spark, sf_dir), root)
 
 
+def _all_months() -> list[tuple[str, int, int]]:
+    return [(service, *month) for service in SERVICES for month in fixtures.MONTHS]
+
+
+def agg_quarterly_zone_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone revenue of the quarter out of the stored sums and counts of its months."""
+    lake = _loaded_lake(spark, sf_dir)
+    refresh_marts(lake, _all_months())
+    return revenue_by_period(lake.read(REVENUE_STATE_TABLE), "quarter")
+
+
+def sketch_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of three months from stored sketches, and whether their exact rank in the trips is within the bound."""
+    lake = _loaded_lake(spark, sf_dir)
+    store_sketches(lake, _all_months())
+    told = sketches.sketch_percentiles(lake.read(SKETCH_TABLE), profile.DURATION_PROBABILITIES)
+    metrics = sketches.trip_metrics()
+    values = lake.read(TRIPS_TABLE).select(*(c.cast("double").alias(name) for name, c in metrics.items())).unpivot(
+        [], list(metrics), "metric", "x")
+    ranks = values.join(F.broadcast(told), "metric").groupBy("metric", "probability", "n").agg(  # a row a percentile
+        F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto"))
+    within = (F.col("below") / F.col("n") - sketches.RANK_BOUND <= F.col("probability")) & (
+        F.col("probability") <= F.col("upto") / F.col("n") + sketches.RANK_BOUND)
+    return ranks.select("metric", "probability", "n", within.alias("within_bound"))
+
+
+def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three months of both services loaded, one raw file replaced, and the same backfill again: what the ledger and the trips tell."""
+    root, zones = _month_files(spark, sf_dir)
+    lake = _new_lake(spark, "resumed")
+    ledger = Ledger(spark, f"{lake.root}/load_ledger")
+
+    def run() -> None:
+        backfill(lake, root, zones, SERVICES, fixtures.MONTHS, limits=LIMITS, min_rows=0, ledger=ledger)
+
+    run()
+    fixtures.write_month_files(spark, sf_dir, root, fixtures.MONTHS[1:2], ("yellow",), "fare_amount >= 20")
+    run()
+    stored = lake.read(TRIPS_TABLE).groupBy("service_type", F.date_format("pickup_date", "yyyy-MM").alias("period")).agg(
+        F.count(F.lit(1)).alias("trips"))
+    return ledger.states().join(stored, ["service_type", "period"]).select("service_type", "period", "runs", "done", "trips")
+
+
+def threshold_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.threshold_curve(reconciled(spark, sf_dir), fixtures.YEAR, fixtures.MONTH, LIMITS)
+
+
+def period_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the values of the first two months lie apart."""
+    trips = fixtures.raw_trips_by_month(spark, sf_dir)
+    left, right = (reconcile.reconcile(trips.filter(F.col("file_month") == month)) for _, month in fixtures.MONTHS[:2])
+    return ranked.period_drift(left, right, sketches.trip_metrics())
+
+
 QUERIES: dict[str, Query] = {
     "scan_raw": fixtures.raw_trips,
     "normalize_columns": normalize_columns,
@@ -279,4 +336,9 @@ QUERIES: dict[str, Query] = {
     "backfill_revenue": backfill_revenue,
     "backfill_health": backfill_health,
     "stored_views": stored_views,
+    "load_ledger": load_ledger,
+    "sketch_percentiles": sketch_percentiles,
+    "agg_quarterly_zone_revenue": agg_quarterly_zone_revenue,
+    "threshold_curve": threshold_curve,
+    "period_drift": period_drift,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql.types import (
-    DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
+    BinaryType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
 
@@ -156,10 +156,31 @@ HEALTH = _struct(
     ("rejection_rate_pct", DoubleType, False),
 )
 
-
 # -----------------------------------------------------------------------------------------------------
 
 
+def _measure(name: str) -> list[StructField]:
+    """What is kept of a measure so that groups can be merged: the sum of the values that are added exactly, of the
+    others, and how many there are."""
+    return [StructField(f"{name}_sum", DecimalType(38, 9)), StructField(f"{name}_rest", DoubleType()),
+            StructField(f"{name}_n", LongType(), False)]
+
+
+MINUTES_STATE = [StructField("minutes_sum", LongType()), StructField("minutes_n", LongType(), False)]
+REVENUE_MEASURES = ("total_amount", "fare_amount", "tip_amount", "tip_percentage", "revenue_per_mile", "trip_distance")
+# The marts' groups before division and rounding.
+HOURLY_STATE = StructType([
+    HOURLY["pickup_date"], HOURLY["pickup_hour"], *(HOURLY[name] for name in ("service_type", "pu_borough", "pu_zone")),
+    HOURLY["trip_count"], HOURLY["total_passengers"], *_measure("trip_distance"), *MINUTES_STATE])
+REVENUE_STATE = StructType([
+    *(REVENUE[name] for name in ("pickup_month_date", "service_type", "pu_borough", "pu_zone", "trip_count")),
+    *(field for name in REVENUE_MEASURES for field in _measure(name)), *MINUTES_STATE])
+# Quantile sketches of one month's values.
+SKETCHES = StructType([
+    _BY_NAME["service_type"], REVENUE["pickup_month_date"], StructField("metric", StringType(), False),
+    StructField("n", LongType(), False), StructField("sketch", BinaryType(), False)])
+
+
 @dataclass(frozen=True, eq=False)
 class TableLayout:
     """How one stored table is laid out.
@@ -189,5 +210,9 @@ FACT_TABLE = TableLayout("fact_trips", FACT, ("service_type", "period"), ("picku
 HOURLY_TABLE = TableLayout("agg_hourly_demand_by_zone", HOURLY, ("service_type", "period"), period_of="pickup_date")
 REVENUE_TABLE = TableLayout("agg_monthly_zone_revenue", REVENUE, ("service_type", "period"), period_of="pickup_month_date")
 QUALITY_TABLE = TableLayout("agg_monthly_data_quality", QUALITY, ("service_type", "ingestion_month"))
+HOURLY_STATE_TABLE = TableLayout("state_hourly_demand", HOURLY_STATE, ("service_type", "period"), period_of="pickup_date")
+REVENUE_STATE_TABLE = TableLayout("state_zone_revenue", REVENUE_STATE, ("service_type", "period"),
+                                  period_of="pickup_month_date")
+SKETCH_TABLE = TableLayout("value_sketches", SKETCHES, ("service_type", "period"), period_of="pickup_month_date")
 HEALTH_TABLE = TableLayout("agg_monthly_pipeline_health", HEALTH, ("service_type", "ingestion_month"))
 MART_TABLES = (FACT_TABLE, HOURLY_TABLE, REVENUE_TABLE, QUALITY_TABLE, HEALTH_TABLE)

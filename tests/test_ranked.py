@@ -1,0 +1,88 @@
+"""Threshold curves and drift against counting again for every value."""
+
+import random
+
+import numpy as np
+import pytest
+from helpers import trips
+from pyspark.sql import functions as F
+
+from fareline.functions.rules import REJECT, Thresholds, trip_rules
+from fareline.operators import ranked
+from fareline.operators.quality import keep_rejected, keep_valid
+from fareline.operators.sketches import trip_metrics
+
+LIMITS = Thresholds(max_location_id=26)
+
+
+def random_trips(spark, rng, n):
+    changes = []
+    for _ in range(n):
+        changes.append({
+            "fare_amount": rng.choice([2.0, 2.5, 3.0, 10.0, 50.0, None, float("nan"), -1.0]),
+            "trip_distance": rng.choice([0.0, 1.0, 5.0, 600.0, -2.0, None]),
+            "dropoff_datetime": rng.choice(["2024-01-10 10:15:00", "2024-01-10 09:00:00", "2024-01-13 10:00:00",
+                                            "2024-01-10 10:00:00", "2024-01-10 12:00:00", None]),
+            "pickup_datetime": rng.choice(["2024-01-10 10:00:00"] * 6 + ["2023-12-10 10:00:00", None]),
+            "pu_location_id": rng.choice([1, 5, 26, 5, 5, 99]), "do_location_id": rng.choice([1, 5, 26, None])})
+    return trips(spark, *changes)
+
+
+@pytest.mark.parametrize("with_period", [True, False])
+def test_curve_is_what_rejecting_gives(spark, with_period):
+    """For every threshold of the curve the rows are split again under it."""
+    rows = random_trips(spark, random.Random(4), 300)
+    period = (2024, 1) if with_period else (None, None)
+    curve = ranked.threshold_curve(rows, *period, LIMITS).collect()
+    assert {r.reason_code for r in curve} == {"invalid_fare", "invalid_duration", "suspicious_distance"}
+    assert len({(r.reason_code, r.threshold) for r in curve}) == len(curve) == 6 + 4 + 5 or len(curve) > 10
+    for r in curve:
+        if r.reason_code == "invalid_duration" and (r.threshold % 60 or r.threshold < 0):
+            continue  # the rule's own threshold is in whole minutes
+        change = {"invalid_fare": {"min_fare": r.threshold}, "suspicious_distance": {"max_distance_miles": r.threshold},
+                  "invalid_duration": {"max_duration_minutes": int(r.threshold // 60)}}[r.reason_code]
+        limits = Thresholds(**{"max_location_id": 26, **change})
+        rules = trip_rules(*period, limits, REJECT)
+        refused = keep_rejected(rows, rules, REJECT)
+        assert r.rejected == refused.count() == 300 - keep_valid(rows, rules).count()
+        assert r.first_failures == refused.filter(F.col("reason_code") == r.reason_code).count()
+        assert r.total_rows == 300 and r.reject_pct == round(r.rejected / 3, 2)
+
+
+def test_curve_without_rows(spark):
+    assert ranked.threshold_curve(trips(spark, {}).limit(0), 2024, 1, LIMITS).collect() == []
+
+
+def test_running_totals_over_ranges(spark):
+    rng = random.Random(6)
+    rows = {(k, float(v)): rng.randrange(5) for k in "ab" for v in rng.sample(range(2000), 700)}
+    df = spark.createDataFrame([(*kv, n) for kv, n in rows.items()], "k string, v double, n long")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        found = {(r.k, r.v): (r.n_upto, r.n_all) for r in ranked.running_totals(df, "k", "v", ["n"]).collect()}
+    finally:
+        spark.conf.set(coalesce, before)
+    for k, v in rows:
+        assert found[k, v] == (sum(n for (a, b), n in rows.items() if a == k and b <= v), sum(n for (a, _), n in rows.items() if a == k))
+
+
+def test_drift_is_the_largest_distance(spark):
+    rng = np.random.default_rng(3)
+    left, right = rng.normal(0, 1, 400).round(2), np.concatenate([rng.normal(0.3, 1, 300).round(2), [np.nan] * 5])
+    frames = [spark.createDataFrame([(float(x), 1.0) for x in side] + [(None, None)], "x double, same double") for side in (left, right)]
+    found = {r.metric: r for r in ranked.period_drift(*frames, {"x": F.col("x"), "same": F.col("same"), "none": F.lit(None)}).collect()}
+    values = np.unique(np.concatenate([left, right]))
+    apart = [abs((left <= v).sum() / 400 - (right <= v).sum() / 305) for v in values[~np.isnan(values)]]
+    assert found["x"].distance == pytest.approx(max(apart), abs=1e-12)
+    assert found["x"].at_value == values[int(np.argmax(apart))]
+    assert (found["x"].left_rows, found["x"].right_rows) == (400, 305)
+    assert found["same"].distance == 0 and "none" not in found
+    one_sided = ranked.period_drift(frames[0], frames[1].limit(0), {"x": F.col("x")}).first()
+    assert one_sided.distance is None and one_sided.right_rows == 0
+
+
+def test_drift_of_trip_values(spark):
+    rows = random_trips(spark, random.Random(9), 100)
+    assert all(r.distance == 0 for r in ranked.period_drift(rows, rows, trip_metrics()).collect())
