@@ -28,6 +28,7 @@ DEPTH = 64
 # Leaves of the pages that go through the network side by side.
 _CELLS = 1 << 15
 _REMEMBERED = 200_000
+_GRAIN = 1 << 52
 
 # --- fixed values: HTML elements ---
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -548,16 +549,19 @@ def told_by_elements(leaves: Sequence[Leaf]) -> list[int] | None:
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES, laid_out: int = LAID_OUT, html_col: str = "html") -> PageModel:
-    """A model from at most ``sample`` of the pages, and ``laid_out`` pages that are made of their texts.
+    """A model from about ``sample`` of the pages, and ``laid_out`` pages that are made of their texts.
 
-    The sampled pages are those with the smallest hashes of their html among those of up to ``LONGEST_SAMPLED`` characters,
-    which bounds what reaches the driver; equal tables give equal models. Those
+    The sampled pages are drawn by a hash of their html among those of up to ``LONGEST_SAMPLED`` characters, equal ones once, which
+    bounds what reaches the driver; equal tables give equal models. Those
     that mark their article by an element are learned from as they are; all give the texts of the pages laid out, where main text and
     boilerplate of every kind stand in many kinds of elements. An empty table gives a model of a fixed text.
     """
-    rows = pick(pages, (html_col, "string", "html")).filter("html IS NOT NULL")
-    hashed = rows.select(F.xxhash64("html").alias("h"), "html").filter(F.length("html") <= LONGEST_SAMPLED)
-    drawn = [r.html for r in hashed.orderBy("h", "html").limit(sample).collect()]
+    rows = pick(pages, (html_col, "string", "html"))
+    share = min(1.0, sample / max(1, rows.count()))
+    hashed = rows.filter(F.length("html") <= LONGEST_SAMPLED).withColumn("h", F.xxhash64("html"))
+    sampled = hashed.filter(F.pmod("h", F.lit(_GRAIN)) < F.lit(int(share * _GRAIN))).groupBy("h").agg(
+        F.min("html").alias("html"))
+    drawn = [r.html for r in sorted(sampled.collect(), key=lambda r: r.h)]
     told, texts = [], []
     for page in drawn:
         leaves = leaves_of(page)

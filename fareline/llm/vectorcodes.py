@@ -191,7 +191,9 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
         raise ValueError("a code has one byte a part")
     saved = Saved(vectors.sparkSession, "vector-codes")
     whole = whole_parts(vectors, id_col, vector_col, label_col)
-    first = whole.orderBy(F.col("vec_id").asc_nulls_last(), "v").limit(entries).select("v").collect()
+    # Stored first, so that the tasks' smallest rows meet in a task and not on the driver.
+    smallest = saved(whole.select("vec_id", "v").orderBy(F.col("vec_id").asc_nulls_last(), "v").limit(entries), "first").collect()
+    first = [(r.v,) for r in sorted(smallest, key=lambda r: (r.vec_id is None, r.vec_id or 0, r.v))]
     dims = whole.agg(F.max(F.size("v"))).first()[0] or 0
     width = max(1, -(-dims // parts))
     start = np.zeros((len(first), parts * width), np.int64)
