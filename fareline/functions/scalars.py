@@ -13,6 +13,21 @@ DAY_PARTS = (("morning", 6, 11), ("afternoon", 12, 16), ("evening", 17, 21))
 OTHER_DAY_PART = "night"
 
 
+def interleaved(*ranks: Column, bits: int = 9) -> Column:
+    """One number whose bits are those of the ranks in turn, so that near numbers are near in every rank.
+
+    Ranks are whole numbers from 0 to ``2^bits - 1``; others count as the nearest of these, null as 0.
+    """
+    top = (1 << bits) - 1
+    held = [F.coalesce(F.least(F.greatest(rank.cast("long"), F.lit(0)), F.lit(top)), F.lit(0)) for rank in ranks]
+    key = F.lit(0).cast("long")
+    for bit in range(bits):
+        for place, rank in enumerate(held):
+            one = F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long"))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(held) + len(held) - 1 - place))
+    return key
+
+
 def round2(value: Column) -> Column:
     """Round a double to cents as ``round(x * 100) / 100``.
 

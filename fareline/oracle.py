@@ -359,6 +359,31 @@ def _drift(left: int, right: int) -> str:
 SELECT metric, ln AS left_rows, rn AS right_rows, distance, value AS at_value FROM ranked WHERE nth = 1"""
 
 
+# Column, name as written, type, first and last month of the six files, written by hand; times are named by service.
+_TIMELINE = """vendor_id VendorID int 1 1, vendor_id VendorID bigint 2 2, vendor_id VendorID int 3 3,
+pickup_datetime {times}_pickup_datetime timestamp_ntz 1 3, dropoff_datetime {times}_dropoff_datetime timestamp_ntz 1 3,
+passenger_count passenger_count int 1 2, passenger_count passenger_count double 3 3, trip_distance trip_distance double 1 3,
+ratecode_id RatecodeID int 1 3, store_and_fwd_flag store_and_fwd_flag string 1 3, pu_location_id PULocationID int 1 1,
+pu_location_id PULocationID bigint 2 2, pu_location_id PULocationID int 3 3, do_location_id DOLocationID int 1 1,
+do_location_id DOLocationID bigint 2 2, do_location_id DOLocationID int 3 3, payment_type payment_type int 1 3,
+fare_amount fare_amount double 1 3, extra extra double 1 3, mta_tax mta_tax double 1 3, tip_amount tip_amount double 1 3,
+tolls_amount tolls_amount double 1 3, improvement_surcharge improvement_surcharge double 1 3, total_amount total_amount double 1 3,
+congestion_surcharge congestion_surcharge double 1 1, congestion_surcharge congestion_surcharge double 3 3,
+airport_fee Airport_fee double 1 1, airport_fee airport_fee double 2 2, airport_fee Airport_fee double 3 3,
+cbd_congestion_fee cbd_congestion_fee double 3 3"""
+
+
+def _timeline_row(service: str, entry: str) -> str:
+    column, raw, kind, first, last = entry.split()
+    return (f"('{service}', '{column}', '{raw}', '{kind}', DATE '{YEAR}-0{first}-01', DATE '{YEAR}-0{last}-01', "
+            f"CAST({int(last) - int(first) + 1} AS BIGINT))")
+
+
+TIMELINE = "SELECT * FROM (VALUES " + ", ".join(
+    _timeline_row(service, entry) for service, times in (("yellow", "tpep"), ("green", "lpep"))
+    for entry in _TIMELINE.format(times=times).split(",")) + (
+    ") AS t(service_type, column_name, raw_name, type, first_month, last_month, months)")
+
 QUARTERLY = f"""WITH {MONTHLY}, {ENRICHED} SELECT CAST(date_trunc('quarter', pickup_date) AS DATE) AS period_start,
   {REVENUE[REVENUE.index("service_type"):]}"""
 
@@ -386,7 +411,8 @@ ORACLE_SQL: dict[str, str] = {
     "local_roundtrip": f"""WITH counted AS ({_counts("reject")})
 SELECT outcome, rows, rows AS expected, true AS passed FROM (
   SELECT 'valid' AS outcome, valid_rows AS rows FROM counted
-  UNION ALL SELECT 'rejected', rejected_rows FROM counted)""",
+  UNION ALL SELECT 'rejected', rejected_rows FROM counted
+  UNION ALL SELECT 'contents', raw_rows FROM counted)""",
     "zone_csv": """SELECT CAST(n_nationkey + 1 AS INTEGER) AS "LocationID", r_name AS "Borough", n_name AS "Zone",
   'all' AS service_zone FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "conform_counts": _counts("reject"),
@@ -443,6 +469,15 @@ SELECT service_type, '{YEAR}-0{MONTH}' AS period, raw_rows, valid_rows, rejected
         f" SELECT '{name}' AS metric, CAST({p} AS DOUBLE) AS probability, count({value}) AS n, true AS within_bound FROM valid_rows"
         for name, value in (("fare_amount", "fare_amount"), ("trip_distance", "trip_distance"), ("duration_minutes", "seconds"))
         for p in DURATION_PROBABILITIES),
+    "replay_rejects": f"""WITH {MONTHLY}, {VALID}, {_rejected("reject")}
+SELECT service_type, ingestion_date AS month, 'valid' AS outcome, count(*) AS rows, CAST(sum(passenger_count) AS BIGINT) AS passengers
+FROM valid GROUP BY ALL
+UNION ALL SELECT service_type, ingestion_date, reason_code, count(*), CAST(sum(passenger_count) AS BIGINT) FROM rejected GROUP BY ALL""",
+    "schema_timeline": TIMELINE,
+    "lasting_views": f"""WITH {MONTHLY}, {ENRICHED}
+SELECT service_type, pickup_month, time_of_day, count(*) AS trips, max(trip_duration_minutes) AS longest,
+       max(tip_percentage) AS highest_tip, max(revenue_per_mile) AS highest_revenue
+FROM enriched WHERE ingestion_date < DATE '{YEAR}-03-01' GROUP BY ALL""",
     "load_ledger": f"""WITH {MONTHLY}, {VALID}, listed AS (
   SELECT service_type, strftime(ingestion_date, '%Y-%m') AS period, fare_amount FROM valid)
 SELECT service_type, period, CAST(CASE WHEN service_type = 'yellow' AND period = '{YEAR}-02' THEN 2 ELSE 1 END AS BIGINT) AS runs,

@@ -9,13 +9,15 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from fareline.functions.rules import REJECT, WRONG_PERIOD, Rule, Thresholds, between_months, trip_rules
+from fareline.functions.rules import REJECT, WRONG_PERIOD, Rule, Thresholds, all_hold, between_months, trip_rules
 from fareline.operators.quality import count_outcomes, keep_rejected, keep_valid
 from fareline.operators.reconcile import (
-    add_load_columns, add_metadata, conformed_columns, quarantine_columns, standardize,
+    add_load_columns, add_metadata, conformed_columns, quarantine_columns, select_as, standardize,
 )
 from fareline.operators.zones import join_zones
+from fareline.schemas import QUARANTINE, ROW_ADDRESS
 
 
 @dataclass(frozen=True)
@@ -43,6 +45,21 @@ class Conformed:
         failed = keep_rejected(self.rows, self.rules, self.null_policy)
         return quarantine_columns(add_load_columns(failed, self.service_type, self.source_file, self.ingestion_date))
 
+    @cached_property
+    def judged(self) -> DataFrame:
+        """The raw rows that have a verdict, all of them but under the null policy ``"sql"``, with their service and file."""
+        verdict = all_hold(self.rules)
+        told = self.rows if self.null_policy == REJECT else self.rows.filter(verdict.isNotNull())
+        return add_load_columns(told, self.service_type, self.source_file, self.ingestion_date)
+
+    @cached_property
+    def addressed_rejects(self) -> DataFrame:
+        """The rejected rows with where they stand in the raw files, if the rows tell."""
+        failed = keep_rejected(self.rows, self.rules, self.null_policy)
+        whole = add_load_columns(failed, self.service_type, self.source_file, self.ingestion_date)
+        known = [f for f in ROW_ADDRESS.fields if f.name in self.rows.columns]
+        return select_as(whole, StructType([*QUARANTINE.fields, *known]))
+
     @cached_property
     def counts(self) -> DataFrame:
         """Row counts of the outcome in one pass over the raw rows."""
@@ -57,7 +74,7 @@ def conform_month(raw: DataFrame, zones: DataFrame, service_type: str | Column,
     Rules judge the standard types, as they do for many files, so both give the same rows.
     """
     rules = trip_rules(year, month, limits, null_policy)
-    kept = [name for name in service_columns(service_type, source_file) if name in raw.columns]
+    kept = [name for name in (*service_columns(service_type, source_file), *ROW_ADDRESS.names) if name in raw.columns]
     return Conformed(standardize(raw, *kept), zones, rules, limits, null_policy, service_type, source_file,
                      date(year, month, 1))
 

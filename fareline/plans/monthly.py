@@ -16,17 +16,19 @@ from fareline.operators.expectations import (
     STAGED, ExpectationFailed, check_models, require_passed, require_volume,
 )
 from fareline.operators.quality import count_reasons
+from fareline.operators.contents import same_contents
 from fareline.operators.sketches import trip_metrics, value_sketches
 from fareline.plans.conform import Conformed, conform_files, conform_month
 from fareline.plans.ledger import MARTS, REJECTS, TRIPS, Ledger, Run, input_prints, settings_print
 from fareline.plans.marts import Models, build_marts
 from fareline.plans.states import hourly_state, hourly_view, revenue_state, revenue_view
+from fareline.plans.views import create_views
 from fareline.schemas import (
     FACT_TABLE, HEALTH_TABLE, HOURLY_STATE_TABLE, HOURLY_TABLE, MART_TABLES, QUALITY_TABLE, REJECTED_TABLE, REVENUE_STATE_TABLE,
     REVENUE_TABLE, SKETCH_TABLE, TRIPS_TABLE, TableLayout,
 )
 from fareline.sources.lake import Lake, run_together, write_checked
-from fareline.sources.trips import file_name, month_of, read_months, read_raw, trip_path
+from fareline.sources.trips import file_name, month_of, read_addressed, read_months, trip_path
 
 MIN_ROWS_PER_MONTH = 100_000
 # Models that are views, not tables.
@@ -77,7 +79,7 @@ def load_month(lake: Lake, raw: DataFrame, zones: DataFrame, service_type: str,
     run_together(
         lake.spark,
         lambda: lake.replace_period(TRIPS_TABLE, outcome.valid, in_trips),
-        lambda: lake.replace_period(REJECTED_TABLE, outcome.rejected, in_rejects))
+        lambda: lake.replace_period(REJECTED_TABLE, outcome.addressed_rejects, in_rejects))
     reasons = count_reasons(lake.read(REJECTED_TABLE, **in_rejects)).collect()
     return LoadCounts(
         service_type, in_trips["period"], raw.count(), lake.read(TRIPS_TABLE, **in_trips).count(),
@@ -100,7 +102,7 @@ def load_months(lake: Lake, paths: Sequence[str], zones: DataFrame, limits: Thre
     run_together(
         spark,
         lambda: _noted(run, TRIPS, lake.replace_periods, TRIPS_TABLE, outcome.valid, in_trips),
-        lambda: _noted(run, REJECTS, lake.replace_periods, REJECTED_TABLE, outcome.rejected, in_rejects))
+        lambda: _noted(run, REJECTS, lake.replace_periods, REJECTED_TABLE, outcome.addressed_rejects, in_rejects))
     # One row per file, or per file and reason.
     keys = ["service_type", "month"]
     raw_rows = raw.groupBy("service_type", F.make_date("file_year", "file_month", F.lit(1)).alias("month")).count()
@@ -173,7 +175,7 @@ def run_month(lake: Lake, raw_root: str, zones: DataFrame, service_type: str, ye
               min_rows: int = MIN_ROWS_PER_MONTH) -> LoadCounts:
     """Load, volume gate, marts, data tests, in this order; the first failing gate raises."""
     path = trip_path(raw_root, service_type, year, month)
-    counts = load_month(lake, read_raw(lake.spark, path), zones, service_type, year, month, file_name(path),
+    counts = load_month(lake, read_addressed(lake.spark, path), zones, service_type, year, month, file_name(path),
                         limits, null_policy)
     require_volume(lake.read(TRIPS_TABLE, **trips_period(service_type, year, month)), year, month, min_rows)
     require_passed(refresh_marts(lake, [(service_type, year, month)]))
@@ -219,7 +221,9 @@ def rebuild_marts(lake: Lake) -> dict[str, DataFrame]:
 def write_outcome(outcome: Conformed, root: str) -> DataFrame:
     """Write valid and rejected rows to plain Parquet below ``root``, read them back and compare with the raw rows.
 
-    Rows (outcome, rows, expected, passed) for both; the expected counts come from one pass over the raw rows.
+    Rows (outcome, rows, expected, passed) for both, the expected counts from one pass over the raw rows; and one for their
+    ``contents``, whether what was stored are the raw rows and no others in the columns that both outcomes keep. Under the null policy
+    ``"sql"`` rows without a verdict are in neither, and the contents are compared with the others.
     """
     valid = write_checked(outcome.valid, f"{root}/valid")
     rejected = write_checked(outcome.rejected, f"{root}/rejected")
@@ -229,18 +233,21 @@ def write_outcome(outcome: Conformed, root: str) -> DataFrame:
     expected = outcome.counts.select(F.inline(F.array(
         F.struct(F.lit("valid").alias("outcome"), F.col("valid_rows").alias("expected")),
         F.struct(F.lit("rejected").alias("outcome"), F.col("rejected_rows").alias("expected")))))
-    return stored.join(F.broadcast(expected), "outcome").select(  # two rows
+    counted = stored.join(F.broadcast(expected), "outcome").select(  # two rows
         "outcome", "rows", "expected", (F.col("rows") == F.col("expected")).alias("passed"))
+    return counted.unionByName(same_contents(outcome.judged, valid, rejected).withColumn("outcome", F.lit("contents")))
 
 
 def register_models(lake: Lake) -> None:
-    """Make the stored tables and marts known to SQL, and the models between them as views of the session.
+    """Make the stored tables and marts known to SQL, and the models between them as views.
 
-    Views show what was stored when they were made; register again after a load.
+    Views of the lake's database last and show what is stored when they are read (see ``views``). The session also gets them by their bare
+    names, as they were when they were made.
     """
     stored = [layout for layout in (TRIPS_TABLE, REJECTED_TABLE, *MART_TABLES) if lake.exists(layout)]
     for layout in stored:
         lake.register(layout)
+    create_views(lake)
     models = Models(lambda: lake.read(TRIPS_TABLE), lambda: lake.read(REJECTED_TABLE))
     for name in VIEWS:
         models[name].createOrReplaceTempView(name)

@@ -20,10 +20,12 @@ from fareline.plans.monthly import (
     backfill, load_month, load_months, rebuild_marts, refresh_marts, register_models, run_month, store_sketches, trips_period,
     write_outcome,
 )
+from fareline.plans.replay import replay_rejects as replay
 from fareline.plans.states import revenue_by_period
 from fareline.schemas import HOURLY_TABLE, REJECTED_TABLE, REVENUE_STATE_TABLE, REVENUE_TABLE, SKETCH_TABLE, TRIPS_TABLE
 from fareline.sources.lake import Lake
 from fareline.sources.scratch import new_scratch_dir
+from fareline.sources.timeline import schema_timeline as timeline
 from fareline.sources.trips import read_months, trip_path
 from fareline.sources.zones import read_zones
 
@@ -274,6 +276,44 @@ def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.states().join(stored, ["service_type", "period"]).select("service_type", "period", "runs", "done", "trips")
 
 
+STRICT = R.Thresholds(min_fare=20.0, max_distance_miles=6.0, max_duration_minutes=120, max_location_id=24)
+
+
+def replay_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three months of both services loaded under strict thresholds, their rejects judged again under the usual ones; valid rows
+    and rejects by reason then."""
+    root, zones = _month_files(spark, sf_dir)
+    lake = _new_lake(spark, "replayed")
+    ledger = Ledger(spark, f"{lake.root}/load_ledger")
+    backfill(lake, root, zones, SERVICES, fixtures.MONTHS, limits=STRICT, min_rows=0, ledger=ledger)
+    replay(lake, ledger, root, zones, _all_months(), STRICT, LIMITS)
+    month = F.col("ingestion_date").alias("month")
+    valid = lake.read(TRIPS_TABLE).groupBy("service_type", month).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("passenger_count").alias("passengers")).withColumn("outcome", F.lit("valid"))
+    refused = lake.read(REJECTED_TABLE).groupBy("service_type", month, F.col("reason_code").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("passenger_count").alias("passengers"))
+    return valid.unionByName(refused)
+
+
+def schema_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names, cases and types of the columns of six raw files over their months, from the footers."""
+    root, _ = _month_files(spark, sf_dir)
+    return timeline(spark, [trip_path(root, *one) for one in _all_months()])
+
+
+def lasting_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue by borough and part of the day out of the enriched view, in another session, with a month stored after the view was made."""
+    root, zones = _month_files(spark, sf_dir)
+    lake = _new_lake(spark, "views")
+    load_months(lake, [trip_path(root, service, *fixtures.MONTHS[0]) for service in SERVICES], zones, LIMITS)
+    register_models(lake)
+    load_months(lake, [trip_path(root, service, *fixtures.MONTHS[1]) for service in SERVICES], zones, LIMITS)
+    return spark.newSession().sql(f"""
+        SELECT service_type, pickup_month, time_of_day, count(*) AS trips, max(trip_duration_minutes) AS longest,
+               max(tip_percentage) AS highest_tip, max(revenue_per_mile) AS highest_revenue
+        FROM `{lake.database}`.`int_trips_enriched` GROUP BY ALL""")
+
+
 def threshold_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.threshold_curve(reconciled(spark, sf_dir), fixtures.YEAR, fixtures.MONTH, LIMITS)
 
@@ -341,4 +381,7 @@ QUERIES: dict[str, Query] = {
     "agg_quarterly_zone_revenue": agg_quarterly_zone_revenue,
     "threshold_curve": threshold_curve,
     "period_drift": period_drift,
+    "replay_rejects": replay_rejects,
+    "schema_timeline": schema_timeline,
+    "lasting_views": lasting_views,
 }

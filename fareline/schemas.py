@@ -188,8 +188,11 @@ class TableLayout:
     ``period_keys`` name one replaceable period and are always given as constants when
     writing; ``day_keys`` are the partitions found in the data itself; ``sort_keys`` order
     rows inside a file so Parquet min/max statistics can skip row groups.
+    A sort key that begins with ``-`` is descending. Rows that agree in the sort keys are ordered by the interleaved bits of the
+    ``cluster_keys``, whole numbers below 512, so that files can be skipped by any of them.
     A layout key that is not part of ``schema`` (``period``) exists only as a folder level and is the
-    month of the column ``period_of``.
+    month of the column ``period_of``. ``extra`` columns are stored as well, null if a load does not know them, and
+    only read where they are asked for. ``read_order`` is the order in which a small table is read.
     """
 
     name: str
@@ -198,18 +201,32 @@ class TableLayout:
     day_keys: tuple[str, ...] = ()
     sort_keys: tuple[str, ...] = ()
     period_of: str | None = None
+    cluster_keys: tuple[str, ...] = ()
+    extra: StructType = StructType([])
+    read_order: tuple[str, ...] = ()
 
     @property
     def partition_keys(self) -> tuple[str, ...]:
         return self.period_keys + self.day_keys
 
-
-TRIPS_TABLE = TableLayout("trips", CONFORMED, ("service_type", "period"), ("pickup_date",), ("pu_borough",), "pickup_date")
-REJECTED_TABLE = TableLayout("rejected_trips", QUARANTINE, ("service_type", "ingestion_date"))
-FACT_TABLE = TableLayout("fact_trips", FACT, ("service_type", "period"), ("pickup_date",), ("pu_borough",), "pickup_date")
+    @property
+    def stored(self) -> StructType:
+        return StructType([*self.schema.fields, *self.extra.fields])
+
+
+# Where a rejected row stands in the raw files: the file from the month's name on, and its place in it.
+ROW_ADDRESS = _struct(("raw_file", StringType, False), ("row_index", LongType, False))
+LOCATIONS = ("pu_location_id", "do_location_id")
+TRIPS_TABLE = TableLayout("trips", CONFORMED, ("service_type", "period"), ("pickup_date",), ("pu_borough",), "pickup_date",
+                          LOCATIONS)
+REJECTED_TABLE = TableLayout("rejected_trips", QUARANTINE, ("service_type", "ingestion_date"), extra=ROW_ADDRESS)
+FACT_TABLE = TableLayout("fact_trips", FACT, ("service_type", "period"), ("pickup_date",), ("pu_borough",), "pickup_date",
+                         LOCATIONS)
 HOURLY_TABLE = TableLayout("agg_hourly_demand_by_zone", HOURLY, ("service_type", "period"), period_of="pickup_date")
 REVENUE_TABLE = TableLayout("agg_monthly_zone_revenue", REVENUE, ("service_type", "period"), period_of="pickup_month_date")
-QUALITY_TABLE = TableLayout("agg_monthly_data_quality", QUALITY, ("service_type", "ingestion_month"))
+QUALITY_TABLE = TableLayout("agg_monthly_data_quality", QUALITY, ("service_type", "ingestion_month"),
+                            sort_keys=("-rejected_count", "reason_code"),
+                            read_order=("-ingestion_month", "-rejected_count", "service_type", "reason_code"))
 HOURLY_STATE_TABLE = TableLayout("state_hourly_demand", HOURLY_STATE, ("service_type", "period"), period_of="pickup_date")
 REVENUE_STATE_TABLE = TableLayout("state_zone_revenue", REVENUE_STATE, ("service_type", "period"),
                                   period_of="pickup_month_date")

@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from fareline.functions.scalars import interleaved
 from fareline.operators.reconcile import select_as
 from fareline.schemas import TableLayout
 
+LISTINGS_AT_ONCE = 16
+
 
 def _or_fail(name: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"null in required column {name}")))
@@ -33,6 +36,11 @@ def _checked_key(keys: Sequence[str], periods: Sequence[Mapping[str, str]]) -> C
     return F.when(told.isin(named), F.col(keys[0])).otherwise(F.raise_error(refused).cast("string"))
 
 
+def ordered(keys: Sequence[str]) -> list[Column]:
+    """Sort columns of keys, descending where a key begins with ``-``."""
+    return [F.desc(key[1:]) if key.startswith("-") else F.asc(key) for key in keys]
+
+
 @dataclass(frozen=True)
 class Lake:
     """Tables stored below ``root``. They are read from their files, so any session sees what any other stored;
@@ -57,27 +65,33 @@ class Lake:
 
     def _stored_schema(self, layout: TableLayout) -> StructType:
         more = [StructField(key, StringType()) for key in layout.partition_keys if key not in layout.schema.names]
-        return StructType([*layout.schema.fields, *more])
+        return StructType([*layout.stored.fields, *more])
 
     def read(self, layout: TableLayout, *periods: Mapping[str, str], **period: str) -> DataFrame:
-        """The table's columns, optionally of some periods only (partition filters)."""
+        """The table's columns, optionally of some periods only (partition filters); in order, if it has one."""
+        rows = self.read_whole(layout, *periods, **period).select(*layout.schema.names)
+        return rows.orderBy(*ordered(layout.read_order)) if layout.read_order else rows
+
+    def read_whole(self, layout: TableLayout, *periods: Mapping[str, str], **period: str) -> DataFrame:
+        """The same with the extra columns, in no order."""
         df = self.spark.read.schema(self._stored_schema(layout)).parquet(self.location(layout))
         wanted = [*periods, *([period] if period else [])]
         if wanted:
             df = df.filter(reduce(Column.__or__, (
                 reduce(Column.__and__, (F.col(key) == F.lit(value) for key, value in one.items())) for one in wanted)))
-        return df.select(*layout.schema.names)
+        return df.select(*layout.stored.names)
 
     def _files(self, layout: TableLayout, periods: Sequence[Mapping[str, str]]) -> set[str]:
         """Files stored for the periods: a listing of their folders, no job."""
-        found: set[str] = set()
-        for period in periods:
+        def listed(period: Mapping[str, str]) -> list[str]:
             folder = "/".join((self.location(layout), *(f"{key}={period[key]}" for key in layout.period_keys)))
             try:
-                found.update(self.spark.read.schema(layout.schema).parquet(folder).inputFiles())
+                return list(self.spark.read.schema(layout.stored).parquet(folder).inputFiles())
             except AnalysisException:  # nothing stored for this period
-                continue
-        return found
+                return []
+
+        with ThreadPoolExecutor(max_workers=LISTINGS_AT_ONCE) as pool:
+            return {file for files in pool.map(listed, periods) for file in files}
 
     def replace_period(self, layout: TableLayout, df: DataFrame, period: Mapping[str, str]) -> None:
         self.replace_periods(layout, df, [period])
@@ -96,29 +110,41 @@ class Lake:
                 raise ValueError(f"{layout.name} is replaced by {layout.period_keys}, not {tuple(period)}")
         if not periods:
             return
-        rows = select_as(df, layout.schema)
-        derived = [key for key in layout.period_keys if key not in layout.schema.names]
-        rows = rows.withColumns({key: F.date_format(layout.period_of, "yyyy-MM") for key in derived}) if derived else rows
-        rows = rows.withColumn(layout.period_keys[0], _checked_key(layout.period_keys, periods))
-        required = {f.name for f in layout.schema.fields if not f.nullable}
-        rows = rows.select(*(_or_fail(name).alias(name) if name in required else F.col(name) for name in rows.columns))
         keys = layout.partition_keys
-        rows = rows.hint("rebalance", *keys).sortWithinPartitions(*keys, *layout.sort_keys)
         before = self._files(layout, periods)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(
-            self.location(layout))
+        self._laid_out(layout, df, periods).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(self.location(layout))
         if before:
             stale = {file.rsplit("/", 1)[0] for file in before & self._files(layout, periods)}
             nothing = self.spark.createDataFrame([], StructType([f for f in layout.schema.fields if f.name not in keys]))
             for folder in sorted(stale):
                 nothing.write.mode("overwrite").parquet(folder)
 
+    def add_rows(self, layout: TableLayout, df: DataFrame, periods: Sequence[Mapping[str, str]]) -> None:
+        """Store ``df`` besides the rows of these periods: new files, no old one is touched. Twice adds them twice."""
+        self._laid_out(layout, df, periods).write.mode("append").partitionBy(*layout.partition_keys).parquet(
+            self.location(layout))
+
+    def _laid_out(self, layout: TableLayout, df: DataFrame, periods: Sequence[Mapping[str, str]]) -> DataFrame:
+        """Rows as they are stored: checked, with the keys of their folders, gathered and sorted by partition."""
+        unknown = {f.name: F.lit(None).cast(f.dataType) for f in layout.extra.fields if f.name not in df.columns}
+        rows = select_as(df.withColumns(unknown) if unknown else df, layout.stored)
+        derived = [key for key in layout.period_keys if key not in layout.schema.names]
+        rows = rows.withColumns({key: F.date_format(layout.period_of, "yyyy-MM") for key in derived}) if derived else rows
+        rows = rows.withColumn(layout.period_keys[0], _checked_key(layout.period_keys, periods))
+        required = {f.name for f in layout.schema.fields if not f.nullable}
+        rows = rows.select(*(_or_fail(name).alias(name) if name in required else F.col(name) for name in rows.columns))
+        order = [*layout.partition_keys, *ordered(layout.sort_keys)]
+        if layout.cluster_keys:
+            order.append(interleaved(*(F.col(key) for key in layout.cluster_keys)))
+        return rows.hint("rebalance", *layout.partition_keys).sortWithinPartitions(*order)
+
     def register(self, layout: TableLayout) -> None:
         """Make the stored table known to SQL, with its columns, constraints and partitions."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
         columns = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable or f.name in layout.partition_keys else ' NOT NULL'}"
-            for f in self._stored_schema(layout).fields)
+            for f in self._stored_schema(layout).fields if f.name not in layout.extra.names)
         keys = ", ".join(f"`{key}`" for key in layout.partition_keys)
         table = self.qualified(layout)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "

@@ -1,0 +1,116 @@
+"""Judging rejects again gives what a full load under the new thresholds gives."""
+
+import uuid
+from dataclasses import replace
+
+import pytest
+from helpers import plan_of
+from pyspark.sql import functions as F
+
+from fareline import fixtures
+from fareline.plans import replay
+from fareline.plans.ledger import Ledger
+from fareline.plans.monthly import backfill, load_month
+from fareline.plans.replay import ReplayRefused, loosened_reasons, replay_rejects
+from fareline.queries import STRICT
+from fareline.schemas import MART_TABLES, REJECTED_TABLE, TRIPS_TABLE
+from fareline.sources.lake import Lake
+from fareline.sources.trips import read_raw, trip_path
+from fareline.sources.zones import read_zones
+
+SF = "/root/testdata/sf0.001"
+MONTHS = fixtures.MONTHS[:2]
+ALL = [("yellow", *m) for m in MONTHS]
+
+
+@pytest.fixture(scope="module")
+def raw(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("raw"))
+    fixtures.write_month_files(spark, SF, root, MONTHS)
+    return root, read_zones(spark, fixtures.write_zone_csv(spark, SF, root))
+
+
+def loaded(spark, path, raw, limits):
+    lake = Lake(spark, str(path), f"r{uuid.uuid4().hex}")
+    ledger = Ledger(spark, f"{lake.root}/load_ledger")
+    backfill(lake, raw[0], raw[1], "yellow", MONTHS, limits=limits, min_rows=0, ledger=ledger)
+    return lake, ledger
+
+
+def stored(lake):
+    whole = {t.name: sorted(str(tuple(r)) for r in lake.read(t).collect()) for t in (TRIPS_TABLE, *MART_TABLES)}
+    return whole | {"rejects": sorted(str(tuple(r)) for r in lake.read_whole(REJECTED_TABLE).collect())}
+
+
+@pytest.mark.parametrize("new", [
+    fixtures.LIMITS, replace(STRICT, min_fare=2.5), replace(STRICT, max_distance_miles=500.0, max_duration_minutes=1440), STRICT])
+def test_replay_is_a_full_load(spark, tmp_path, raw, new):
+    lake, ledger = loaded(spark, tmp_path / "a", raw, STRICT)
+    before = lake.read(TRIPS_TABLE).count()
+    done = replay_rejects(lake, ledger, *raw, ALL, STRICT, new)
+    other, _ = loaded(spark, tmp_path / "b", raw, new)
+    assert stored(lake) == stored(other)
+    assert done.passed_rows == lake.read(TRIPS_TABLE).count() - before
+    assert (done.judged_rows > done.passed_rows > 0) == (new != STRICT)
+    # the ledger knows the months by their new thresholds
+    assert backfill(lake, *raw, "yellow", MONTHS, limits=new, min_rows=0, ledger=ledger) == []
+
+
+def test_only_rows_of_loosened_rules_are_looked_up(spark, tmp_path, raw, monkeypatch):
+    lake, ledger = loaded(spark, tmp_path, raw, STRICT)
+    asked = []
+    real = replay.rows_at
+    monkeypatch.setattr(replay, "rows_at", lambda spark, paths, addresses: asked.append((paths, addresses.count())) or real(
+        spark, paths, addresses))
+    fares = lake.read(REJECTED_TABLE).filter("reason_code = 'invalid_fare'").count()
+    done = replay_rejects(lake, ledger, *raw, ALL, STRICT, replace(STRICT, min_fare=10.0))
+    assert asked[0][1] == done.judged_rows == fares < lake.read(REJECTED_TABLE).count() + fares
+    assert all(path.rsplit("/", 1)[1].startswith("part-") for path in asked[0][0])
+
+
+def test_addresses_find_their_rows(spark, tmp_path, raw):
+    lake, _ = loaded(spark, tmp_path, raw, STRICT)
+    rejects = lake.read_whole(REJECTED_TABLE)
+    assert rejects.filter("raw_file IS NULL OR row_index IS NULL").count() == 0
+    paths = [trip_path(raw[0], *one) for one in ALL]
+    rows = replay.rows_at(spark, paths, rejects.select("raw_file", "row_index"))
+    same = ["pickup_datetime", "fare_amount", "trip_distance", "pu_location_id", "raw_file", "row_index"]
+    assert sorted(map(str, rows.select(same).collect())) == sorted(map(str, rejects.select(same).collect()))
+    plan = plan_of(rows)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    nowhere = rejects.select("raw_file", (F.col("row_index") + 10**9).alias("row_index")).limit(1)
+    with pytest.raises(Exception, match="no row 1000"):
+        replay.rows_at(spark, paths, nowhere).collect()
+
+
+def test_what_cannot_be_replayed_is_refused(spark, tmp_path, raw):
+    lake, ledger = loaded(spark, tmp_path, raw, STRICT)
+    with pytest.raises(ReplayRefused, match="invalid_fare"):
+        replay_rejects(lake, ledger, *raw, ALL, STRICT, replace(STRICT, min_fare=30.0))
+    with pytest.raises(ReplayRefused, match="not loaded"):
+        replay_rejects(lake, ledger, *raw, ALL, replace(STRICT, min_fare=19.0), fixtures.LIMITS)
+    # rejects of a load that did not know where its rows came from
+    frame = read_raw(spark, trip_path(raw[0], *ALL[0]))
+    load_month(lake, frame.select("*"), raw[1], *ALL[0], "x.parquet", STRICT)
+    with pytest.raises(ReplayRefused, match="without their place"):
+        replay_rejects(lake, ledger, *raw, ALL, STRICT, fixtures.LIMITS)
+
+
+def test_a_replay_that_dies_is_followed_by_a_load(spark, tmp_path, raw, monkeypatch):
+    lake, ledger = loaded(spark, tmp_path / "a", raw, STRICT)
+    monkeypatch.setattr(Lake, "replace_periods", lambda *_: (_ for _ in ()).throw(RuntimeError("gone")))
+    with pytest.raises(RuntimeError):
+        replay_rejects(lake, ledger, *raw, ALL, STRICT, fixtures.LIMITS)
+    monkeypatch.undo()
+    redone = backfill(lake, *raw, "yellow", MONTHS, limits=fixtures.LIMITS, min_rows=0, ledger=ledger)
+    assert len(redone) == 2
+    other, _ = loaded(spark, tmp_path / "b", raw, fixtures.LIMITS)
+    assert stored(lake) == stored(other)
+
+
+def test_which_rules_were_loosened():
+    assert loosened_reasons(STRICT, STRICT) == set()
+    assert loosened_reasons(STRICT, fixtures.LIMITS) == {
+        "invalid_fare", "invalid_duration", "suspicious_distance", "invalid_location_id"}
+    with pytest.raises(ReplayRefused):
+        loosened_reasons(STRICT, replace(STRICT, min_location_id=2, max_location_id=500))
