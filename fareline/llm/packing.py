@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import struct
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -20,9 +24,13 @@ WINDOW = 2048
 PIECE = 512
 # Windows that are balanced together; bounds what a task holds, and the last window of a group is the one left short.
 GROUP_WINDOWS = 256
-_CACHED_WORDS = 550_000
+_CACHED_WORDS = 1_000_000
+# Text whose words are told apart together.
+_CHUNK_BYTES = 1 << 24
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
 # Punctuation that, after a letter, is a token run of its own whatever comes before the letter.
-_TRAILING = b".,;:!?%$&*#"
+_TRAILING = ".,;:!?%$&*#"
+_TAIL = r"(?P<tail>[.,;:!?%$&*#]+)$"
 # Below this come letters only that lower-casing and composition treat one by one.
 _LATIN_END = "\u0250"
 
@@ -36,7 +44,7 @@ def _byte_letters() -> dict[int, str]:
 
 _LETTER_OF_BYTE = _byte_letters()
 
-PACKED = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+PACKED = "doc_id long, start long, length long, {ids}, doc_tokens long, sequence_id long, offset long"
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
@@ -95,6 +103,29 @@ def balanced(sizes: list[int], capacity: int) -> list[list[int]]:
         windows += 1
 
 
+class _Remembered:
+    """Ids of word forms: forms as a column, their ids one after the other."""
+
+    def __init__(self) -> None:
+        self.forms = pa.array([], pa.large_string())
+        self.first, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids = np.empty(0, "<u4")
+
+    def places(self, forms: pa.Array) -> np.ndarray:
+        """Where each form is, -1 for those that are not."""
+        return pc.fill_null(pc.index_in(forms, value_set=self.forms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def add(self, forms: pa.Array, ids: list[bytes]) -> None:
+        """The half that was added first is forgotten where there are too many."""
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        at = max(0, len(self.forms) - _CACHED_WORDS // 2) if len(self.forms) + len(forms) > _CACHED_WORDS else 0
+        start = int(self.first[at]) if at < len(self.first) else len(self.ids)
+        self.ids = np.concatenate([self.ids[start:], np.frombuffer(b"".join(ids), "<u4")])
+        self.forms = pa.concat_arrays([self.forms.slice(at), forms])
+        self.size = np.concatenate([self.size[at:], size])
+        self.first = np.cumsum(self.size) - self.size
+
+
 class WordTokens:
     """Token ids of texts by a lower-casing tokenizer that splits letters, punctuation and white space.
 
@@ -108,46 +139,138 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Remembered()
 
-    def _tokenized(self, words: list[bytes]) -> None:
+    def _tokenized(self, words: list[bytes]) -> list[bytes]:
         """A word of Latin letters is one run for the model; all others take the way through the whole tokenizer."""
+        out: list[bytes] = []
         others = []
+        tokenize, pack = self.model.tokenize, struct.pack
         for word in words:
-            text = word.decode("utf-8")
-            if text.isalpha() and max(text) < _LATIN_END and len(lower := text.lower()) == len(text):
-                letters = lower.encode("utf-8").decode("latin-1").translate(_LETTER_OF_BYTE)
-                ids = [token.id for token in self.model.tokenize(letters)]
-                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            if word.isalpha() and word.islower():  # ASCII letters stand for themselves
+                ids = [token.id for token in tokenize(word.decode("ascii"))]
             else:
-                others.append((word, text))
+                text = word.decode("utf-8")
+                if not (text.isalpha() and max(text) < _LATIN_END and len(lower := text.lower()) == len(text)):
+                    others.append((len(out), text))
+                    out.append(b"")
+                    continue
+                letters = lower.encode("utf-8").decode("latin-1").translate(_LETTER_OF_BYTE)
+                ids = [token.id for token in tokenize(letters)]
+            out.append(pack(f"<{len(ids)}I", *ids))
         coded = self.tokenizer.encode_batch_fast([text for _, text in others], add_special_tokens=False)
-        for (word, _), found in zip(others, coded, strict=True):
-            self.known[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+        for (at, _), found in zip(others, coded, strict=True):
+            out[at] = pack(f"<{len(found.ids)}I", *found.ids)
+        return out
 
     @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, bytes]:
-        """A form of the word with the same ids, in two parts that are encoded apart."""
-        if b"<" in word:  # the marks of special tokens are case-sensitive
-            return word, b""
-        if word.isascii():
-            word = word.lower()
-        head = word.rstrip(_TRAILING)
-        return (head, word[len(head):]) if head[-1:].isalpha() else (word, b"")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        split = [text.encode("utf-8", "replace").split() for text in texts]
-        if len(self.known) > _CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        unknown = [(w, *self._parts(w)) for w in set().union(*split).difference(known)]
-        self._tokenized(list({p for _, *parts in unknown for p in parts if p and p not in known}))
-        for word, head, tail in unknown:
-            if tail or head != word:
-                known[word] = known[head] + known[tail] if tail else known[head]
-        ids = known.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+    def _parts(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Forms of the words with the same ids, in two parts that are encoded apart.
+
+        ASCII words are lower-cased and punctuation after a letter is cut off; the marks of special tokens are case-sensitive, so
+        words with ``<`` stay as they are.
+        """
+        marked = pc.match_substring(words, "<")
+        lowered = pc.if_else(pc.and_not(pc.string_is_ascii(words), marked), pc.ascii_lower(words), words)
+        heads = pc.ascii_rtrim(lowered, characters=_TRAILING)
+        whole = pc.or_(marked, pc.invert(pc.match_substring_regex(heads, "[A-Za-z]$")))
+        tails = pc.fill_null(pc.struct_field(pc.extract_regex(lowered, _TAIL), "tail"), "")
+        return pc.if_else(whole, lowered, heads), pc.if_else(whole, pa.scalar("", pa.large_string()), tails)
+
+    def _ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of distinct words, and where those of each word begin and how many there are."""
+        heads, tails = (part.dictionary_encode() for part in self._parts(words))
+        places = []
+        for part in (heads, tails):
+            at = self.known.places(part.dictionary)
+            new = part.dictionary.filter(pa.array(at < 0))
+            if len(new):
+                self.known.add(new, self._tokenized(new.view(pa.large_binary()).to_pylist()))
+            places.append(part)
+        # Looked up again, as what was added may have moved the rest; what was forgotten by that is tokenized anew.
+        found = []
+        for part in places:
+            at = self.known.places(part.dictionary)
+            if (at < 0).any():
+                own = self._tokenized(part.dictionary.view(pa.large_binary()).to_pylist())
+                size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+                found.append((np.frombuffer(b"".join(own), "<u4"), np.cumsum(size) - size, size))
+            else:
+                found.append((self.known.ids, self.known.first[at], self.known.size[at]))
+        (ids1, first1, size1), (ids2, first2, size2) = found
+        head, tail = (part.indices.to_numpy(zero_copy_only=False) for part in places)
+        first = np.stack([first1[head], first2[tail] + len(ids1)], 1).ravel()
+        size = np.stack([size1[head], size2[tail]], 1).ravel()
+        both = np.concatenate([ids1, ids2])
+        long = size1[head] + size2[tail]
+        return both[_runs(first, size)], np.cumsum(long) - long, long
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        out: list[bytes] = []
+        held: list[bytes] = []
+        size = 0
+        for text in texts:
+            data = (text or "").encode("utf-8", "replace")
+            if len(data) > _CHUNK_BYTES:
+                out += self._encoded(held)
+                held, size = [], 0
+                out.append(b"".join(ids for cut in _chunks(data) for ids in self._encoded([cut])))
+                continue
+            held.append(data)
+            size += len(data)
+            if size > _CHUNK_BYTES:
+                out += self._encoded(held)
+                held, size = [], 0
+        return out + self._encoded(held)
+
+    def _encoded(self, texts: list[bytes]) -> list[bytes]:
+        """Words are told apart, made distinct and put back as columns; only distinct ones are Python objects."""
+        if not texts:
+            return []
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        ids, first, size = self._ids_of(words.dictionary)
+        at = words.indices.to_numpy(zero_copy_only=False)
+        picked = ids[_runs(first[at], size[at])].tobytes()
+        ends = np.r_[0, np.cumsum(size[at])]
+        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4
+        return [picked[i:j] for i, j in pairwise(bounds.tolist())]
+
+
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indexes of runs that begin at ``first`` and have ``size`` members, one run after the other."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(first - (ends - size), size)
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """Ids and texts of so many rows that their text is about what is told apart together."""
+    doc_ids: list = []
+    texts: list = []
+    size = 0
+    for batch in slices(batches):
+        doc_ids += batch.column(0).to_pylist()
+        texts += (found := batch.column(1).to_pylist())
+        size += sum(len(t) for t in found if t)
+        if size >= _CHUNK_BYTES:
+            yield doc_ids, texts
+            doc_ids, texts, size = [], [], 0
+    if doc_ids:
+        yield doc_ids, texts
+
+
+def _chunks(data: bytes) -> Iterator[bytes]:
+    """A long text in parts that end at white space, or where a word is longer than a part, after that word."""
+    at = 0
+    while at < len(data):
+        end = min(len(data), at + _CHUNK_BYTES)
+        if end < len(data):
+            m = _SPACE.search(data, end)
+            end = m.start() if m else len(data)
+        yield data[at:end]
+        at = end
 
 
 @lru_cache(maxsize=2)
@@ -158,7 +281,8 @@ def word_tokens(path: str) -> WordTokens:
 class _Packer:
     """Pieces of one task, packed a group at a time."""
 
-    def __init__(self, window: int, piece: int, group_windows: int, first_sequence: int):
+    def __init__(self, window: int, piece: int, group_windows: int, first_sequence: int, digest: bool = False):
+        self.digest = digest
         self.window, self.piece, self.room = window, piece, window * group_windows
         self.sequence = first_sequence
         self.waiting: list[tuple] = []
@@ -194,15 +318,22 @@ class _Packer:
         rows, self.ready = self.ready, []
         if not rows:
             return None
-        kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3
-        names = [part.split()[0] for part in PACKED.split(", ")]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        columns = list(zip(*rows, strict=True))
+        kinds = [pa.int64()] * 3 + [pa.int64() if self.digest else pa.binary()] + [pa.int64()] * 3
+        if self.digest:
+            columns[3] = list(map(zlib.crc32, columns[3]))
+        names = [part.split()[0] for part in packed(self.digest).split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names)
+
+
+def packed(digest: bool = False) -> str:
+    return PACKED.format(ids="ids_crc32 long" if digest else "ids binary")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WINDOW, piece: int = PIECE,
-         group_windows: int = GROUP_WINDOWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of all documents in sequences of at most ``window`` ids; ``ids`` are little-endian 32-bit numbers.
+         group_windows: int = GROUP_WINDOWS, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+    """Pieces of all documents in sequences of at most ``window`` ids; ``ids`` are little-endian 32-bit numbers, of which with
+    ``digest`` only the CRC-32 leaves the task (``ids_crc32``).
 
     A document is its ids followed by ``end_id``; null and empty texts are that id alone. Full windows of
     a document are sequences of their own. The rest is cut into near-equal pieces of at most ``piece`` ids,
@@ -217,10 +348,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
-        packer = _Packer(window, piece, group_windows, TaskContext.get().partitionId() << 33)
-        for batch in slices(batches):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), tokens.encode(texts), strict=True):
+        packer = _Packer(window, piece, group_windows, TaskContext.get().partitionId() << 33, digest)
+        for doc_ids, texts in _together(batches):
+            for doc_id, ids in zip(doc_ids, tokens.encode(texts), strict=True):
                 packer.add(doc_id, ids + end)
             if (out := packer.taken()):
                 yield out
@@ -228,4 +358,4 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
         if (out := packer.taken()):
             yield out
 
-    return texts_of(docs, id_col, text_col).mapInArrow(run, StructType.fromDDL(PACKED))
+    return texts_of(docs, id_col, text_col).mapInArrow(run, StructType.fromDDL(packed(digest)))

@@ -77,14 +77,8 @@ def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
         "found", lambda v: F.concat_ws(":", v.kind, v.start, v.end)), ",").alias("spans"))
 
 
-def op8_pieces(docs: DataFrame) -> DataFrame:
-    packed = packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
-    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
-                         "offset")
-
-
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op8_pieces(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), digest=True)
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
