@@ -26,14 +26,14 @@ def pick(df: DataFrame, *columns: tuple[str, str, str]) -> DataFrame:
     case only, contain dots or repeat a name of the result cannot make a reference ambiguous.
     """
     plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
-    chosen = []
-    for name, kind, alias in columns:
-        if name in df.columns:
-            at = df.columns.index(name)
-        else:
-            at = [c.lower() for c in df.columns].index(name.lower())
-        chosen.append(F.col(f"c{at}").cast(kind).alias(alias))
-    return plain.select(*chosen)
+    return plain.select(*(F.col(f"c{place_of(df.columns, name)}").cast(kind).alias(alias) for name, kind, alias in columns))
+
+
+def place_of(columns: list[str], name: str) -> int:
+    """Where a column stands: the one of that name, else the first that differs in case only."""
+    if name in columns:
+        return columns.index(name)
+    return [c.lower() for c in columns].index(name.lower())
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -80,14 +80,6 @@ class Saved:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that no column of ``df`` has, whatever its case."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` named by ``kept(doc_id, text_hash)``, with all their columns.
 
@@ -96,8 +88,7 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """
     columns = docs.columns
     n = len(columns)
-    at = {name: [c.lower() for c in columns].index(name) if name not in columns else columns.index(name)
-          for name in ("doc_id", "text")}
+    at = {name: place_of(columns, name) for name in ("doc_id", "text")}
     plain = docs.toDF(*(f"c{i}" for i in range(n)))
 
     def keyed(df: DataFrame, doc_id: Column, hashed: Column) -> DataFrame:

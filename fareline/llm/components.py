@@ -20,7 +20,8 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     an empty result.
     """
     saved = Saved(edges.sparkSession, label)
-    ends = edges.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL")
+    # Stored, as they are read twice and may be costly to make.
+    ends = saved(edges.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL"), "edges")
     loops = ends.filter("a = b").select(F.col("a").alias("node"))
     links = saved(ends.filter("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links0")

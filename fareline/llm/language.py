@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -12,18 +13,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareline.llm.common import map_texts, pick, slices
+from fareline.llm.common import Saved, map_texts, pick, slices
 
 UNDETERMINED = "und"
-# Bounds of the fit: documents per language on average, languages, and the words and n-grams kept.
-SAMPLE_PER_LANGUAGE = 3000
-LANGUAGES = 256
-WORDS = 100_000
-GRAMS = 100_000
+# Bound of the fit: documents per language that it learns from, on average. All their words and n-grams are kept.
+SAMPLE_PER_LANGUAGE = 1000
+# Up to so many distinct language values their shares are broadcast to the rows.
+BROADCAST_LANGUAGES = 10_000
 LONGEST_GRAM = 4
 SMOOTHING = 0.5
 _CACHED_WORDS = 200_000
-_GRAIN = 1 << 20
+_GRAIN = 1 << 40
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -37,20 +37,31 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+@dataclass(frozen=True)
+class Table:
+    """Log frequencies: a row of ``logs`` for each key, a column for each language."""
+
+    keys: dict[str, int]
+    logs: np.ndarray
+
+    def get(self, key: str) -> np.ndarray | None:
+        at = self.keys.get(key)
+        return None if at is None else self.logs[at]
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """Per-language log frequencies of words and n-grams, one row each."""
+    """Per-language log frequencies of words, and of n-grams by length."""
 
     languages: tuple[str, ...]
-    prior: np.ndarray
-    words: dict[str, np.ndarray]
-    grams: tuple[dict[str, np.ndarray], ...]
+    words: Table
+    grams: tuple[Table, ...]
 
 
 class Identifier:
     """Scores of one model with the evidence of each word remembered."""
 
-    _made: dict[int, Identifier] = {}
+    _made: dict[str, Identifier] = {}
 
     def __init__(self, model: LanguageModel):
         self.model = model
@@ -59,7 +70,8 @@ class Identifier:
         self.rows = np.zeros((1024, len(model.languages)))
 
     @classmethod
-    def of(cls, key: int, model: LanguageModel) -> Identifier:
+    def of(cls, key: str, model: LanguageModel) -> Identifier:
+        """The one of this worker for ``key``, which no other use of a model has."""
         if key not in cls._made:
             cls._made.clear()
             cls._made[key] = cls(model)
@@ -72,9 +84,9 @@ class Identifier:
             return known
         for n in range(len(self.model.grams), 0, -1):
             table = self.model.grams[n - 1]
-            found = [table[g] for g in grams(word, n) if g in table]
-            if found:
-                return np.mean(found, axis=0)
+            at = [i for g in grams(word, n) if (i := table.keys.get(g)) is not None]
+            if at:
+                return table.logs[at].mean(axis=0)
         return self.none
 
     def _row(self, word: str) -> int:
@@ -94,7 +106,7 @@ class Identifier:
             self.index.clear()
         get = self.index.get
         at = [i if (i := get(w)) is not None else self._row(w) for w in words]
-        total = self.model.prior + self.rows[at].sum(0)
+        total = self.rows[at].sum(0)
         best = int(total.argmax())
         # Words are not independent: the evidence counts as that of the square root of their number.
         scaled = (total - total[best]) / np.sqrt(len(words))
@@ -102,27 +114,29 @@ class Identifier:
 
 
 def _sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """About ``per_language`` rows of each language, drawn by a hash of the doc_id."""
-    counts = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return docs.limit(0)
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], int(
-        min(1.0, per_language / r["count"]) * _GRAIN))))
-    return docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(_GRAIN)) < share[F.col("lang")])
+    """About ``per_language`` rows of each language, drawn by a hash of doc_id and text."""
+    counts = docs.groupBy(F.col("lang").alias("same")).count()
+    shares = Saved(docs.sparkSession, "languages")(counts.select("same", F.least(
+        F.lit(1.0), per_language / F.col("count")).alias("share")), "shares")
+    if shares.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES:
+        shares = F.broadcast(shares)
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(_GRAIN)) < F.col("share") * F.lit(_GRAIN)
+    return docs.join(shares, F.col("lang") == F.col("same")).filter(drawn).select(docs.columns)
 
 
 def fit(docs: DataFrame, usable: Column | None = None, per_language: int = SAMPLE_PER_LANGUAGE,
         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Count words and n-grams of a bounded sample of rows with a language.
+    """Count words and n-grams of about ``per_language`` rows of every language, whole texts.
 
-    ``usable`` is a condition on ``doc_id``. Counting is distributed; what reaches the driver are at most ``WORDS`` words and
-    ``GRAMS`` n-grams with a count per language. Ties among equally frequent ones are decided by the text.
+    ``usable`` is a condition on ``doc_id``. Counting is distributed and done once; what reaches the driver are the counts of the sample's
+    distinct words and n-grams. No language, word or n-gram is left out. Equal rows are drawn or not together.
     Without usable rows the model has no language and finds every text undetermined.
     """
     rows = pick(docs, (id_col, "long", "doc_id"), (text_col, "string", "text"), (lang_col, "string", "lang"))
     known = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
     if usable is not None:
         known = known.filter(usable)
+    saved = Saved(docs.sparkSession, "language")
     sample = _sample(known, per_language)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,8 +148,8 @@ def fit(docs: DataFrame, usable: Column | None = None, per_language: int = SAMPL
             yield pa.RecordBatch.from_pydict({
                 "lang": [k[0] for k in found], "word": [k[1] for k in found], "n": pa.array(found.values(), pa.int64())})
 
-    counted = sample.select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy(
-        "lang", "word").agg(F.sum("n").alias("n"))
+    counted = saved(sample.select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy(
+        "lang", "word").agg(F.sum("n").alias("n")), "words")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, 4096):
@@ -148,25 +162,27 @@ def fit(docs: DataFrame, usable: Column | None = None, per_language: int = SAMPL
                 "lang": [k[0] for k in found], "gram": [k[1] for k in found],
                 "size": pa.array([k[2] for k in found], pa.int32()), "n": pa.array(found.values(), pa.int64())})
 
-    spelled = counted.mapInArrow(spell, "lang string, gram string, size int, n long")
-
-    def most(df: DataFrame, keys: list[str], bound: int) -> list:
-        by = F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")  # at most one entry per language
-        summed = df.groupBy("lang", *keys).agg(F.sum("n").alias("n"))
-        return summed.groupBy(*keys).agg(F.sum("n").alias("all"), by).orderBy(
-            F.desc("all"), *keys).limit(bound).collect()
-
-    top_words, top_grams = most(counted, ["word"], WORDS), most(spelled, ["gram", "size"], GRAMS)
-    languages = tuple(sorted({lang for r in top_words for lang in r.by} | {lang for r in top_grams for lang in r.by}))
-
-    def logs(found: list, name: str) -> dict[str, np.ndarray]:
-        if not found:
-            return {}
-        n = np.array([[r.by.get(lang, 0) for lang in languages] for r in found], float) + SMOOTHING
-        return dict(zip((r[name] for r in found), np.log(n / n.sum(0)), strict=True))
-
-    tables = tuple(logs([r for r in top_grams if r["size"] == size], "gram") for size in range(1, LONGEST_GRAM + 1))
-    return LanguageModel(languages, np.zeros(len(languages)), logs(top_words, "word"), tables)
+    spelled = saved(counted.mapInArrow(spell, "lang string, gram string, size int, n long").groupBy(
+        "lang", "gram", "size").agg(F.sum("n").alias("n")), "grams")
+    languages = tuple(sorted(r.lang for r in counted.select("lang").distinct().collect()))
+    return LanguageModel(languages, _table(counted.select("lang", "word", "n"), languages), tuple(
+        _table(spelled.filter(F.col("size") == size).select("lang", "gram", "n"), languages)
+        for size in range(1, LONGEST_GRAM + 1)))
+
+
+def _table(counts: DataFrame, languages: tuple[str, ...]) -> Table:
+    """Log frequencies out of ``counts`` of language, key and number."""
+    columns = counts.toArrow()
+    names, told, n = (columns.column(i).combine_chunks() for i in (0, 1, 2))
+    distinct = told.dictionary_encode()
+    keys = distinct.dictionary.to_pylist()
+    table = np.full((len(keys), len(languages)), SMOOTHING)
+    place = {lang: i for i, lang in enumerate(languages)}
+    by_name = names.dictionary_encode()
+    column = np.array([place[lang] for lang in by_name.dictionary.to_pylist()], np.int64)
+    if len(keys):
+        table[distinct.indices.to_numpy(), column[by_name.indices.to_numpy()]] += n.to_numpy()
+    return Table({key: i for i, key in enumerate(keys)}, np.log(table / table.sum(0)) if len(keys) else table)
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,7 +193,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     Repeated rows come out alike, null doc_ids stay null, an empty table gives an empty result. One pass, no shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    key = id(model)
+    key = uuid.uuid4().hex
 
     def each(ids: list, texts: list) -> dict:
         model_here = Identifier.of(key, shared.value)
