@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from fareline.llm.common import map_texts
 
 ROUNDS = 10
+# Characters that are permuted as one number.
+LONGEST_BLOCK = 256
 
 
 class Permutation:
@@ -27,7 +29,8 @@ class Permutation:
         self.half = max(1, -(-(size - 1).bit_length() // 2))
         self.mask = (1 << self.half) - 1
         self.width = -(-self.half // 8)
-        self.seeded = hashlib.blake2b(f"{tweak}:{size}".encode(), key=hashlib.sha256(key).digest())
+        told = size.to_bytes(-(-size.bit_length() // 8), "big")
+        self.seeded = hashlib.blake2b(tweak.encode() + b":" + told, key=hashlib.sha256(key).digest())
 
     def _round(self, i: int, x: int) -> int:
         h = self.seeded.copy()
@@ -97,7 +100,13 @@ def _iban(found: str, turn) -> str | None:
 
 
 def _mixed(tweak: str, text: str, turn) -> str:
-    """Digits stay digits and letters letters of their case; other characters stay as they are."""
+    """Digits stay digits and letters letters of their case; other characters stay as they are.
+
+    A long text is permuted in blocks, each by its place and shape, so no number grows with the text.
+    """
+    if len(text) > LONGEST_BLOCK:
+        blocks = (text[at:at + LONGEST_BLOCK] for at in range(0, len(text), LONGEST_BLOCK))
+        return "".join(_mixed(f"{tweak}:{i}:{len(text)}", block, turn) for i, block in enumerate(blocks))
     sets = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
     kinds = [next((s for s in sets if c in s), None) for c in text]
     size, value = 1, 0
