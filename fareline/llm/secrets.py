@@ -5,12 +5,13 @@ from __future__ import annotations
 import binascii
 import bz2
 import hashlib
-import io
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from fareline.llm.common import map_texts
+from fareline.llm.common import map_texts, place_of
 
 # --- fixed values: the kinds in their order, their patterns and least lengths ---
 KINDS = ("assign", "access", "hex")
@@ -28,8 +29,14 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 # ---------------------------------------------------------------------------------
-# A compressed layer is opened up to this many bytes, so that a bomb cannot take the worker's memory.
-LARGEST_LAYER = 1 << 26
+# Compressed bytes are read so many decompressed bytes at a time, so that a bomb cannot take the worker's memory, and
+# each part of a text is searched with so many bytes of the one before it.
+PART_BYTES = 1 << 20
+OVERLAP_BYTES = 1 << 16
+# A guard against bombs that never end: decompressed bytes that one layer may have.
+LARGEST_LAYER = 1 << 34
+# Largest window of zstandard data: what its decompressor holds.
+WINDOW_BYTES = 1 << 27
 MASK = "[SECRET]"
 
 _KEYWORD = re.compile(r"(?i)passw|secret|token|api_?key", re.ASCII)
@@ -49,6 +56,9 @@ _MAGIC = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]|\x28\xb5\x2f\xfd|BZh|\xfd
 _CLEAN = re.compile(
     rb"(?:[\x09-\x0d\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
     rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}")
+_WIDE_LOW = re.compile(rb"(?:[\x09-\x0d\x20-\x7e\xa0-\xff]\x00){12,}")
+_WIDE_HIGH = re.compile(rb"(?:\x00[\x09-\x0d\x20-\x7e\xa0-\xff]){12,}")
+_BREAK = re.compile(rb"[\x09-\x0d\x20]")
 _LINE, _PART = re.compile(r"[^\r\n]{16,}"), re.compile(r"[A-Za-z0-9+]{16,}")
 _FROM_URL_SAFE = str.maketrans("-_", "+/")
 
@@ -69,74 +79,183 @@ def base_spans(text: str) -> list[Span]:
 
 @dataclass(frozen=True)
 class Layer:
-    """A decoded text with, for each character, the range of the document it comes from (None: itself)."""
+    """A decoded text with the range of the document each character comes from.
+
+    That is the character's own place, or the same ``whole`` for all, or one range for each in ``starts`` and ``ends``.
+    """
 
     text: str
     starts: np.ndarray | None = None
     ends: np.ndarray | None = None
+    whole: tuple[int, int] | None = None
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
+        if self.whole is not None:
+            return self.whole
         if self.starts is None:
             return start, end
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
 
-def _opened_part(data: bytes | memoryview) -> tuple[bytes, int] | None:
-    """The content of compressed bytes, known by how they begin, and how many of them it took; None for others and
-    for broken ones."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            unpack = zlib.decompressobj(31)
-        elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            unpack = zlib.decompressobj()
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            source = io.BytesIO(data)
-            with zstandard.ZstdDecompressor(max_window_size=LARGEST_LAYER).stream_reader(source, read_size=1) as reader:
-                return reader.read(LARGEST_LAYER), source.tell()
-        elif data[:3] == b"BZh":
-            unpack = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            unpack = lzma.LZMADecompressor()
-        else:
-            return None
-        return unpack.decompress(data, LARGEST_LAYER), len(data) - len(unpack.unused_data)
-    except (zlib.error, zstandard.ZstdError, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
+_BROKEN = (zlib.error, zstandard.ZstdError, OSError, lzma.LZMAError, EOFError, ValueError)
 
 
-def _opened(data: bytes) -> bytes | None:
-    part = _opened_part(data)
-    return None if part is None else part[0]
+class _Source:
+    """Bytes that come in parts, read as a file; what was read too much can be put back."""
 
+    def __init__(self, parts: Iterable[bytes | memoryview]):
+        self.parts, self.held, self.taken = iter(parts), b"", 0
 
-def _as_text(data: bytes) -> str | None:
-    """Bytes as text if they are UTF-8 without control characters other than white space."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else text
+    def read(self, size: int = -1) -> bytes:
+        while not len(self.held):
+            part = next(self.parts, None)
+            if part is None:
+                return b""
+            self.held = bytes(part[:PART_BYTES]) if len(part) <= PART_BYTES else self._cut(part)
+        got, self.held = (self.held, b"") if size < 0 else (self.held[:size], self.held[size:])
+        self.taken += len(got)
+        return got
 
+    def _cut(self, part: bytes | memoryview) -> bytes:
+        view = memoryview(part)
+        self.parts = chain((view[at:at + PART_BYTES] for at in range(PART_BYTES, len(view), PART_BYTES)), self.parts)
+        return bytes(view[:PART_BYTES])
 
-def _bytes_layer(data: bytes, starts: np.ndarray, ends: np.ndarray) -> Layer | None:
-    """A layer of bytes that come each from a range; what compressed bytes hold comes from the whole of them."""
-    inner = data
-    squeezed = False
-    while (opened := _opened(inner)) is not None and opened != inner:
-        inner, squeezed = opened, True
-    text = _as_text(inner)
-    if not text:
-        return None
-    if squeezed:
-        n = len(text)
-        return Layer(text, np.full(n, starts.min()), np.full(n, ends.max()))
-    if len(text) < len(inner):
-        lead = np.flatnonzero((np.frombuffer(inner, np.uint8) & 0xC0) != 0x80)
-        return Layer(text, starts[lead], ends[np.r_[lead[1:], len(inner)] - 1])
-    return Layer(text, starts, ends)
+    def back(self, data: bytes) -> None:
+        self.held = data + self.held
+        self.taken -= len(data)
+
+    def head(self) -> bytes:
+        """The next eight bytes, which stay."""
+        got = self.read(8)
+        while len(got) < 8 and (more := self.read(8 - len(got))):
+            got += more
+        self.back(got)
+        return got
+
+
+def _unpacker(head: bytes):
+    """What opens compressed bytes that begin like these; None for others."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return zlib.decompressobj()
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor(max_window_size=WINDOW_BYTES)
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _parts_of(source: _Source) -> Iterator[bytes]:
+    """The content of compressed bytes in parts of at most ``PART_BYTES``, through all members or frames that follow each other.
+
+    Of broken bytes what is readable is given. ``source.taken`` is how many bytes it took.
+    """
+    total = 0
+    while (unpack := _unpacker(source.head())) is not None and total < LARGEST_LAYER:
+        before = source.taken
+        try:
+            for part in _zstandard(unpack, source) if isinstance(unpack, zstandard.ZstdDecompressor) else _stream(unpack, source):
+                total += len(part)
+                yield part
+                if total >= LARGEST_LAYER:
+                    break
+        except _BROKEN:
+            return
+        if source.taken == before:
+            return
+
+
+def _stream(unpack, source: _Source) -> Iterator[bytes]:
+    """Of zlib's, bzip2's and xz's decompressors, which tell differently what they still have to read."""
+    rest = b""
+    while not unpack.eof:
+        if not rest and getattr(unpack, "needs_input", True):
+            rest = source.read()
+            if not rest:
+                return
+        part = unpack.decompress(rest, PART_BYTES)
+        rest = getattr(unpack, "unconsumed_tail", b"")
+        if part:
+            yield part
+    source.back(unpack.unused_data)
+
+
+def _zstandard(unpack, source: _Source) -> Iterator[bytes]:
+    """One byte is read at a time, so that no byte behind the frame is taken."""
+    with unpack.stream_reader(source, read_size=1, closefd=False) as reader:
+        while (part := reader.read(PART_BYTES)):
+            yield part
+            if len(part) < PART_BYTES:  # the frame's last; asking once more would take a byte behind it
+                return
+
+
+def _clean_texts(data: bytes) -> Iterator[tuple[int, int, str]]:
+    """Stretches of text in bytes: of UTF-8 (in which ASCII is) without control characters, and of UTF-16 in Latin letters
+    of either byte order. Other bytes, such as Latin-1 letters or a mark at the start, end a stretch."""
+    for m in _CLEAN.finditer(data):
+        yield *m.span(), m[0].decode("utf-8")
+    if b"\x00" in data:
+        for pattern, order in ((_WIDE_LOW, "utf-16-le"), (_WIDE_HIGH, "utf-16-be")):
+            for m in pattern.finditer(data):
+                yield *m.span(), m[0].decode(order)
+
+
+def _held_in(parts: Callable[[], Iterable[bytes | memoryview]], whole: tuple[int, int]) -> Iterator[Layer]:
+    """Texts in what compressed bytes hold, and in compressed bytes therein; all come from the range ``whole``.
+
+    ``parts`` gives the compressed bytes, anew at each call. Decompressed bytes are searched a part at a time, together with the end
+    of the part before; compressed ones among them are followed as far as they go, by reading up to their start once more where
+    they reach beyond the part.
+    """
+    def rest(skip: int) -> Iterator[bytes]:
+        for part in _parts_of(_Source(parts())):
+            if skip < len(part):
+                yield part[skip:]
+            skip = max(0, skip - len(part))
+
+    held, before = b"", 0
+    for part in _parts_of(_Source(parts())):
+        data = held + part
+        start = before - len(held)
+        for _, _, text in _clean_texts(data):
+            yield Layer(text, whole=whole)
+        for m in _MAGIC.finditer(data):
+            if m.end() > len(held):  # else it was found in the part before
+                inner = data[m.start():]
+                yield from _held_in(partial(_followed, inner, partial(rest, start + len(data))), whole)
+        before += len(part)
+        held = data[-OVERLAP_BYTES:]
+        if len(data) > OVERLAP_BYTES and (space := _BREAK.search(held)):  # begin with a word
+            held = held[space.end():]
+
+
+def _followed(first: bytes, rest: Callable[[], Iterator[bytes]]) -> Iterator[bytes]:
+    """The second is made only if the first is used up."""
+    yield first
+    yield from rest()
+
+
+def _compressed_in(data: bytes, starts: np.ndarray, ends: np.ndarray) -> Iterator[Layer]:
+    """What compressed bytes hold that begin anywhere in ``data``."""
+    for m in _MAGIC.finditer(data):
+        at = m.start()
+        source = _Source([memoryview(data)[at:]])
+        if not any(map(len, _parts_of(source))):
+            continue
+        for _ in _parts_of(measure := _Source([memoryview(data)[at:]])):
+            pass
+        stop = at + max(1, measure.taken)
+        whole = int(starts[at:stop].min()), int(ends[at:stop].max())
+        yield from _held_in(partial(iter, (memoryview(data)[at:stop],)), whole)
 
 
 def _ranges(layer: Layer, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    if layer.whole is not None:
+        return np.full(end - start, layer.whole[0]), np.full(end - start, layer.whole[1])
     if layer.starts is None:
         at = np.arange(start, end)
         return at, at + 1
@@ -162,14 +281,27 @@ def _whole(layer: Layer, begin: int, end: int, n: int) -> tuple[np.ndarray, np.n
     return np.full(n, s), np.full(n, e)
 
 
-def _compressed_in(data: bytes, starts: np.ndarray, ends: np.ndarray) -> Iterator[Layer]:
-    """What compressed bytes hold that begin anywhere in ``data``."""
-    for m in _MAGIC.finditer(data):
-        at = m.start()
-        if (part := _opened_part(memoryview(data)[at:])) is not None:
-            stop = at + part[1]
-            if (inner := _bytes_layer(data[at:stop], starts[at:stop], ends[at:stop])):
-                yield inner
+def _bytes_layer(data: bytes, starts: np.ndarray, ends: np.ndarray) -> Iterator[Layer]:
+    """Texts in bytes that come each from a range."""
+    for begin, end, text in _clean_texts(data):
+        s, e = starts[begin:end], ends[begin:end]
+        if len(text) == end - begin:
+            yield Layer(text, s, e)
+            continue
+        if data[begin:end].count(0) * 2 >= end - begin:  # two bytes a character
+            lead = np.arange(0, end - begin, 2)
+        else:
+            lead = np.flatnonzero((np.frombuffer(data[begin:end], np.uint8) & 0xC0) != 0x80)
+        yield Layer(text, s[lead], e[np.r_[lead[1:], end - begin] - 1])
+
+
+def _as_text(data: bytes) -> str | None:
+    """Bytes as text if they are UTF-8 without control characters other than white space."""
+    try:
+        text = data.decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+    return None if re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else text
 
 
 def _quoted_layers(layer: Layer, escape: re.Pattern) -> Iterator[Layer]:
@@ -208,11 +340,13 @@ def _url_layers(layer: Layer) -> Iterator[Layer]:
         data = binascii.unhexlify(m[0].replace("%", ""))
         s, e = _ranges(layer, m.start(), m.end())
         starts, ends = np.minimum.reduceat(s, np.arange(0, len(s), 3)), np.maximum.reduceat(e, np.arange(0, len(e), 3))
-        if _opened(data) is not None:
-            if (inner := _bytes_layer(data, starts, ends)):
-                yield inner
-        elif (inner := _bytes_layer(data, starts, ends)):
-            found.append((m.start(), m.end(), inner.text, inner.starts, inner.ends))
+        if (text := _as_text(data)) is not None:
+            if len(text) < len(data):
+                lead = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+                starts, ends = starts[lead], ends[np.r_[lead[1:], len(data)] - 1]
+            found.append((m.start(), m.end(), text, starts, ends))
+        else:
+            yield from _bytes_layer(data, starts, ends)
     if found:
         yield _rewritten(layer, found)
 
@@ -277,18 +411,15 @@ def _decoded(layer: Layer, begin: int, run: str, skip: int) -> Iterator[Layer]:
         data = binascii.a2b_base64(digits[:usable] + "=" * (-usable % 4))
     except binascii.Error:
         return
-    texts, magic = list(_CLEAN.finditer(data)), _MAGIC.search(data)
-    if not texts and not magic:
+    magic = _MAGIC.search(data)
+    if not magic and _CLEAN.search(data) is None and (b"\x00" not in data or not (_WIDE_LOW.search(data) or _WIDE_HIGH.search(data))):
         return
     s, e = _ranges(layer, begin, begin + len(run))
     s, e = (s[at], e[at]) if at else (s[skip:], e[skip:])
     k = np.arange(len(data))
     first, last = k * 4 // 3, np.minimum(((k + 1) * 4 + 2) // 3, len(digits)) - 1
     starts, ends = np.minimum(s[first], s[last]), np.maximum(e[first], e[last])
-    for part in texts:
-        span = slice(*part.span())
-        if (inner := _bytes_layer(data[span], starts[span], ends[span])):
-            yield inner
+    yield from _bytes_layer(data, starts, ends)
     if magic:
         yield from _compressed_in(data, starts, ends)
 
@@ -297,26 +428,31 @@ def all_spans(text: str, base: list[Span] | None = None) -> list[Span]:
     """Base spans and those of every layer below, as ranges of the document.
 
     A worklist unwraps percent escapes, character escapes, base64 and compressed bytes of each layer until none
-    gives a new one. A layer is known by its content and range, so a text that decodes to itself, or a
-    loop of them, ends.
+    gives a new one, the last layer found first, so that only one layer of each depth is held. A layer is known by its content and
+    range, so a text that decodes to itself, or a loop of them, ends.
     """
     found = set(base_spans(text) if base is None else base)
-    work, seen = [Layer(text)], {(hashlib.sha256(text.encode("utf-8", "replace")).digest(), 0, len(text))}
+    seen = {(hashlib.sha256(text.encode("utf-8", "replace")).digest(), 0, len(text))}
+
+    def below(layer: Layer) -> Iterator[Layer]:
+        return chain.from_iterable(unwrap(layer) for unwrap in (_url_layers, _unicode_layers, _base64_layers))
+
+    work = [below(Layer(text))]
     while work:
-        layer = work.pop()
-        for unwrap in (_url_layers, _unicode_layers, _base64_layers):
-            for inner in unwrap(layer):
-                if not inner.text:
-                    continue
-                key = (hashlib.sha256(inner.text.encode("utf-8", "replace")).digest(),
-                       *inner.origin(0, len(inner.text)))
-                if key in seen:
-                    continue
-                seen.add(key)
-                work.append(inner)
-                for start, kind, end in base_spans(inner.text):
-                    begin, stop = inner.origin(start, end)
-                    found.add((begin, kind, stop))
+        inner = next(work[-1], None)
+        if inner is None:
+            work.pop()
+            continue
+        if not inner.text:
+            continue
+        key = (hashlib.sha256(inner.text.encode("utf-8", "replace")).digest(), *inner.origin(0, len(inner.text)))
+        if key in seen:
+            continue
+        seen.add(key)
+        for start, kind, end in base_spans(inner.text):
+            begin, stop = inner.origin(start, end)
+            found.add((begin, kind, stop))
+        work.append(below(inner))
     return sorted(found)
 
 
@@ -356,7 +492,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """The documents with all spans masked, all columns kept; the length column, if there, follows the text.
 
-    Texts without spans stay as they are, null stays null.
+    Texts without spans stay as they are, null stays null; repeated rows come out alike, an empty table gives an empty result. The
+    text and length columns may differ in case.
     """
     @F.pandas_udf(StringType())
     def cleaned(texts: pd.Series) -> pd.Series:
@@ -364,11 +501,11 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None
                          dtype="object")
 
     columns = docs.columns
-    at = columns.index(text_col)
+    at = place_of(columns, text_col)
     out = docs.toDF(*(f"c{i}" for i in range(len(columns)))).withColumn(f"c{at}", cleaned(F.col(f"c{at}").cast("string")))
-    if length_col in columns:
-        i = columns.index(length_col)
-        kind = docs.schema[length_col].dataType
+    if length_col is not None and length_col.lower() in (c.lower() for c in columns):
+        i = place_of(columns, length_col)
+        kind = docs.schema.fields[i].dataType
         out = out.withColumn(f"c{i}", F.when(F.col(f"c{at}").contains(MASK), F.length(f"c{at}").cast(kind)).otherwise(
             F.col(f"c{i}")))
     return out.toDF(*columns)

@@ -4,7 +4,10 @@ import gzip
 import hashlib
 import lzma
 import random
+import os
 import re
+import subprocess
+import sys
 import urllib.parse
 import zlib
 
@@ -15,6 +18,7 @@ from frames import SF, awkward, documents, groups, read
 from fareline.llm import secrets
 from fareline.llm.queries import LLM_QUERIES
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SECRET = 'password = "hunter2secret9"'
 
 
@@ -93,10 +97,13 @@ def test_a_layer_that_holds_itself_ends(monkeypatch):
     assert secrets.all_spans("loop text") == []
 
 
-def test_bombs_are_opened_up_to_a_bound(monkeypatch):
-    monkeypatch.setattr(secrets, "LARGEST_LAYER", 1 << 16)
-    bomb = base64.b64encode(gzip.compress(SECRET.encode() + b" " * (1 << 22))).decode()
+def test_bombs_are_opened_a_part_at_a_time(monkeypatch):
+    monkeypatch.setattr(secrets, "PART_BYTES", 1 << 16)
+    bomb = base64.b64encode(gzip.compress(SECRET.encode() + b" " * (1 << 22) + SECRET.encode())).decode()
     assert secrets.all_spans(bomb)
+    monkeypatch.setattr(secrets, "LARGEST_LAYER", 1 << 17)
+    late = base64.b64encode(gzip.compress(b" " * (1 << 22) + SECRET.encode())).decode()
+    assert secrets.all_spans(late) == []
     broken = base64.b64encode(gzip.compress(b"x" * 500)[:40]).decode()
     assert secrets.all_spans(broken) == []
 
@@ -155,3 +162,62 @@ def test_compressed_bytes_as_urls_and_programs_write_them(pack, write, data):
     hidden = [s for s in secrets.all_spans(text) if s[1] == 0]
     assert hidden and all(4 <= start < stop <= 4 + len(payload) for start, stop in {(a, b) for a, _, b in hidden})
     assert secrets.masked(text, secrets.all_spans(text)).endswith(" and more words")
+
+
+BINARY = {
+    "bytes at the start": b"\xff\x00 x password=hunter2secret y", "a control character": b"\x01\x02password=hunter2secret",
+    "latin-1": "café password=hunter2secret".encode("latin-1"), "utf-16": "password=hunter2secret".encode("utf-16"),
+    "utf-16 big end first": "x password=hunter2secret".encode("utf-16-be"), "in other bytes": bytes(range(256)) * 9 + b" token: abcdefgh\x00"}
+
+
+@pytest.mark.parametrize("name", list(BINARY))
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, zstandard.compress, bz2.compress, lzma.compress,
+                                  lambda data: gzip.compress(zstandard.compress(data))])
+def test_texts_among_other_bytes_are_found(name, pack):
+    payload = base64.b64encode(pack(BINARY[name])).decode()
+    text = f"say <{payload}> and more"
+    hidden = [s for s in secrets.all_spans(text) if s[1] == 0]
+    assert hidden and all(5 <= start < stop <= 5 + len(payload) for start, _, stop in hidden)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zstandard.compress, bz2.compress, lzma.compress])
+def test_all_members_are_read(pack):
+    payload = base64.b64encode(pack(b"nothing here, only words") + pack(b"words and " + SECRET.encode())).decode()
+    assert [s for s in secrets.all_spans(payload) if s[1] == 0]
+    cut = base64.b64encode(pack(b"words " + SECRET.encode()) + pack(bytes(5000))[:9]).decode()
+    assert [s for s in secrets.all_spans(cut) if s[1] == 0]
+
+
+@pytest.mark.parametrize("at", [0, 1 << 20, (1 << 20) - 13, (3 << 20) + 5])
+def test_secrets_on_the_edge_of_parts(at):
+    data = (b"word " * (1 << 20))[:at] + b" " + SECRET.encode() + b" more" * (1 << 18)
+    text = base64.b64encode(gzip.compress(data)).decode()
+    assert [s for s in secrets.all_spans(text) if s[1] == 0]
+
+
+def test_compressed_bytes_amid_decompressed_ones_go_on_beyond_their_part():
+    rng = random.Random(1)
+    inner = gzip.compress(bytes(rng.randrange(256) for _ in range(1_500_000)) + b" " + SECRET.encode())
+    text = base64.b64encode(zlib.compress(b"a file name\n" + b"pad " * 200_000 + inner + b" tail")).decode()
+    assert [s for s in secrets.all_spans(text) if s[1] == 0]
+
+
+def test_a_layer_of_a_hundred_megabytes_in_little_memory():
+    code = """
+import base64, gzip, resource, sys
+from fareline.llm import secrets
+data = gzip.compress(b"some words in a line\\n" * 5_000_000 + b"password = hunter2secret9")
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = secrets.all_spans("x " + base64.b64encode(data).decode())
+assert found and found[0][1] == 0
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    made = subprocess.run([sys.executable, "-c", code.replace('b"some words in a line\\\\n"', 'b"some words in a line\\n"')],
+                          cwd=ROOT, check=True, capture_output=True, text=True)
+    assert int(made.stdout) < 300
+
+
+def test_columns_in_another_case(spark):
+    docs = documents(spark, f"say {SECRET} twice").withColumnsRenamed({"text": "TEXT", "n_chars": "N_Chars"})
+    masked = secrets.mask_secrets(docs).first()
+    assert masked.TEXT == 'say [SECRET]" twice' and masked.N_Chars == len(masked.TEXT)
