@@ -20,8 +20,28 @@ def _path(url: str) -> str:
 
 
 def _node(url: str) -> str:
-    rest = f"regexp_extract({_after_scheme(url)}, '^[^/?#]*([^#]*)', 1)"
-    return f"CASE WHEN {_host(url)} <> '' THEN {_host(url)} || CASE WHEN {rest} = '' THEN '/' ELSE {rest} END END"
+    """Host, path without dot segments, and query; the path is written again segment by segment, as a text."""
+    query = f"regexp_extract({_after_scheme(url)}, '^[^?#]*(\\?[^#]*)', 1)"
+    steps = f"list_concat([''], string_split({_path(url)}, '/')[2:])"
+    walked = (f"list_reduce({steps}, lambda done, s: CASE s WHEN '..' THEN regexp_replace(done, '/[^/]*$', '') WHEN '.' THEN done "
+              "ELSE done || '/' || s END)")
+    folder = f"CASE WHEN regexp_matches({_path(url)}, '/\\.\\.?$') OR {walked} = '' THEN '/' ELSE '' END"
+    return f"CASE WHEN {_host(url)} <> '' THEN {_host(url)} || {walked} || {folder} || {query} END"
+
+
+def _resolved(target: str, base: str) -> str:
+    """A target against the url it stands in."""
+    rooted = f"CASE WHEN {_path(base)} = '' THEN '/' ELSE {_path(base)} END"
+    origin = f"regexp_extract({base}, '^(.*?://[^/?#]*)', 1)"
+    return f"""CASE WHEN regexp_matches({target}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {target}
+    WHEN starts_with({target}, '//') THEN regexp_extract({base}, '^(.*?:)//', 1) || {target}
+    WHEN starts_with({target}, '/') THEN {origin} || {target}
+    WHEN starts_with({target}, '?') THEN {origin} || {rooted} || {target}
+    WHEN starts_with({target}, '#') THEN {base}
+    ELSE {origin} || regexp_extract({rooted}, '^(.*/)', 1) || {target} END"""
+
+
+_HREF = """(?i)\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)"""
 
 
 def _ruled(host: str, path: str, what: str) -> str:
@@ -35,26 +55,23 @@ def _ruled(host: str, path: str, what: str) -> str:
 
 _URLS = f"""WITH RECURSIVE parsed AS (
   SELECT page_id, url, html, {_host("url")} AS host, {_path("url")} AS path, {_node("url")} AS node,
-         regexp_extract(url, '^(.*?)://', 1) AS scheme
+         replace(coalesce(list_filter(list_transform(regexp_extract_all(html, '(?i)<base\\b[^>]*>'),
+           lambda tag: regexp_extract(tag, '{_HREF}', 1)), lambda h: h <> '')[1], ''), '&amp;', '&') AS told
   FROM pages
 ), tags AS (
   SELECT *, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*>')) AS tag FROM parsed
 ), links AS (
   SELECT *, replace(CASE
     WHEN regexp_matches(tag, '(?i)^<link') AND regexp_matches(tag, '(?i)\\brel\\s*=\\s*["'']?\\s*canonical\\b')
-      THEN regexp_extract(tag, '(?i)\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1)
+      THEN regexp_extract(tag, '{_HREF}', 1)
     WHEN regexp_matches(tag, '(?i)^<meta') AND regexp_matches(tag, '(?i)\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b')
       THEN regexp_extract(tag, '(?i);\\s*url\\s*=\\s*[''"]?\\s*([^"''\\s>]+)', 1)
     ELSE '' END, '&amp;', '&') AS target
   FROM tags
+), based AS (
+  SELECT node, target, CASE WHEN told = '' THEN url ELSE {_resolved("told", "url")} END AS base FROM links WHERE target <> ''
 ), goals AS (
-  SELECT node, CASE
-    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
-    WHEN starts_with(target, '//') THEN scheme || ':' || target
-    WHEN starts_with(target, '/') THEN scheme || '://' || host || target
-    ELSE scheme || '://' || host || CASE WHEN regexp_extract(path, '^(.*/)', 1) = '' THEN '/'
-      ELSE regexp_extract(path, '^(.*/)', 1) END || target END AS goal
-  FROM links WHERE target <> ''
+  SELECT node, {_resolved("target", "base")} AS goal FROM based
 ), edges AS (
   SELECT node AS a, {_node("goal")} AS b FROM goals
 ), both_ways AS (
@@ -75,8 +92,8 @@ _NEAREST = """WITH whole AS (
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+  SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_inner_product(q.v, c.v) AS BIGINT)) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY q.vec_id, c.vec_id
 ), ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )

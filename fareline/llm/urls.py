@@ -58,21 +58,48 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return chosen
 
 
+def without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments, the latter with the segment before them; none leads above the root."""
+    segments = F.split(path, "/")
+    kept = F.aggregate(F.slice(segments, 2, F.size(segments)), F.array().cast("array<string>"), lambda done, s: (
+        F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(s == ".", done).otherwise(F.concat(done, F.array(s)))))
+    joined = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    # A path that ends in a dot segment names a folder.
+    folder = F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0)
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.when(folder, F.concat(joined, F.lit("/"))).otherwise(joined)).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """The url as a graph node: host and the rest without scheme and fragment; null if it has no host."""
-    rest = F.regexp_extract(after_scheme(url), r"^[^/?#]*([^#]*)", 1)
-    host = host_of(url)
-    return F.when(host != "", F.concat(host, F.when(rest == "", F.lit("/")).otherwise(rest)))
+    """The url as a graph node: host, path without dot segments, and query; null if it has no host."""
+    query = F.regexp_extract(after_scheme(url), r"^[^?#]*(\?[^#]*)", 1)
+    host, path = host_of(url), path_of(url)
+    whole = F.when(path == "", F.lit("/")).otherwise(without_dots(path))
+    return F.when(host != "", F.concat(host, whole, query))
 
 
-def absolute(target: Column, scheme: Column, host: Column, path: Column) -> Column:
-    """A link target as an absolute url: as it is with a scheme, or relative to the page's scheme, host or folder."""
+def absolute(target: Column, base: Column) -> Column:
+    """A link target as an absolute url, as RFC 3986 resolves it against ``base`` but for dot segments, which nodes are without.
+
+    One with a scheme stays; others keep the base's scheme, then its host, its path, and its query, as far as they begin further on.
+    """
+    scheme, host, path = F.regexp_extract(base, r"^(.*?)://", 1), F.regexp_extract(after_scheme(base), r"^([^/?#]*)", 1), path_of(base)
     origin = F.concat(scheme, F.lit("://"), host)
-    folder = F.regexp_extract(path, r"^(.*/)", 1)
-    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+    rooted = F.when(path == "", F.lit("/")).otherwise(path)
+    folder = F.regexp_extract(rooted, r"^(.*/)", 1)
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), target)
             .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
             .when(target.startswith("/"), F.concat(origin, target))
-            .otherwise(F.concat(origin, F.when(folder == "", F.lit("/")).otherwise(folder), target)))
+            .when(target.startswith("?"), F.concat(origin, rooted, target))
+            .when(target.startswith("#"), base)
+            .otherwise(F.concat(origin, folder, target)))
+
+
+def base_of(html: Column) -> Column:
+    """What the first ``base`` element of a page with an href says; empty without one."""
+    tags = F.regexp_extract_all(html, F.lit(r"(?i)(<base\b[^>]*>)"), F.lit(1))
+    hrefs = F.transform(tags, lambda tag: F.regexp_extract(tag, r"(?i)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)", 1))
+    return F.coalesce(F.get(F.filter(hrefs, lambda to: to != ""), F.lit(0)), F.lit(""))
 
 
 def targets_of(html: Column) -> Column:
@@ -88,17 +115,16 @@ def targets_of(html: Column) -> Column:
 
 
 def equivalences(links: DataFrame) -> DataFrame:
-    """Edges ``(a, b)`` between the nodes of ``links(url, target)``; null where either has no host."""
-    url = F.col("url")
-    parts = bound(links, scheme=F.regexp_extract(url, r"^(.*?)://", 1), host=host_of(url), path=path_of(url),
-                  a=node_of(url))
-    goal = bound(parts, goal=absolute(F.col("target"), F.col("scheme"), F.col("host"), F.col("path")))
+    """Edges ``(a, b)`` between the nodes of ``links(url, target, base)``; null where either has no host."""
+    url, base = F.col("url"), F.regexp_replace("base", "&amp;", "&")
+    from_page = bound(links, a=node_of(url), base_url=F.when(base == "", url).otherwise(absolute(base, url)))
+    goal = bound(from_page, goal=absolute(F.col("target"), F.col("base_url")))
     return goal.select("a", node_of(F.col("goal")).alias("b"))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     rows = pages.filter(F.col("html").rlike(r"(?i)canonical|http-equiv"))
-    return rows.select("url", F.explode(targets_of(F.col("html"))).alias("target"))
+    return rows.select("url", F.explode(targets_of(F.col("html"))).alias("target"), base_of(F.col("html")).alias("base"))
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None = None) -> DataFrame:
@@ -106,7 +132,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None =
 
     A page's own longest rule decides. Without one, the page is blocked if any url equivalent to it, over
     canonical links, refresh redirects and the optional ``redirects(source, target)`` urls, is blocked by
-    a rule, and allowed otherwise: a block spreads to aliases, an explicit allow holds for its own urls and never
+    a rule, and allowed otherwise. Targets are resolved as RFC 3986 does, against the page's ``base`` element if it has one. A block spreads to aliases, an explicit allow holds for its own urls and never
     spreads. Null and unparsable urls have empty host and path, match nothing and are allowed; null html
     has no links; repeated rows are judged alike; an empty table gives an empty result.
 
@@ -116,7 +142,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None =
     rows = pick(pages, ("page_id", "long", "page_id"), ("url", "string", "url"), ("html", "string", "html"))
     links = page_links(rows)
     if redirects is not None:
-        links = links.unionByName(pick(redirects, ("source", "string", "url"), ("target", "string", "target")))
+        told = pick(redirects, ("source", "string", "url"), ("target", "string", "target"))
+        links = links.unionByName(told.withColumn("base", F.lit("")))
     edges = equivalences(links)
     groups = Saved(pages.sparkSession, "aliases")(connected_components(edges, "aliases"), "groups")
     host, path = (F.regexp_extract("node", r"^([^/?#]*)([^?]*)", i) for i in (1, 2))

@@ -30,9 +30,11 @@ def test_url_sql_on_pages_with_links(spark):
 
     rows = []
     for i in range(120):
-        to = rng.choice([url(), "/en/1", "k2", "//" + rng.choice(hosts) + "/fr/3", "../up", "http://e.io/?a=1&amp;b=2"])
+        to = rng.choice([url(), "/en/1", "k2", "//" + rng.choice(hosts) + "/fr/3", "../up", "http://e.io/?a=1&amp;b=2", "?x=1", "#top",
+                         "./1", "../de/2", "../../../z", "a/./b/../../2", "..", "mailto:a@b.c", "/en/../de/2"])
         html = rng.choice([None, "<p>canonical</p>", f'<link rel="canonical" href="{to}">',
-                           f"<META http-equiv='refresh' content='0; url={to}'>"])
+                           f"<META http-equiv='refresh' content='0; url={to}'>",
+                           f'<base target=x><base href="{rng.choice([url(), "/de/x", "sub/", "?q"])}"><link rel="canonical" href="{to}">'])
         rows.append((i, rng.choice([url(), url(), url(), None, "bad"]), html))
     found = urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), URL_RULES).drop("component")
     con = duckdb.connect()

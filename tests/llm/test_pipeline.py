@@ -10,6 +10,7 @@ from frames import SF, awkward, documents, read
 import __spark_entry__ as entry_point
 from fareline.llm import quality, secrets, simhash
 from fareline.llm.queries import LLM_QUERIES, quality_model
+from fareline.sources import scratch
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -61,6 +62,19 @@ def test_stages_over_awkward_rows_and_an_empty_table(spark):
         docs.collect()
 
 
+def test_scratch_tables_of_stages_are_deleted(spark):
+    """Of a run only the input of its last stage stays."""
+    made = []
+    scratch._scopes.append(made)
+    try:
+        packed = corpus_pipeline.run(spark, SF)
+    finally:
+        scratch._scopes.remove(made)
+    left = [path for path in (m.removeprefix("file://") for m in made) if os.path.isdir(path)]
+    assert len(made) > 5 and len(left) == 1 and os.listdir(left[0]) == ["secret_scan"]
+    assert packed.count() > 0
+
+
 def test_registration():
     queries = entry_point.queries()
     assert {name.split("_")[0] for name in LLM_QUERIES} == {f"op{n}" for n in range(1, 14)}
@@ -75,3 +89,5 @@ def test_the_rest_does_without_the_text_operators():
             "assert not [n for n in e.queries() if n.startswith('op') and n[2].isdigit()] and 'pipeline' not in e.queries()\n"
             "assert not [m for m in sys.modules if m.startswith('fareline.llm')]")
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+    missing = code.split("\n", 1)[0].replace("corpus_pipeline", "xxhash") + "\n" + "\n".join(code.split("\n")[1:3])
+    subprocess.run([sys.executable, "-c", missing], cwd=ROOT, check=True)

@@ -46,6 +46,32 @@ def test_rules(spark):
         "block", "block", "allow"]
 
 
+def test_targets_are_resolved_like_a_browser_does(spark):
+    """A page is blocked if what its link means is a blocked page, however it is written."""
+    rules = (urls.Rule("block", "x.com", "/z"), urls.Rule("block", "x.com", "/p?v=2"), urls.Rule("block", "y.com", "/a/b"))
+    blocked = [("http://x.com/a/b", "../z"), ("http://x.com/a/b/c", "../../z"), ("http://x.com/a", "./z"), ("http://x.com/a", "../../../z"),
+               ("http://x.com/k/", "http://y.com/q/../a/./b"), ("http://x.com", "z")]
+    allowed = [("http://x.com/a/b", "z"), ("http://x.com/a/b", "./../a/z"), ("http://x.com/a", "#z"), ("http://x.com/a", "mailto:z@x.com"),
+               ("http://x.com/a", "?z")]
+    df = pages(spark, *((u, canonical(t)) for u, t in blocked + allowed))
+    assert verdicts(df, rules) == ["block"] * len(blocked) + ["allow"] * len(allowed)
+    # a query alone stays on the page's path, and is another page than the path without it
+    alias = pages(spark, ("http://w.com/p?a=1", canonical("?v=2")), ("http://w.com/p?v=2", canonical("http://x.com/z")),
+                  ("http://w.com/p", None))
+    assert verdicts(alias, rules) == ["block", "block", "allow"]
+    based = pages(spark, ("http://w.com/p", '<base href="http://x.com/q/"><link rel=canonical href="../z">'),
+                  ("http://x.com/q/r/s", '<BASE href="../"><link rel=canonical href="../z">'),
+                  ("http://w.com/p", '<base target=_top><link rel=canonical href="z">'))
+    assert verdicts(based, rules) == ["block", "block", "allow"]
+
+
+def test_paths_without_dots(spark):
+    cases = {"/a/b/c/./../../g": "/a/g", "/..": "/", "/../../x": "/x", "/a/.": "/a/", "/a/b/..": "/a/", "/a/...": "/a/...", "": "",
+             "/a//../b": "/a/b", "/.": "/", "/a/./b/": "/a/b/"}
+    df = spark.createDataFrame([(c,) for c in cases], "p string")
+    assert [r[0] for r in df.select(urls.without_dots(F.col("p"))).collect()] == list(cases.values())
+
+
 def test_blocks_follow_links_and_allows_do_not_spread(spark):
     df = pages(
         spark,
