@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fareline.llm import dedup, packing, quality, secrets, simhash
 from fareline.llm.common import Saved
 from fareline.llm.queries import quality_model, tokenizer_file
+from fareline.sources.scratch import delete_folder, released
 
 
 def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +48,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each stage's result written to the shared folder and read again."""
+    """The stages over ``documents``, each stage's result written to the shared folder and read again.
+
+    What a stage wrote on its way is deleted when its result is stored, and the result when the next one's is.
+    """
     saved = Saved(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name)
+        with released(spark):
+            docs = saved(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            delete_folder(spark, f"{saved.root}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
