@@ -16,6 +16,8 @@ SCALE = 1024
 LISTS = 2
 BLOCK_BYTES = 8 << 20
 PACK_QUERIES = 128
+# Blocks, of the longest vectors, that give the cutoffs.
+FIRST_BLOCKS = 2
 _LOWEST = -(1 << 62)
 
 
@@ -53,8 +55,15 @@ def _thinned(ids: np.ndarray, rows: np.ndarray, keep: int) -> np.ndarray:
     return order[by_kind[nth < keep]]
 
 
-def _packs(dims: int, rows: int | None, keep: int | None) -> Callable:
-    """Arrow function over ``(place, vec_id, v)`` in order of place: a row for each place, or ``rows`` vectors of it.
+def list_norms(data: np.ndarray, lists: int) -> np.ndarray:
+    """Euclidean norms of the vectors' parts by list, a little above the true ones."""
+    parts = np.array_split(np.arange(data.shape[1]), lists)
+    return np.stack([np.sqrt((data[:, p].astype(np.float64) ** 2).sum(1)) for p in parts], 1) * (1 + 1e-9)
+
+
+def _packs(dims: int, rows: int | None, keep: int | None, lists: int) -> Callable:
+    """Arrow function over ``(place, vec_id, v)`` in order of place: a row for each place, or ``rows`` vectors of it,
+    with the largest norm of their parts in each list.
 
     With ``keep``, only so many ids of each distinct vector stay.
     """
@@ -62,7 +71,8 @@ def _packs(dims: int, rows: int | None, keep: int | None) -> Callable:
     def packed(place: int, nth: int, ids: np.ndarray, data: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({
             "place": pa.array([place], pa.int64()), "nth": pa.array([nth], pa.int64()),
-            "ids": pa.array([ids], pa.list_(pa.int64())), "data": pa.array([data.tobytes()], pa.binary())})
+            "ids": pa.array([ids], pa.list_(pa.int64())), "data": pa.array([data.tobytes()], pa.binary()),
+            "norms": pa.array([list_norms(data, lists).max(0)], pa.list_(pa.float64()))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, nth, ids, data = None, 0, np.empty(0, np.int64), np.empty((0, dims), np.int64)
@@ -90,7 +100,8 @@ def _packs(dims: int, rows: int | None, keep: int | None) -> Callable:
     return run
 
 
-_PACK = "place long, nth long, ids array<long>, data binary"
+_PACK = "place long, nth long, ids array<long>, data binary, norms array<double>"
+_CUTOFFS = "array<struct<query_id:long,cutoff:long>>"
 
 
 def _partials(queries: np.ndarray, block: np.ndarray, lists: int) -> list[np.ndarray]:
@@ -147,41 +158,57 @@ def _early(dims: int, keep: int) -> Callable:
     return run
 
 
-def _meet(blocks: DataFrame, packs: DataFrame, cutoffs: DataFrame | None, places: int, dims: int, lists: int, k: int,
-          phase: Callable) -> DataFrame:
-    """``phase`` for every block of vectors and pack of queries: ``query_id, vec_id, score``.
+def _told(packs: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """The packs with the cutoffs of their queries and the least of them, null where a query has none."""
+    listed = packs.select("place", "nth", F.explode("ids").alias("query_id"))
+    told = listed.join(cutoffs, "query_id", "left").groupBy("place", "nth").agg(
+        F.collect_list(F.when(F.col("cutoff").isNotNull(), F.struct("query_id", "cutoff"))).alias("cutoffs"),  # of one pack
+        F.min("cutoff").alias("least"), F.count_if(F.col("cutoff").isNull()).alias("without"))
+    return packs.join(told, ["place", "nth"]).withColumn("least", F.when(F.col("without") == 0, F.col("least")))
+
+
+def reached_blocks(packs: DataFrame, blocks: DataFrame, places: int) -> DataFrame:
+    """``(place, pack_place, pack_nth)``: which block each pack has to meet.
+
+    A score is at most the sum over the lists of the product of two norms. A block in which that is below the cutoffs of all queries of a
+    pack holds none of their best. Blocks and packs are compared as their norms here; vectors move for the pairs that are left.
+    """
+    asked = packs.select(F.col("place").alias("pack_place"), F.col("nth").alias("pack_nth"), "norms", "least", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.lit(places - 1).cast("long"))).alias("place"))
+    met = asked.join(blocks.select("place", F.col("norms").alias("block_norms")), "place")
+    most = F.aggregate(F.zip_with("norms", "block_norms", lambda a, b: a * b), F.lit(0.0), lambda done, x: done + x)
+    return met.filter(F.col("least").isNull() | (most + 1 >= F.col("least"))).select("place", "pack_place", "pack_nth")
+
+
+def _meet(blocks: DataFrame, asked: DataFrame, dims: int, lists: int, k: int, phase: Callable) -> DataFrame:
+    """``phase`` for every block of vectors and the packs ``asked`` of it: ``query_id, vec_id, score``.
 
-    A pack is sent to the place of every block and follows the block in its partition, so a task holds one block
+    A pack follows the block in its partition, so a task holds one block
     and one pack at a time. Cutoffs travel with their pack; a query without one has fewer than k candidates.
     """
-    if cutoffs is None:
-        asked = packs.select(F.col("place").alias("pack_place"), F.col("nth").alias("pack_nth"), "ids", "data",
-                             F.lit(None).cast("array<struct<query_id:long,cutoff:long>>").alias("cutoffs"))
-    else:
-        listed = packs.select("place", "nth", F.explode("ids").alias("query_id"))
-        told = listed.join(cutoffs, "query_id").groupBy("place", "nth").agg(
-            F.collect_list(F.struct("query_id", "cutoff")).alias("cutoffs"))  # of one pack at most
-        asked = packs.join(told, ["place", "nth"], "left").select(
-            F.col("place").alias("pack_place"), F.col("nth").alias("pack_nth"), "ids", "data", "cutoffs")
-    sent = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(places - 1).cast("long"))).alias("place"),
-                        "pack_place", "pack_nth", "ids", "data", "cutoffs")
+    sent = asked.select("place", "pack_place", "pack_nth", "ids", "data", "cutoffs")
     waiting = blocks.select("place", F.lit(-1).cast("long").alias("pack_place"),
                             F.lit(-1).cast("long").alias("pack_nth"), "ids", "data",
-                            F.lit(None).cast("array<struct<query_id:long,cutoff:long>>").alias("cutoffs"))
+                            F.lit(None).cast(_CUTOFFS).alias("cutoffs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = ids = block = None
+        place = ids = block = norms = None
         for batch in batches:
             for row in range(batch.num_rows):
                 own = batch.column(3)[row].values.to_numpy()
                 data = np.frombuffer(batch.column(4)[row].as_py(), np.int64).reshape(len(own), dims)
                 if batch.column(1)[row].as_py() == -1:
                     place, ids, block = batch.column(0)[row].as_py(), own, data
+                    norms = list_norms(block, lists).max(0)
                     continue
                 if place != batch.column(0)[row].as_py():
                     continue  # no vector fell to this place
-                known = {c["query_id"]: c["cutoff"] for c in batch.column(5)[row].as_py() or ()}
+                known = {c["query_id"]: c["cutoff"] for c in batch.column(5)[row].as_py() or () if c is not None}
                 limits = np.array([known.get(q, _LOWEST) for q in own.tolist()], np.int64)
+                live = (list_norms(data, lists) * norms).sum(1) + 1 >= limits  # the others have no best here
+                if not live.any():
+                    continue
+                own, data, limits = own[live], data[live], limits[live]
                 rows = phase(k, ids, limits, own, _partials(data, block, lists))
                 if rows:
                     columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
@@ -201,9 +228,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, lists: int = LIST
     without vec_id, take no part; shorter vectors count as padded with zeros. Without queries or
     candidates the result is empty.
 
-    The dimensions are dealt to ``lists`` lists. First every block of vectors resolves the heads of its local
-    lists, which gives each query k true totals and so a safe cutoff, the k-th of them; then the cutoff goes out with the
-    queries, blocks collect the entries at cutoff / lists or above in any list, and resolve those exactly. Blocks and packs of
+    The dimensions are dealt to ``lists`` lists, and vectors to blocks by their norm, the longest first. First the blocks of the
+    longest vectors resolve the heads of their local lists, which gives each query k true totals and so a safe cutoff, the k-th of them; then
+    the cutoff goes out with the queries, to those blocks only whose norms can reach it; these collect the entries at cutoff / lists
+    or above in any list, and resolve those exactly. Blocks and packs of
     queries have a bounded size in bytes. Of identical vectors only the k + 1 smallest ids enter a
     block, because no other can be among a query's best.
     """
@@ -216,21 +244,31 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, lists: int = LIST
     # Thinned before the shuffle as well, so that a vector a third of the rows share sends k + 1 ids per batch.
     thin = whole.select("vec_id", "v").mapInArrow(
         _early(dims, k + 1), "vec_id long, v array<long>")
-    placed = thin.select(F.pmod(F.xxhash64("v"), F.lit(places)).alias("place"), "vec_id", "v")
-    blocks = saved(placed.repartition("place").sortWithinPartitions("place").mapInArrow(
-        _packs(dims, None, k + 1), _PACK), "blocks")
+    norm = F.aggregate("v", F.lit(0.0), lambda done, x: done + x * x)
+    ranged = thin.withColumn("norm", norm).repartitionByRange(places, F.desc("norm"), F.xxhash64("v"))
+    # A range is a block; equal vectors have equal norms and hashes and are in one.
+    placed = ranged.select(F.spark_partition_id().cast("long").alias("place"), "vec_id", "v")
+    blocks = saved(placed.mapInArrow(_packs(dims, None, k + 1, lists), _PACK), "blocks")
+    places = (blocks.agg(F.max("place")).first()[0] or 0) + 1
     asked = whole.filter(is_query)
     many = asked.select("vec_id", "v").withColumn("place", F.pmod(F.xxhash64("vec_id"), F.lit(
         max(1, -(-n // (100 * PACK_QUERIES))))))
-    packs = saved(many.select("place", "vec_id", "v").repartition("place").sortWithinPartitions("place").mapInArrow(
-        _packs(dims, PACK_QUERIES, None), _PACK), "packs")
-
-    heads = _meet(blocks, packs, None, places, dims, lists, k, _first_phase)
+    # Queries of like norms share a pack, and so have cutoffs that are alike.
+    near = many.withColumn("norm", norm).repartition("place").sortWithinPartitions("place", "norm")
+    packs = saved(near.select("place", "vec_id", "v").mapInArrow(
+        _packs(dims, PACK_QUERIES, None, lists), _PACK), "packs")
+
+    pack = packs.withColumnsRenamed({"place": "pack_place", "nth": "pack_nth"}).drop("norms")
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(min(places, FIRST_BLOCKS) - 1).cast("long")))
+    heads = _meet(blocks, pack.withColumns({"place": first, "cutoffs": F.lit(None).cast(_CUTOFFS)}), dims, lists, k, _first_phase)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"))
     heads = heads.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     cutoffs = heads.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") == k).select(
         "query_id", F.col("score").alias("cutoff"))
-    found = _meet(blocks, packs, saved(cutoffs, "cutoffs"), places, dims, lists, k, _other_phases)
+    told = saved(_told(packs, saved(cutoffs, "cutoffs")), "told")
+    pairs = reached_blocks(told, blocks, places)
+    limited = told.select(F.col("place").alias("pack_place"), F.col("nth").alias("pack_nth"), "ids", "data", "cutoffs")
+    found = _meet(blocks, pairs.join(limited, ["pack_place", "pack_nth"]), dims, lists, k, _other_phases)
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(

@@ -65,3 +65,29 @@ def test_large_components_stay_exact(spark):
     rows = [(0, [1e6, 1e6 + 1]), (1, [1e6, 1e6 + 3]), (2, [1e6, 1e6 + 2])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert told(topk.nearest(frame, F.col("vec_id") == 0)) == plain(rows, lambda i: i == 0)
+
+
+def test_blocks_that_cannot_reach_a_cutoff_are_skipped(spark, monkeypatch):
+    """Vectors of very different lengths: most pairs of pack and block are never sent, and the result is that of all."""
+    rng = np.random.default_rng(4)
+    long = rng.normal(size=(4000, 8)) * np.exp(rng.normal(0, 2.5, 4000))[:, None]
+    rows = [(i, [float(x) for x in v], i) for i, v in enumerate(long)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")
+    kept = []
+    real = topk.reached_blocks
+
+    def counting(packs, blocks, places):
+        pairs = real(packs, blocks, places)
+        kept.append((pairs.count(), packs.count() * blocks.count()))
+        return pairs
+
+    monkeypatch.setattr(topk, "reached_blocks", counting)
+    monkeypatch.setattr(topk, "PACK_QUERIES", 4)
+    found = topk.nearest(vectors, F.col("vec_id") % 100 == 0, k=5, block_bytes=1 << 13).collect()
+    whole = np.floor(long * 1024).astype(np.int64)
+    scores = whole[::100] @ whole.T
+    for q in range(40):
+        order = sorted((-int(s), i) for i, s in enumerate(scores[q]) if i != 100 * q)[:5]
+        assert [(-r.score, r.vec_id) for r in sorted(found, key=lambda r: r.rank) if r.query_id == 100 * q] == order
+    sent, possible = kept[0]
+    assert possible > 20 and sent < 0.6 * possible
