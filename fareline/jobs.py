@@ -15,6 +15,7 @@ from fareline.operators.profile import (
 )
 from fareline.operators.reconcile import reconcile
 from fareline.operators.zones import orphan_locations
+from fareline.plans.ledger import Ledger
 from fareline.plans.monthly import MIN_ROWS_PER_MONTH, backfill, load_month, run_month
 from fareline.session import build_session
 from fareline.sources.lake import Lake
@@ -46,6 +47,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
             command.add_argument("--min-rows", type=int, default=MIN_ROWS_PER_MONTH)
         if name == "backfill":
             command.add_argument("--months", type=int, required=True, help="number of months from the first")
+            command.add_argument("--resume", action="store_true", help="skip months the lake's ledger has as done")
     return parser.parse_args(argv)
 
 
@@ -81,7 +83,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         first = args.year * 12 + args.month - 1
         months = [(n // 12, n % 12 + 1) for n in range(first, first + args.months)]
-        loaded = backfill(lake, args.raw_root, zones, args.service_type, months, min_rows=args.min_rows, **options)
+        ledger = Ledger(spark, f"{args.lake.rstrip('/')}/load_ledger") if args.resume else None
+        loaded = backfill(lake, args.raw_root, zones, args.service_type, months, min_rows=args.min_rows, ledger=ledger, **options)
     for counts in loaded:
         log.info("%s", counts)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from fareline.fixtures import LIMITS, MONTH, SOURCE_FILE, YEAR
 from fareline.functions.rules import Thresholds
 from fareline.operators.profile import DURATION_PROBABILITIES, VALUE_PROBABILITIES
-from fareline.queries import MIN_ROWS, UNREACHED_ROWS
+from fareline.queries import MIN_ROWS, REASONS, UNREACHED_ROWS
 
 
 def _trips_cte(name: str, source: str, keep: str = "") -> str:
@@ -474,6 +474,14 @@ SELECT service_type, ingestion_date AS month, 'valid' AS outcome, count(*) AS ro
 FROM valid GROUP BY ALL
 UNION ALL SELECT service_type, ingestion_date, reason_code, count(*), CAST(sum(passenger_count) AS BIGINT) FROM rejected GROUP BY ALL""",
     "schema_timeline": TIMELINE,
+    "stored_facts": f"""WITH {MONTHLY}, {ENRICHED}
+SELECT service_type, pickup_date, pu_zone, count(*) AS trips, max(trip_duration_minutes) AS longest, max(tip_percentage) AS highest_tip
+FROM enriched WHERE ingestion_date = DATE '{YEAR}-0{MONTH}-01' AND pu_borough = 'ASIA' GROUP BY ALL""",
+    "described_reasons": f"""WITH {RECONCILED}, {_rejected('reject')}, counted AS ({REASON_COUNTS}), described AS (
+  SELECT * FROM (VALUES {", ".join(f"({i}, '{code}', '{text}')" for i, (code, text) in enumerate(REASONS, 1))})
+  AS d(priority, reason_code, description))
+SELECT CAST(priority AS INTEGER) AS priority, reason_code, description, coalesce(rejected_count, 0) AS rejected_count
+FROM described LEFT JOIN counted USING (reason_code)""",
     "lasting_views": f"""WITH {MONTHLY}, {ENRICHED}
 SELECT service_type, pickup_month, time_of_day, count(*) AS trips, max(trip_duration_minutes) AS longest,
        max(tip_percentage) AS highest_tip, max(revenue_per_mile) AS highest_revenue

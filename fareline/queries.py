@@ -22,7 +22,9 @@ from fareline.plans.monthly import (
 )
 from fareline.plans.replay import replay_rejects as replay
 from fareline.plans.states import revenue_by_period
-from fareline.schemas import HOURLY_TABLE, REJECTED_TABLE, REVENUE_STATE_TABLE, REVENUE_TABLE, SKETCH_TABLE, TRIPS_TABLE
+from fareline.schemas import (
+    FACT_TABLE, HOURLY_TABLE, REJECTED_TABLE, REVENUE_STATE_TABLE, REVENUE_TABLE, SKETCH_TABLE, TRIPS_TABLE,
+)
 from fareline.sources.lake import Lake
 from fareline.sources.scratch import new_scratch_dir
 from fareline.sources.timeline import schema_timeline as timeline
@@ -276,6 +278,11 @@ def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.states().join(stored, ["service_type", "period"]).select("service_type", "period", "runs", "done", "trips")
 
 
+REASONS = (
+    (R.NULL_DATETIME, "no pickup or drop-off time"), (R.WRONG_PERIOD, "picked up in another month"),
+    (R.INVALID_FARE, "fare below the least"), (R.INVALID_DURATION, "not longer than nothing or longer than a day"),
+    (R.SUSPICIOUS_DISTANCE, "negative or very long distance"), (R.INVALID_LOCATION_ID, "unknown location"),
+    ("not_a_reason", "no row has it"))
 STRICT = R.Thresholds(min_fare=20.0, max_distance_miles=6.0, max_duration_minutes=120, max_location_id=24)
 
 
@@ -314,6 +321,26 @@ def lasting_views(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM `{lake.database}`.`int_trips_enriched` GROUP BY ALL""")
 
 
+def stored_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored fact table, partitioned by day and clustered: one month's rows of one borough, by day and zone."""
+    root, zones = _month_files(spark, sf_dir, fixtures.MONTHS[:1])
+    lake = _new_lake(spark, "facts")
+    backfill(lake, root, zones, SERVICES, fixtures.MONTHS[:1], limits=LIMITS, min_rows=0)
+    facts = lake.read(FACT_TABLE, *(trips_period(service, *fixtures.MONTHS[0]) for service in SERVICES))
+    return facts.filter(F.col("pu_borough") == "ASIA").groupBy("service_type", "pickup_date", "pu_zone").agg(
+        F.count(F.lit(1)).alias("trips"), F.max("trip_duration_minutes").alias("longest"),
+        F.max("tip_percentage").alias("highest_tip"))
+
+
+def described_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows given in memory, a description of each reason code in its order, with the rejects that carry it, none included."""
+    described = spark.createDataFrame(
+        [(i, code, text) for i, (code, text) in enumerate(REASONS, 1)], "priority int, reason_code string, description string")
+    counted = reason_codes(R.REJECT, spark, sf_dir)
+    return described.join(counted, "reason_code", "left").select(
+        "priority", "reason_code", "description", F.coalesce("rejected_count", F.lit(0)).alias("rejected_count"))
+
+
 def threshold_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.threshold_curve(reconciled(spark, sf_dir), fixtures.YEAR, fixtures.MONTH, LIMITS)
 
@@ -384,4 +411,6 @@ QUERIES: dict[str, Query] = {
     "replay_rejects": replay_rejects,
     "schema_timeline": schema_timeline,
     "lasting_views": lasting_views,
+    "stored_facts": stored_facts,
+    "described_reasons": described_reasons,
 }

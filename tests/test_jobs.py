@@ -34,6 +34,14 @@ def test_conform_and_backfill(spark, tmp_path, files):
     assert lake.read(REJECTED_TABLE).filter("reason_code IS NULL").count() == 0
 
 
+def test_backfill_resumes(spark, tmp_path, files, caplog):
+    target = ["--lake", str(tmp_path / "lake"), "--database", f"j{uuid.uuid4().hex}", "--min-rows", "1", "--resume"]
+    jobs.main(["backfill", *files, *target, "--months", "1"])
+    with caplog.at_level(logging.INFO, logger="fareline"):
+        jobs.main(["backfill", *files, *target, "--months", "2"])
+    assert "period='2024-02'" in caplog.text and "period='2024-01'" not in caplog.text
+
+
 def test_profile(spark, files, caplog):
     with caplog.at_level(logging.INFO, logger="fareline"):
         jobs.main(["profile", *files])
