@@ -24,9 +24,9 @@ WINDOW = 2048
 PIECE = 512
 # Windows that are balanced together; bounds what a task holds, and the last window of a group is the one left short.
 GROUP_WINDOWS = 256
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 800_000
 # Text whose words are told apart together.
-_CHUNK_BYTES = 1 << 24
+_CHUNK_BYTES = 1 << 23
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 # Punctuation that, after a letter, is a token run of its own whatever comes before the letter.
 _TRAILING = ".,;:!?%$&*#"
@@ -115,8 +115,8 @@ class _Remembered:
         """Where each form is, -1 for those that are not."""
         return pc.fill_null(pc.index_in(forms, value_set=self.forms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def add(self, forms: pa.Array, ids: list[bytes]) -> None:
-        """The half that was added first is forgotten where there are too many."""
+    def add(self, forms: pa.Array, ids: list[bytes]) -> int:
+        """How many places the others moved up: the half that was added first is forgotten where there are too many."""
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         at = max(0, len(self.forms) - _CACHED_WORDS // 2) if len(self.forms) + len(forms) > _CACHED_WORDS else 0
         start = int(self.first[at]) if at < len(self.first) else len(self.ids)
@@ -124,6 +124,7 @@ class _Remembered:
         self.forms = pa.concat_arrays([self.forms.slice(at), forms])
         self.size = np.concatenate([self.size[at:], size])
         self.first = np.cumsum(self.size) - self.size
+        return at
 
 
 class WordTokens:
@@ -139,7 +140,7 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known = _Remembered()
+        self.known, self.tails = _Remembered(), _Remembered()
 
     def _tokenized(self, words: list[bytes]) -> list[bytes]:
         """A word of Latin letters is one run for the model; all others take the way through the whole tokenizer."""
@@ -179,32 +180,31 @@ class WordTokens:
 
     def _ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids of distinct words, and where those of each word begin and how many there are."""
-        heads, tails = (part.dictionary_encode() for part in self._parts(words))
-        places = []
-        for part in (heads, tails):
-            at = self.known.places(part.dictionary)
-            new = part.dictionary.filter(pa.array(at < 0))
-            if len(new):
-                self.known.add(new, self._tokenized(new.view(pa.large_binary()).to_pylist()))
-            places.append(part)
-        # Looked up again, as what was added may have moved the rest; what was forgotten by that is tokenized anew.
-        found = []
-        for part in places:
-            at = self.known.places(part.dictionary)
-            if (at < 0).any():
-                own = self._tokenized(part.dictionary.view(pa.large_binary()).to_pylist())
-                size = np.fromiter(map(len, own), np.int64, len(own)) // 4
-                found.append((np.frombuffer(b"".join(own), "<u4"), np.cumsum(size) - size, size))
-            else:
-                found.append((self.known.ids, self.known.first[at], self.known.size[at]))
-        (ids1, first1, size1), (ids2, first2, size2) = found
-        head, tail = (part.indices.to_numpy(zero_copy_only=False) for part in places)
+        parts = [part.dictionary_encode() for part in self._parts(words)]
+        (ids1, first1, size1), (ids2, first2, size2) = (
+            self._found(known, part.dictionary) for known, part in zip((self.known, self.tails), parts, strict=True))
+        head, tail = (part.indices.to_numpy(zero_copy_only=False) for part in parts)
         first = np.stack([first1[head], first2[tail] + len(ids1)], 1).ravel()
         size = np.stack([size1[head], size2[tail]], 1).ravel()
         both = np.concatenate([ids1, ids2])
         long = size1[head] + size2[tail]
         return both[_runs(first, size)], np.cumsum(long) - long, long
 
+    def _found(self, known: _Remembered, forms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All remembered ids, and where those of each form begin and how many there are; new forms are tokenized."""
+        at = known.places(forms)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            end = len(known.forms)
+            moved = known.add(forms.take(pa.array(new)), self._tokenized(forms.take(pa.array(new)).view(pa.large_binary()).to_pylist()))
+            at[new] = end + np.arange(len(new))
+            at -= moved
+            if (at < 0).any():  # some that were known are forgotten by that
+                own = self._tokenized(forms.view(pa.large_binary()).to_pylist())
+                size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+                return np.frombuffer(b"".join(own), "<u4"), np.cumsum(size) - size, size
+        return known.ids, known.first[at], known.size[at]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         out: list[bytes] = []
@@ -357,5 +357,6 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
         packer.close()
         if (out := packer.taken()):
             yield out
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return texts_of(docs, id_col, text_col).mapInArrow(run, StructType.fromDDL(packed(digest)))
