@@ -384,13 +384,14 @@ def repair(conversations: DataFrame, block: int = BLOCK) -> Repair:
         F.sum("cost").alias("cost"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "nth", "edits"))), lambda e: e.edits), "").alias(
             "audit"))
-    reports = rows.select("conv_id").distinct()
+    # Every conversation, also one without rows, and what is known of it, added up in one grouping.
+    together = rows.select("conv_id").distinct()
     for found in (counted, illegal, told):
-        reports = _with(reports, found)
-    zero = {c: F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")) for c in (
+        together = together.unionByName(found, allowMissingColumns=True)
+    zero = {c: F.coalesce(F.sum(c).cast("long"), F.lit(0).cast("long")).alias(c) for c in (
         "gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
-    return Repair(rows, reports.withColumns({**zero, "audit": F.coalesce("audit", F.lit(""))}).select(
-        "conv_id", *zero, "audit"), edits)
+    reports = together.groupBy("conv_id").agg(*zero.values(), F.coalesce(F.max("audit"), F.lit("")).alias("audit"))
+    return Repair(rows, reports, edits)
 
 
 def _counted() -> dict[str, Column]:
@@ -399,9 +400,3 @@ def _counted() -> dict[str, Column]:
     return {"blank": F.when(F.col("blank"), n).otherwise(none),
             "duplicate": F.when(F.col("blank"), none).when(F.col("repeated"), n).otherwise(n - 1),
             "truncated": (F.col("truncated") & ~F.col("repeated")).cast("long")}
-
-
-def _with(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``left`` with the columns of ``right``, by a conv_id that may be null."""
-    renamed = right.withColumnRenamed("conv_id", "same_id")
-    return left.join(renamed, F.col("conv_id").eqNullSafe(F.col("same_id")), "left").drop("same_id")
